@@ -186,6 +186,63 @@ def last_known(
     )
 
 
+# Above this many rows or days the right side is not broadcast.
+SMALL_ROWS = 50_000
+SMALL_DAYS = 50_000
+
+
+def last_known_small(
+    left: DataFrame,
+    right: DataFrame,
+    ts: str,
+    right_ts: str,
+    value: str,
+    new: str,
+) -> DataFrame | None:
+    """``last_known`` for a dimension small enough to broadcast; None if it is not.
+
+    The dimension becomes one row for each day between its first and last: the value
+    carried into the day and the changes within it. ``left`` is joined by day and not
+    shuffled. Of equal instants the greatest value wins.
+    """
+    known = right.filter(F.col(right_ts).isNotNull()).select(
+        F.to_date(right_ts).alias("_day"), F.struct(right_ts, value).alias("_change")
+    )
+    size = known.agg(
+        F.count("*").alias("n"),
+        F.min("_day").alias("first"),
+        F.max("_day").alias("last"),
+        F.datediff(F.max("_day"), F.min("_day")).alias("days"),
+    ).first()
+    if size["n"] == 0:
+        return left.withColumn(new, F.lit(None).cast(dict(right.dtypes)[value]))
+    if size["n"] > SMALL_ROWS or size["days"] > SMALL_DAYS:
+        return None
+    every_day = left.sparkSession.range(1).select(
+        F.explode(F.sequence(F.lit(size["first"]), F.lit(size["last"]))).alias("_day")
+    )
+    by_day = known.groupBy("_day").agg(F.collect_list("_change").alias("_changes"))
+    # One row for each day of the dimension, at most SMALL_DAYS.
+    earlier = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    days = every_day.join(by_day, "_day", "left").select(
+        F.col("_day").alias("_lookup_day"),
+        "_changes",
+        F.last(F.array_max("_changes"), ignorenulls=True).over(earlier).alias("_carried"),
+    )
+    asked = left.withColumn("_day", F.least(F.to_date(ts), F.lit(size["last"])))
+    within = F.array_max(
+        F.filter("_changes", lambda change: change[right_ts] <= F.col(ts))
+    )
+    # A NULL time would take the last day in least().
+    joined = asked.join(
+        F.broadcast(days), asked["_day"] == days["_lookup_day"], "left"
+    )
+    found = F.coalesce(within, "_carried")[value]
+    return joined.withColumn(new, F.when(F.col(ts).isNotNull(), found)).select(
+        *left.columns, new
+    )
+
+
 def changes(
     df: DataFrame,
     keys: Sequence[str],

@@ -369,6 +369,12 @@ FROM events
     "dedup_by_content": """
 SELECT sha256(text) AS content_id, min(doc_id) AS doc_id, CAST(count(*) AS BIGINT) AS copies
 FROM documents GROUP BY text
+""",
+    "new_by_content": """
+SELECT doc_id, source FROM documents
+WHERE right(source, 1) NOT IN ('0', '2', '4', '6', '8')
+  AND text NOT IN (SELECT text FROM documents
+                   WHERE right(source, 1) IN ('0', '2', '4', '6', '8'))
 """,
     "sessions_by_user": _with(EVENTS_SQL, _SESSIONS)
     + f"""

@@ -1,0 +1 @@
+"""Writers: stored events, quarantine, tables, session records, snapshots."""

@@ -1,0 +1 @@
+"""Readers: growing logs, state documents, table snapshots and stored tables."""
