@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from leadline.config import prepare_session, shared_folder
 from leadline.operators import ingest
-from leadline.schemas import SOURCE_STATS, empty
+from leadline.schemas import SOURCE_STATS
 from leadline.sinks.bronze import (
     check_written,
     stored_ids,
@@ -130,15 +130,3 @@ def ingest_session(
     }
     write_manifest(stats, data, session_id, facts)
     return {"session_id": session_id, **facts}
-
-
-def session_stats(spark: SparkSession, data: str, session_id: str) -> DataFrame:
-    """The (session, source) rows of one session."""
-    from leadline.sources.stored import read_manifests
-
-    _, stats = read_manifests(spark, data)
-    return stats.filter(F.col("session_id") == session_id)
-
-
-def no_stats(spark: SparkSession) -> DataFrame:
-    return empty(spark, SOURCE_STATS)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from typing import Optional
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,14 +19,11 @@ _MANIFEST = T.StructType(
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether there is anything below the path."""
-    try:
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    except AnalysisException as problem:
-        if problem.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    """Whether the folder exists, on whichever file system the path names."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(context._jsc.hadoopConfiguration())
+    return files.exists(target)
 
 
 def bronze(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,0 +1 @@
+"""Structured Streaming: growing logs, sampled states, tumbling buckets."""
