@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadline.functions import count_where, ratio
-from leadline.operators.keys import join_null_safe
+from leadline.operators.keys import join_null_safe, reduce_with_label
 
 
 def attempt_performance(
@@ -36,18 +36,31 @@ def attempt_performance(
     rows are counted by (day, version) and the count stands on every row of that day
     and version (NULL versions match each other), so a rollup must take its maximum.
     """
-    supervised = events.groupBy(day, key, version).agg(
-        F.min(provenance).alias(provenance),
-        F.max(place_value).alias(place),
-        *[count_where(condition).alias(name) for name, condition in event_counts.items()],
+    supervised = reduce_with_label(
+        events,
+        [day, key, version],
+        provenance,
+        {name: count_where(condition) for name, condition in event_counts.items()},
+        {place: place_value},
     )
     text = F.lower(F.coalesce(outcome, F.lit("")))
-    tried = attempts.groupBy(day, version).agg(
-        F.min(provenance).alias(provenance),
-        F.count("*").alias(attempt_count),
-        *[count_where(text == wanted).alias(name) for name, wanted in outcomes.items()],
-        *[F.avg(column).alias(name) for name, column in averages.items()],
+    sums = {f"_sum_{name}": F.sum(column) for name, column in averages.items()}
+    seen = {f"_seen_{name}": F.count(column) for name, column in averages.items()}
+    tried = reduce_with_label(
+        attempts,
+        [day, version],
+        provenance,
+        {
+            attempt_count: F.count("*"),
+            **{name: count_where(text == wanted) for name, wanted in outcomes.items()},
+            **sums,
+            **seen,
+        },
+        {},
+    ).withColumns(
+        {name: ratio(F.col(f"_sum_{name}"), F.col(f"_seen_{name}")) for name in averages}
     )
+    tried = tried.drop(*sums, *seen)
     counts = [*event_counts, attempt_count, *outcomes]
     combined = supervised.unionByName(tried, allowMissingColumns=True).fillna(0, counts)
     proxies = proxy.groupBy(day, version).agg(F.count("*").alias(proxy_count))

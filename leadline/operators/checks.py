@@ -59,7 +59,7 @@ def orphans(
     """Child rows whose key exists in no parent row; NULL keys pass."""
     known = parent.select(F.col(parent_key).alias("_parent"))
     present = child.filter(F.col(child_key).isNotNull())
-    return present.join(known, present[child_key] == known["_parent"], "left_anti")
+    return present.join(known, F.col(child_key) == F.col("_parent"), "left_anti")
 
 
 def quarantine_mismatches(sessions: DataFrame, source_stats: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -21,7 +21,7 @@ def join_null_safe(
     renamed = {key: f"_right_{key}" for key in keys}
     other = right.withColumnsRenamed(renamed)
     condition = reduce(
-        Column.__and__, [left[key].eqNullSafe(other[renamed[key]]) for key in keys]
+        Column.__and__, [F.col(key).eqNullSafe(F.col(renamed[key])) for key in keys]
     )
     return left.join(other, condition, how).drop(*renamed.values())
 
@@ -35,6 +35,30 @@ def hot_groups(
     return F.broadcast(largest.limit(HOT_GROUP_LIMIT))
 
 
+def reduce_with_label(
+    df: DataFrame,
+    keys: Sequence[str],
+    label: str,
+    additive: Mapping[str, Column],
+    maxima: Mapping[str, Column],
+) -> DataFrame:
+    """Group by ``keys`` with additive aggregates, maxima and the least ``label``.
+
+    A text aggregate beside numeric ones would make Spark sort all rows before
+    combining them. Labels have few values, so they first join the grouping keys,
+    rows combine by hashing, and the least label is picked from what is left.
+    """
+    combined = df.groupBy(*keys, label).agg(
+        *[column.alias(name) for name, column in additive.items()],
+        *[F.max(column).alias(name) for name, column in maxima.items()],
+    )
+    return combined.groupBy(*keys).agg(
+        F.min(label).alias(label),
+        *[F.sum(name).alias(name) for name in additive],
+        *[F.max(name).alias(name) for name in maxima],
+    )
+
+
 def side_by_side(*single_rows: DataFrame) -> DataFrame:
     """One row holding the columns of several one-row frames, without a product."""
     together = reduce(

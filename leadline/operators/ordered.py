@@ -233,11 +233,9 @@ def last_known_small(
     within = F.array_max(
         F.filter("_changes", lambda change: change[right_ts] <= F.col(ts))
     )
-    # A NULL time would take the last day in least().
-    joined = asked.join(
-        F.broadcast(days), asked["_day"] == days["_lookup_day"], "left"
-    )
+    joined = asked.join(F.broadcast(days), F.col("_day") == F.col("_lookup_day"), "left")
     found = F.coalesce(within, "_carried")[value]
+    # least() skips NULL, so a missing time would take the last day.
     return joined.withColumn(new, F.when(F.col(ts).isNotNull(), found)).select(
         *left.columns, new
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadline.functions import count_where, last_by, observed_or_unavailable, per_hour
+from leadline.operators.keys import reduce_with_label
 
 
 def daily_progress(
@@ -41,10 +42,12 @@ def daily_progress(
     reduced before the session table is joined: the session holds one value for each
     key, so the join does not need the rows.
     """
-    by_event = events.groupBy(day, key, version).agg(
-        F.min(provenance).alias(provenance),
-        *[count_where(condition).alias(name) for name, condition in counts.items()],
-        *[F.max(value).alias(name) for name, value in maxima.items()],
+    by_event = reduce_with_label(
+        events,
+        [day, key, version],
+        provenance,
+        {name: count_where(condition) for name, condition in counts.items()},
+        maxima,
     ).withColumn("_has_events", F.lit(True))
     at, tie = F.col(sample_ts), F.col(sample_tie)
     by_sample = (
@@ -94,7 +97,7 @@ def daily_progress(
         *sample_counters,
         F.coalesce("state_snapshot_count", F.lit(0)).alias("state_snapshot_count"),
     )
-    joined = merged.join(known, merged[key] == known["_session"], "left")
+    joined = merged.join(known, F.col(key) == F.col("_session"), "left")
     from_samples = per_hour(
         F.coalesce("_s_completed", "_completed", F.lit(0)), F.col("_s_elapsed")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadline.functions import count_where, observed_or_unavailable, ratio
-from leadline.operators.keys import join_null_safe
+from leadline.operators.keys import join_null_safe, reduce_with_label
 from leadline.operators.quantiles import ACCURACY, exact_quantiles
 
 LATENCY_QUANTILES = {"p50": 0.50, "p95": 0.95}
@@ -95,10 +95,12 @@ def event_reliability(
     on the row of the first version only.
     """
     keys = [day, key, version]
-    totals = events.groupBy(*keys).agg(
-        F.min(provenance).alias(provenance),
-        *[count_where(condition).alias(name) for name, condition in counts.items()],
-        *[F.max(column).alias(f"{prefix}_max{unit}") for prefix, column in latencies.items()],
+    totals = reduce_with_label(
+        events,
+        keys,
+        provenance,
+        {name: count_where(condition) for name, condition in counts.items()},
+        {f"{prefix}_max{unit}": F.col(column) for prefix, column in latencies.items()},
     )
     quantiles = exact_quantiles(events, keys, latencies, LATENCY_QUANTILES, accuracy)
     measured = join_null_safe(
@@ -115,18 +117,17 @@ def event_reliability(
         )
     )
     if attribute_once:
+        # Both sides may stem from one table, so the right side's columns are renamed.
         first = totals.groupBy(day, key).agg(
             F.min(F.coalesce(version, F.lit(""))).alias("_first")
         )
-        sampled = sampled.join(first, [day, key])
+        once = sampled.join(first, [day, key]).withColumnsRenamed({day: "_day", key: "_key"})
         match = (
-            measured[day].eqNullSafe(sampled[day])
-            & (measured[key] == sampled[key])
-            & (F.coalesce(measured[version], F.lit("")) == sampled["_first"])
-        )
-        joined = measured.join(sampled, match, "left").drop(
-            sampled[day], sampled[key], "_first"
+            (F.col(day) == F.col("_day"))
+            & (F.col(key) == F.col("_key"))
+            & (F.coalesce(version, F.lit("")) == F.col("_first"))
         )
+        joined = measured.join(once, match, "left").drop("_day", "_key", "_first")
     else:
         joined = measured.join(sampled, [day, key], "left")
     snapshots = F.coalesce("state_snapshot_count", F.lit(0))

@@ -84,8 +84,8 @@ def entity_status(
         count_or_zero(F.col("recorded_defeat_count")).alias("_count"),
         parse_with_short_offset(F.col("last_recorded_defeat_at").cast("string")).alias("_when"),
     ).filter(F.col("_name").isNotNull())
-    merged = catalog.join(seen, catalog[key] == seen["_key"], "left").join(
-        recorded, catalog[display] == recorded["_name"], "left"
+    merged = catalog.join(seen, F.col(key) == F.col("_key"), "left").join(
+        recorded, F.col(display) == F.col("_name"), "left"
     )
     was_seen = F.col("_status").isNotNull()
     age = age_seconds(as_of, parse_with_short_offset(F.col("_observed_at")))
