@@ -109,5 +109,5 @@ def load_snapshot(
         }
         document = snapshot_document(datasets, gold["gold_data_quality"], now)
         return {**document, "mode": LOCAL_MODE}
-    text = spark.read.option("wholetext", True).text(fallback).first()
+    text = spark.read.text(fallback, wholetext=True).first()
     return {**json.loads(text["value"]), "mode": PUBLISHED_MODE}

@@ -102,7 +102,7 @@ def read_observation(
     keys, and an unreadable time. The document is one file of a bounded list, so its
     keys may be looked at on the driver.
     """
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     document = text.select(F.try_parse_json("value").alias("_d"), "value")
     root_keys = document.select(
         F.json_object_keys("value").alias("root"),
