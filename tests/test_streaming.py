@@ -88,31 +88,41 @@ def test_flush_on_change(spark, tmp_path):
         row = [("f", dt.datetime(2026, 7, 30, 0, number), json.dumps({"lease_id": "l", "phase": phase}))]
         spark.createDataFrame(row, schema).coalesce(1).write.mode("append").parquet(str(source))
 
-    def run():
-        stream = spark.readStream.schema(schema).parquet(str(source))
-        query = (
-            flush_on_change(stream, 900)
-            .writeStream.format("parquet")
-            .option("path", str(tmp_path / "out"))
-            .option("checkpointLocation", str(tmp_path / "checkpoint"))
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
-        found = spark.read.schema(schema).parquet(str(tmp_path / "out"))
-        return sorted(r["observed_at"].minute for r in found.collect())
+    def released(wanted):
+        found = []
+        for _ in range(60):
+            if (tmp_path / "out/_spark_metadata").exists():
+                table = spark.read.schema(schema).parquet(str(tmp_path / "out"))
+                found = sorted(r["observed_at"].minute for r in table.collect())
+            if len(found) >= wanted:
+                break
+            time.sleep(0.5)
+        return found
 
     add(0, "idle")
-    assert run() == [0]  # the first state differs from none
-    add(1, "idle")
-    assert run() == [0]  # held
-    add(2, "fight")
-    assert run() == [0, 1, 2]  # the change lets the held one out too
-    for n in (3, 4, 5):
-        add(n, "fight")
-    assert run() == [0, 1, 2]
-    add(6, "fight")
-    assert run() == [0, 1, 2, 3, 4, 5, 6]  # an hour's worth at 900 s is four samples
+    stream = spark.readStream.schema(schema).parquet(str(source))
+    # Timers keep such a query going, so it is stopped rather than awaited.
+    query = (
+        flush_on_change(stream, 900)
+        .writeStream.format("parquet")
+        .option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "checkpoint"))
+        .trigger(processingTime="200 milliseconds")
+        .start()
+    )
+    try:
+        assert released(1) == [0]  # the first state differs from none
+        add(1, "idle")
+        add(2, "fight")
+        assert released(3) == [0, 1, 2]  # the change lets the held one out too
+        for n in (3, 4, 5):
+            add(n, "fight")
+        time.sleep(3)
+        assert released(3) == [0, 1, 2]  # held
+        add(6, "fight")  # an hour's worth at 900 s is four samples
+        assert released(7) == [0, 1, 2, 3, 4, 5, 6]
+    finally:
+        query.stop()
 
 
 @pytest.mark.parametrize("grain", ["hour", "day", "week"])
