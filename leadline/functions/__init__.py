@@ -29,6 +29,7 @@ from leadline.functions.typing import (
     to_double,
     to_int,
     to_long,
+    type_json,
     typed_json,
 )
 
@@ -55,5 +56,6 @@ __all__ = [
     "to_double",
     "to_int",
     "to_long",
+    "type_json",
     "typed_json",
 ]

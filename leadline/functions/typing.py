@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,14 +54,42 @@ _READERS = {
 def typed_json(
     document: Column, fields: Mapping[str, tuple[str, str]]
 ) -> list[Column]:
-    """One typed column for each ``{name: (json path, type)}``."""
+    """One typed column for each ``{name: (json path, type)}``; parses for each field."""
     return [
         _READERS[kind](json_text(document, path)).alias(name)
         for name, (path, kind) in fields.items()
     ]
 
 
+_PARSED = "_parsed_document"
+
+
+def _parsed_text(document: Column, path: str, kind: str) -> Column:
+    """Text of a field from the parsed document, as ``json_text`` would give it.
+
+    Documents that the parser refuses although they are JSON objects (NaN, repeated
+    keys) and nested values, whose key order it changes, are read from the text.
+    """
+    parsed = F.col(_PARSED)
+    value = F.try_variant_get(parsed, path, "string")
+    from_text = parsed.isNull()
+    if kind == "string":
+        from_text = from_text | value.startswith("{") | value.startswith("[")
+    return F.when(from_text, json_text(document, path)).otherwise(value)
+
+
 def type_json(
-    df: DataFrame, document: str, fields: Mapping[str, tuple[str, str]], keep: list[str]
+    df: DataFrame,
+    document: str,
+    fields: Mapping[str, tuple[str, str]],
+    keep: Sequence[str | Column],
+    after: Sequence[str | Column] = (),
 ) -> DataFrame:
-    return df.select(*keep, *typed_json(F.col(document), fields))
+    """``keep``, the typed fields and ``after``; each document is parsed once."""
+    text = F.col(document)
+    parsed = df.withColumn(_PARSED, F.try_parse_json(text))
+    typed = [
+        _READERS[kind](_parsed_text(text, path, kind)).alias(name)
+        for name, (path, kind) in fields.items()
+    ]
+    return parsed.select(*keep, *typed, *after)

@@ -21,7 +21,7 @@ from leadline.sinks.bronze import (
 )
 from leadline.sinks.records import write_file_results, write_manifest, write_offsets
 from leadline.sources.files import freeze
-from leadline.sources.lines import RANGE_BYTES, read_lines, resume_plan
+from leadline.sources.lines import RANGE_BYTES, count_ranges, read_lines, resume_plan
 from leadline.sources.specs import EVENT_SOURCES, SourceSpec
 from leadline.sources.stored import bronze, saved_offsets
 
@@ -67,7 +67,7 @@ def ingest_session(
         spark, frozen, saved, folder, tail or ("read" if full_scan else "hold"), range_bytes
     )
     # The classified scan feeds three outputs, so it is stored once.
-    scanned = ingest.with_identity(read_lines(ranges))
+    scanned = ingest.with_identity(read_lines(ranges, count_ranges(files, range_bytes)))
     scanned.write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/lines")
     lines = spark.read.schema(scanned.schema).parquet(f"{folder}/lines")
     valid, bad = ingest.split_valid(lines)
@@ -75,14 +75,15 @@ def ingest_session(
     fingerprints = files.select(
         "source", "source_file", F.col("fingerprint").alias("source_fingerprint_sha256")
     )
-    paths = files.agg(
-        F.count("*").alias("rows"), F.countDistinct("source_file").alias("distinct")
+    listed = files.agg(
+        F.count("*").alias("rows"),
+        F.countDistinct("source_file").alias("distinct"),
+        F.collect_set("source").alias("sources"),
     ).first()
-    sources = [row["source"] for row in files.select("source").distinct().collect()]
     fresh = ingest.dedup_new(
         valid,
-        stored_ids(spark, data, sources),
-        repeats_within=paths["rows"] != paths["distinct"],
+        stored_ids(spark, data, listed["sources"]),
+        repeats_within=listed["rows"] != listed["distinct"],
     )
     envelope = ingest.to_envelope(
         fresh.join(fingerprints, ["source", "source_file"]),

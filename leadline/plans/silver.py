@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadline.functions import typed_json
+from leadline.functions import type_json
 from leadline.operators.sessions import session_summary
 
 # Payload fields of each family, {column: (path, type)}.
@@ -76,8 +76,8 @@ def _family(
     fields: Mapping[str, tuple[str, str]],
     tail: list[str],
 ) -> DataFrame:
-    return bronze.filter(F.col("source") == source).select(
-        *keep, *typed_json(F.col("raw_json"), fields), *tail
+    return type_json(
+        bronze.filter(F.col("source") == source), "raw_json", fields, keep, tail
     )
 
 

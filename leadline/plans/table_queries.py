@@ -12,7 +12,7 @@ from leadline.functions import (
     event_digest,
     text_digest,
     to_boolean,
-    typed_json,
+    type_json,
 )
 from leadline.operators import checks, consumer, ordered, rollups, status, velocity
 from leadline.operators.attempts import attempt_performance
@@ -70,11 +70,8 @@ def json_typed_projection(spark: SparkSession, folder: str) -> DataFrame:
         "k_double": ("$.k", "double"),
         "absent": ("$.no.such", "string"),
     }
-    typed = raw.select(
-        "event_id",
-        F.to_date(F.col("ts").cast("timestamp")).cast("string").alias("event_date"),
-        *typed_json(F.col("props"), fields),
-    )
+    day = F.to_date(F.col("ts").cast("timestamp")).cast("string").alias("event_date")
+    typed = type_json(raw, "props", fields, ["event_id", day])
     return typed.withColumn(
         "k_flag", F.coalesce(to_boolean(F.col("k_text")), F.lit(False))
     )

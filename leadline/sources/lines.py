@@ -83,11 +83,15 @@ def _facts_schema() -> pa.Schema:
     )
 
 
-def _balanced(ranges: DataFrame) -> DataFrame:
-    """Spread ranges evenly over tasks; their rows are tiny but the work is not."""
-    spark = ranges.sparkSession
-    tasks = min(max(ranges.count(), 1), 20 * spark.sparkContext.defaultParallelism)
-    return ranges.repartition(tasks)
+def _balanced(ranges: DataFrame, count: int) -> DataFrame:
+    """Spread about ``count`` ranges evenly over tasks: tiny rows, but not tiny work."""
+    most = 20 * ranges.sparkSession.sparkContext.defaultParallelism
+    return ranges.repartition(min(max(count, 1), most))
+
+
+def count_ranges(files: DataFrame, range_bytes: int) -> int:
+    counted = files.agg(F.sum(F.ceil(F.col("byte_limit") / range_bytes))).first()
+    return int(counted[0] or 0)
 
 
 def grid(files: DataFrame, first: Column, last: Column, range_bytes: int) -> DataFrame:
@@ -109,10 +113,12 @@ def grid(files: DataFrame, first: Column, last: Column, range_bytes: int) -> Dat
     )
 
 
-def range_facts(spark: SparkSession, ranges: DataFrame, folder: str) -> DataFrame:
+def range_facts(
+    spark: SparkSession, ranges: DataFrame, folder: str, count: int
+) -> DataFrame:
     """Line ends and digests of each distinct byte range, as a stored table."""
     wanted = ranges.select("path", "start", "end").distinct()
-    facts = _balanced(wanted).mapInArrow(_range_facts, _RANGE_FACTS)
+    facts = _balanced(wanted, count).mapInArrow(_range_facts, _RANGE_FACTS)
     facts.write.mode("overwrite").parquet(f"{folder}/ranges")
     return spark.read.schema(facts.schema).parquet(f"{folder}/ranges")
 
@@ -181,15 +187,15 @@ def _line_batches(row: dict, classify: bool) -> Iterator[pa.RecordBatch]:
         )
 
 
-def read_lines(plan: DataFrame, classify: bool = True) -> DataFrame:
-    """Lines of planned ranges (see ``plan_ranges``), with the verdict on each."""
+def read_lines(plan: DataFrame, count: int, classify: bool = True) -> DataFrame:
+    """Lines of about ``count`` planned ranges (see ``plan_ranges``), each with its verdict."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 yield from _line_batches(row, classify)
 
-    return _balanced(plan).mapInArrow(scan, _LINES)
+    return _balanced(plan, count).mapInArrow(scan, _LINES)
 
 
 def plan_ranges(
@@ -264,7 +270,10 @@ def resume_plan(
     until_saved = grid(files, zero, offset, range_bytes)
     since_saved = grid(files, offset, limit, range_bytes)
     facts = range_facts(
-        spark, whole.unionByName(until_saved).unionByName(since_saved), folder
+        spark,
+        whole.unionByName(until_saved).unionByName(since_saved),
+        folder,
+        count_ranges(frozen, range_bytes),
     )
 
     def digest_of(ranges: DataFrame, name: str) -> DataFrame:

@@ -27,6 +27,8 @@ from leadline.functions import (
     to_double,
     to_int,
     to_long,
+    type_json,
+    typed_json,
 )
 from leadline.functions.verdict import error_name, json_object_error
 
@@ -65,6 +67,22 @@ def test_json_text(spark):
     assert found[4] == "1"
 
 
+def test_parsing_once_gives_the_same_texts(spark):
+    documents = [
+        '{"a":1.50,"b":"x","c":{"y":1,"x":[2, 3]},"d":null,"e":1e3,"f":true}',
+        '{"a":NaN,"b":"x"}',
+        '{"a":1,"a":2,"b":" [x"}',
+        '{"b":"{x","c":[{"z":1,"y":2}]}',
+        '{"b":"\u00e9\\n","a":123456789012345678901234567890}',
+        "{}",
+    ]
+    paths = {name: (f"$.{name}", "string") for name in "abcdef"}
+    df = spark.createDataFrame([(d,) for d in documents], "document string")
+    once = type_json(df, "document", paths, ["document"]).collect()
+    each = df.select("document", *typed_json(F.col("document"), paths)).collect()
+    assert once == each
+
+
 def test_iso_times(spark):
     texts = [
         "2026-07-30T00:00:00Z",

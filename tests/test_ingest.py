@@ -106,7 +106,7 @@ def test_lines_of_small_ranges(spark, places, range_bytes, ending):
     folder = shared_folder(spark, "t")
     frozen = freeze(spark, root, ONE_LOG, folder)
     files, ranges = resume_plan(spark, frozen, None, folder, "read", range_bytes)
-    found = read_lines(ranges).orderBy("source_line_number").collect()
+    found = read_lines(ranges, 10).orderBy("source_line_number").collect()
     expected = content.splitlines(keepends=True) if b"\r" not in content else None
     pieces = [line + b"\n" for line in lines]
     if not ending:
