@@ -102,7 +102,7 @@ def new_by_content(spark: SparkSession, folder: str) -> DataFrame:
         "content_id", text_digest(F.col("text"))
     )
     even = F.substring("source", -1, 1).isin("0", "2", "4", "6", "8")
-    stored = documents.filter(even).select("content_id")
+    stored = documents.filter(even).select("content_id").distinct()
     return (
         documents.filter(~even)
         .join(stored, "content_id", "left_anti")

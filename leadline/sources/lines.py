@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 from typing import Optional
 
 import numpy as np
@@ -124,7 +125,7 @@ def range_facts(
 
 
 def prefix_digest(digests: Column) -> Column:
-    """Digest of a prefix from ``array<struct<start, digest>>`` of its ranges.
+    """Digest of a prefix from the structs (start, digest) of its ranges.
 
     A prefix of one range has the plain sha256 of its bytes; a longer one the sha256
     of its ranges' digests in order, so that no task has to read all of a file.
@@ -209,7 +210,9 @@ def plan_ranges(
         facts.select("path", "start", "end", "newlines"), ["path", "start", "end"]
     )
     earlier = (
-        Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("source", "path")
+        .orderBy("start")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
     before = F.coalesce(F.sum("newlines").over(earlier), F.lit(0))
     return (
@@ -266,54 +269,61 @@ def resume_plan(
     usable = F.col("saved_offset") <= F.col("byte_limit")
     files = files.withColumn("saved_offset", F.when(usable, F.col("saved_offset")))
     zero, limit, offset = F.lit(0), F.col("byte_limit"), F.col("saved_offset")
-    whole = grid(files, zero, limit, range_bytes)
-    until_saved = grid(files, zero, offset, range_bytes)
-    since_saved = grid(files, offset, limit, range_bytes)
-    facts = range_facts(
-        spark,
-        whole.unionByName(until_saved).unionByName(since_saved),
-        folder,
-        count_ranges(frozen, range_bytes),
-    )
-
-    def digest_of(ranges: DataFrame, name: str) -> DataFrame:
-        parts = F.collect_list(F.struct("start", "digest"))
-        return (
-            ranges.select("path", "start", "end")
-            .join(facts, ["path", "start", "end"])
-            .groupBy("path")
-            .agg(prefix_digest(parts).alias(name))
+    ranges = [
+        grid(files, first, last, range_bytes).select(
+            "path", "start", "end", F.lit(kind).alias("kind")
         )
-
-    at_line_end = F.coalesce(F.max("line_end"), F.lit(0)).alias("last_line_end")
-    whole_facts = whole.select("path", "start", "end").join(facts, ["path", "start", "end"])
-    last_ends = whole_facts.groupBy("path").agg(at_line_end)
-    held = (
-        whole_facts.join(last_ends, "path")
-        .filter(F.col("start") < F.col("last_line_end"))
+        for kind, first, last in (
+            ("whole", zero, limit),
+            ("saved", zero, offset),
+            ("since", offset, limit),
+        )
+    ]
+    wanted = reduce(DataFrame.unionByName, ranges)
+    facts = range_facts(spark, wanted, folder, count_ranges(frozen, range_bytes))
+
+    def parts_of(kind: str) -> Column:
+        part = F.struct("start", "end", "digest", "digest_to_line_end")
+        return F.collect_list(F.when(F.col("kind") == kind, part))
+
+    by_file = (
+        wanted.filter("kind <> 'since'")
+        .distinct()
+        .join(facts, ["path", "start", "end"])
         .groupBy("path")
         .agg(
-            prefix_digest(
-                F.collect_list(
-                    F.struct(
-                        "start",
-                        F.when(F.col("end") > F.col("last_line_end"), F.col("digest_to_line_end"))
-                        .otherwise(F.col("digest"))
-                        .alias("digest"),
-                    )
-                )
-            ).alias("held_digest")
+            parts_of("whole").alias("_whole"),
+            parts_of("saved").alias("_saved"),
+            F.coalesce(F.max(F.when(F.col("kind") == "whole", F.col("line_end"))), zero)
+            .cast("bigint")
+            .alias("last_line_end"),
         )
     )
-    known = (
-        files.join(digest_of(whole, "fingerprint"), "path", "left")
-        .join(digest_of(until_saved, "found_digest"), "path", "left")
-        .join(last_ends, "path", "left")
-        .join(held, "path", "left")
+    last_end = F.col("last_line_end")
+    # The prefix up to the last line end: the range it lies in counts up to there.
+    held = F.transform(
+        F.filter("_whole", lambda part: part["start"] < last_end),
+        lambda part: F.struct(
+            part["start"].alias("start"),
+            F.when(part["end"] > last_end, part["digest_to_line_end"])
+            .otherwise(part["digest"])
+            .alias("digest"),
+        ),
+    )
+    known = files.join(
+        by_file.select(
+            "path",
+            prefix_digest(F.col("_whole")).alias("fingerprint"),
+            prefix_digest(F.col("_saved")).alias("found_digest"),
+            prefix_digest(held).alias("held_digest"),
+            "last_line_end",
+        ),
+        "path",
+        "left",
     )
     nothing = F.lit(_EMPTY_DIGEST)
-    found = F.when(offset == 0, nothing).otherwise(F.col("found_digest"))
-    resumes = F.coalesce(found == F.col("saved_digest"), F.lit(False))
+    found = F.coalesce("found_digest", nothing)
+    resumes = F.coalesce(offset.isNotNull() & (found == F.col("saved_digest")), F.lit(False))
     start = F.when(resumes, offset).otherwise(F.lit(0).cast("bigint"))
     line_end = F.coalesce("last_line_end", F.lit(0).cast("bigint"))
     # Nothing new but an unfinished line: stay where the session started.
