@@ -717,5 +717,47 @@ FROM attempts
     "stale_sessions": f"""
 SELECT user_id, max(ts) < {AS_OF} - INTERVAL 90 MINUTE AS is_stale
 FROM events GROUP BY user_id
+""",
+    "current_period": _with(EVENTS_SQL, _VELOCITY, _ROLLUP)
+    + f"""
+SELECT {_text('period_start')} AS period_start, active_seconds, serial
+FROM rollup_rows WHERE period_grain = 'week' AND period_end > {AS_OF}
+ORDER BY rollup_rows.period_start DESC LIMIT 1
+""",
+    "completed_periods": _with(EVENTS_SQL, _VELOCITY, _ROLLUP)
+    + f"""
+SELECT {_text('period_start')} AS period_start, serial
+FROM rollup_rows WHERE period_grain = 'week' AND period_end <= {AS_OF}
+""",
+    "observer_summary": _with(_OBSERVED)
+    + f"""
+SELECT CASE WHEN max(seen_at) < {AS_OF} - INTERVAL 2 HOUR THEN 'stale' ELSE 'fresh' END
+         AS observer_status,
+       strftime(max(seen_at), '%Y-%m-%dT%H:%M:%SZ') AS observed_at,
+       '2024-01-01T00:00:00Z' AS map_started_at, '01234567' AS ruleset_git_sha,
+       (SELECT CAST(count(*) AS BIGINT) FROM nation) AS tracked_nm_count,
+       CAST(count(*) AS BIGINT) AS observed_nm_count, 'hourly' AS refresh_cadence
+FROM observed
+""",
+    "findings": """
+WITH e AS (
+  SELECT count(*) AS n, count(*) FILTER (WHERE event_type = 'purchase') AS purchases,
+         count(*) FILTER (WHERE event_type = 'click') AS clicks,
+         count(*) FILTER (WHERE event_type = 'error') AS errors
+  FROM events
+), l AS (
+  SELECT count(*) FILTER (WHERE l_returnflag = 'A') AS a,
+         count(*) FILTER (WHERE l_returnflag = 'N') AS n,
+         count(*) FILTER (WHERE l_returnflag = 'R') AS r
+  FROM lineitem
+)
+SELECT CAST(purchases AS BIGINT) AS completed_fights,
+       round(CAST(errors AS DOUBLE) / (clicks + errors), 6) AS attack_rejection_rate,
+       CAST(e.n AS BIGINT) AS operations,
+       round(1 - CAST(errors AS DOUBLE) / e.n, 6) AS success_rate,
+       CAST(a AS BIGINT) AS successful_collision_probes,
+       CAST(l.n AS BIGINT) AS partial_progress_probes, CAST(r AS BIGINT) AS stalled_probes,
+       round(CAST(a AS DOUBLE) / (a + l.n + r), 6) AS probe_arrival_rate
+FROM e, l
 """,
 }

@@ -880,3 +880,50 @@ def stale_sessions(spark: SparkSession, folder: str) -> DataFrame:
         "user_id",
         consumer.is_stale(_as_of(), F.col("session_last_event_at")).alias("is_stale"),
     )
+
+
+@query
+def current_period(spark: SparkSession, folder: str) -> DataFrame:
+    found = consumer.current_period(_rollup(spark, folder), "week")
+    return found.select(
+        seconds_text("period_start").alias("period_start"), "active_seconds", "serial"
+    )
+
+
+@query
+def completed_periods(spark: SparkSession, folder: str) -> DataFrame:
+    found = consumer.completed_periods(_rollup(spark, folder), "week")
+    return found.select(seconds_text("period_start").alias("period_start"), "serial")
+
+
+@query
+def observer_summary(spark: SparkSession, folder: str) -> DataFrame:
+    observed = _observed(spark, folder)
+    root = observed.agg(F.max("observed_at").alias("observed_at")).select(
+        F.lit(1).alias("schema_version"),
+        "observed_at",
+        F.lit("2024-01-01T00:00:00Z").alias("map_started_at"),
+        F.lit("0123456789abcdef").alias("ruleset_git_sha"),
+    )
+    return status.observer_summary(_catalog(spark, folder), root, observed, _as_of())
+
+
+@query
+def findings(spark: SparkSession, folder: str) -> DataFrame:
+    ev = events(spark, folder)
+    fought = _event_reliability(ev).withColumnsRenamed(
+        {
+            "purchases": "completed_fights",
+            "clicks": "attack_issued",
+            "errors": "attack_rejections",
+        }
+    )
+    tried = _attempts(spark, folder).withColumnsRenamed(
+        {
+            "arrived": "successful_collision_probes",
+            "none": "partial_progress_probes",
+            "returned": "stalled_probes",
+        }
+    )
+    found = consumer.findings(fought, _operations(ev), tried)
+    return rounded(found, "attack_rejection_rate", "success_rate", "probe_arrival_rate")
