@@ -62,6 +62,8 @@ def typed_json(
 
 
 _PARSED = "_parsed_document"
+# From about this many fields on, one parse is cheaper than one for each field.
+PARSE_ONCE_FROM = 7
 
 
 def _parsed_text(document: Column, path: str, kind: str) -> Column:
@@ -85,8 +87,10 @@ def type_json(
     keep: Sequence[str | Column],
     after: Sequence[str | Column] = (),
 ) -> DataFrame:
-    """``keep``, the typed fields and ``after``; each document is parsed once."""
+    """``keep``, the typed fields and ``after``; many fields share one parse."""
     text = F.col(document)
+    if len(fields) < PARSE_ONCE_FROM:
+        return df.select(*keep, *typed_json(text, fields), *after)
     parsed = df.withColumn(_PARSED, F.try_parse_json(text))
     typed = [
         _READERS[kind](_parsed_text(text, path, kind)).alias(name)

@@ -76,7 +76,7 @@ def test_parsing_once_gives_the_same_texts(spark):
         '{"b":"\u00e9\\n","a":123456789012345678901234567890}',
         "{}",
     ]
-    paths = {name: (f"$.{name}", "string") for name in "abcdef"}
+    paths = {name: (f"$.{name}", "string") for name in "abcdefgh"}
     df = spark.createDataFrame([(d,) for d in documents], "document string")
     once = type_json(df, "document", paths, ["document"]).collect()
     each = df.select("document", *typed_json(F.col("document"), paths)).collect()
