@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from leadline.plans import registry
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
@@ -36,10 +37,10 @@ def _sorted_rows(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.ORACLE_SQL)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_matches_sql(spark, tables, name):
     found = contract.queries()[name](spark, FOLDER)
     cursor = tables.execute(contract.oracle_sql()[name])
