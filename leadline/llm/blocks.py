@@ -67,26 +67,69 @@ def pack(key: str, source: int, goes_to: np.ndarray, arrays: list[np.ndarray]) -
     where = goes_to[order]
     starts = np.flatnonzero(np.r_[True, where[1:] != where[:-1]]) if len(where) else where[:0]
     ends = np.r_[starts[1:], len(where)] if len(where) else starts
-    sorted_arrays = [array[order] for array in arrays]
     columns = {
         key: pa.array(where[starts].astype(np.int32)),
         other: pa.array(np.full(len(starts), source, np.int32)),
     }
-    for i, array in enumerate(sorted_arrays):
-        parts = [array[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]
+    for i, array in enumerate(arrays):
+        array = array[order]
+        parts = [_narrow(array[a:b]) for a, b in zip(starts, ends, strict=True)]
         columns[f"a{i}"] = pa.array(parts, pa.binary())
     return pa.table(columns)
 
 
-def unpack(table: pa.Table, index: int, dtype: type) -> list[np.ndarray]:
+def _narrow(array: np.ndarray) -> bytes:
+    """The width in bytes, then the values; numbers take the least width that holds them."""
+    if array.dtype == np.int64 and len(array) and array.min() >= 0:
+        most = array.max()
+        for kind in (np.uint8, np.uint16, np.uint32):
+            if most <= np.iinfo(kind).max:
+                array = array.astype(kind)
+                break
+    return bytes([array.itemsize]) + array.tobytes()
+
+
+_UNSIGNED = {1: np.uint8, 2: np.uint16, 4: np.uint32}
+
+
+def unpack(table: pa.Table, index: int, dtype: type = np.int64) -> list[np.ndarray]:
     """The arrays of one packed column, one for each row."""
-    return [np.frombuffer(part, dtype) for part in table.column(f"a{index}").to_pylist()]
+    found = []
+    for part in table.column(f"a{index}").to_pylist():
+        kind = dtype if part[0] == 8 else _UNSIGNED[part[0]]
+        found.append(np.frombuffer(part, kind, offset=1).astype(dtype))
+    return found
 
 
-def joined(table: pa.Table, index: int, dtype: type) -> np.ndarray:
+def joined(table: pa.Table, index: int, dtype: type = np.int64) -> np.ndarray:
     """One packed column of all rows, end to end."""
-    return np.frombuffer(b"".join(table.column(f"a{index}").to_pylist()), dtype)
+    return np.concatenate([np.zeros(0, dtype), *unpack(table, index, dtype)])
+
+
+def buckets_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return (keys % np.uint64(buckets)).astype(np.int64)
+
+
+class Sent:
+    """What a block sent to which bucket, so that answers can name entries by number.
+
+    A block computes its entries anew with each pass, in the same order.
+    """
+
+    def __init__(self, goes_to: np.ndarray) -> None:
+        self.order = np.argsort(goes_to, kind="stable")
+        where = goes_to[self.order]
+        self.first = dict(zip(*np.unique(where, return_index=True), strict=True))
+
+    def entries(self, buckets: list[int], numbers: list[np.ndarray]) -> np.ndarray:
+        """The entries that these buckets answered, in the order of the answers."""
+        places = [self.first[bucket] + number for bucket, number in zip(buckets, numbers, strict=True)]
+        return self.order[np.concatenate([np.zeros(0, np.int64), *places])]
 
 
-def stack(tables: list[pa.Table]) -> pa.Table:
-    return pa.concat_tables(tables)
+def numbered(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """For each entry of a bucket: its block, and its number in what that block sent."""
+    sizes = [(len(part) - 1) // part[0] for part in table.column("a0").to_pylist()]
+    block = np.repeat(table.column("block").to_numpy(), sizes)
+    number = np.concatenate([np.zeros(0, np.int64), *map(np.arange, sizes)])
+    return block.astype(np.int64), number

@@ -21,18 +21,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadline.llm.repeats import Parsed, phrases, remove_repeats
-from leadline.llm.words import Rolling, edges, mix, sliding_min
+from leadline.llm.words import BYTE_VALUE, Rolling, edges, sliding_min
 
 WINDOW_BYTES = 200
 GRAM_BYTES = 32
 BLOCK_BYTES = 2 << 20
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64))
 _PLACE = np.uint64((1 << 31) - 1)
 
 
 def parse_bytes(texts: list[bytes], width: int, gram: int) -> Parsed:
     bounds = edges([len(text) for text in texts])
-    rolling = Rolling(_BYTE[np.frombuffer(b"".join(texts), np.uint8)])
+    rolling = Rolling(BYTE_VALUE[np.frombuffer(b"".join(texts), np.uint8)])
     grams = rolling.windows(gram)
     ranks = (grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64)
     places = (sliding_min(ranks, width - gram + 1) & _PLACE).astype(np.int64)

@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadline.config import prepare_session
+from leadline.llm.containment import find_contained
+from leadline.llm.cuckoo import exact_groups
+from leadline.llm.license_rules import scan_licenses
+from leadline.llm.mixing import mix_sizes, sizes_of
 from leadline.llm.prefix_free import remove_repeated_strings
 from leadline.llm.recompression import remove_repeated_passages
 
@@ -17,12 +21,36 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of equal texts from the cuckoo index; the least id of each stays."""
+    found = exact_groups(table(spark, folder, "documents"))
+    digest = F.lower(F.hex("digest")).alias("text_sha256")
+    return found.select("doc_id", "keep_id", "group_size", "kept", digest)
+
+
 def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Words removed because their 13-word window also starts in an earlier document."""
     found = remove_repeated_passages(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of each document that the mix takes."""
+    found = mix_sizes(sizes_of(table(spark, folder, "documents")))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that contain a test item, with the share of its shingles they hold."""
+    found = find_contained(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.withColumn("containment", F.col("n_shared") / F.col("n_item"))
+
+
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases and labels of each document."""
+    return scan_licenses(table(spark, folder, "documents")).drop("detections")
+
+
 def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes removed because their 200-byte string starts elsewhere too."""
     found = remove_repeated_strings(table(spark, folder, "documents"))
@@ -36,8 +64,162 @@ def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_exact_dedup": op2_exact_dedup,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_source_mix": op5_source_mix,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_license_scan": op7_license_scan,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_TEXT = "coalesce(text, '')"
+_GAP = r"[\x20\x09-\x0D]+"
+
+OP2_SQL = f"""
+WITH digests AS (
+    SELECT doc_id, sha256(regexp_replace({_TEXT}, '{_GAP}', ' ', 'g')) AS text_sha256 FROM documents
+)
+SELECT doc_id,
+       min(doc_id) OVER same AS keep_id,
+       count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id) = 1 AS kept,
+       text_sha256
+FROM digests WINDOW same AS (PARTITION BY text_sha256)
+"""
+
+OP4_SQL = f"""
+WITH listed AS (
+    SELECT doc_id, list_filter(string_split_regex({_TEXT}, '{_GAP}'), lambda w: w <> '') AS words FROM documents
+), windows AS (
+    SELECT doc_id, pos, md5(array_to_string(words[pos:pos + 12], ' ')) AS content
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS pos FROM listed)
+), repeated AS (
+    SELECT doc_id, pos FROM (SELECT *, min(doc_id) OVER (PARTITION BY content) AS least FROM windows)
+    WHERE least < doc_id
+), covered AS (
+    SELECT doc_id, list_sort(list(DISTINCT place)) AS places
+    FROM (SELECT doc_id, unnest(range(pos, pos + 13)) AS place FROM repeated) GROUP BY doc_id
+), single AS (
+    SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM listed
+), gone AS (
+    SELECT doc_id, unnest(places) AS place FROM covered
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS kept_text
+    FROM single ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
+)
+SELECT doc_id,
+       len(words)::BIGINT AS n_words,
+       coalesce(len(places), 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept_text, '')) AS kept_sha256
+FROM listed LEFT JOIN covered USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+OP5_SQL = f"""
+WITH sizes AS (
+    SELECT doc_id, source, len(list_filter(string_split_regex({_TEXT}, '{_GAP}'), lambda w: w <> ''))::BIGINT AS size
+    FROM documents
+), summed AS (
+    SELECT source, sum(size)::BIGINT AS source_size FROM sizes GROUP BY source
+), ranked AS (
+    SELECT *, place, [3, 1, 2][(place % 3) + 1]::BIGINT AS weight
+    FROM (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM summed)
+), stepped AS (
+    SELECT *,
+           4 * source_size AS cap,
+           3 * (sum(source_size) OVER ()) AS budget,
+           coalesce(sum(4 * source_size) OVER before, 0) AS cap_before,
+           sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS weight_left
+    FROM ranked
+    WINDOW before AS (
+        ORDER BY source_size / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
+    )
+), flagged AS (
+    SELECT *, (budget - cap_before) * weight > cap * weight_left AS full_up FROM stepped
+), targets AS (
+    SELECT source, source_size,
+           CASE WHEN full_up THEN cap::DOUBLE / 2.0
+                ELSE ((budget - coalesce(sum(cap) FILTER (full_up) OVER (), 0)) * weight)::DOUBLE
+                     / (2 * sum(weight) FILTER (NOT full_up) OVER ())::DOUBLE END AS target
+    FROM flagged
+), drawn AS (
+    SELECT doc_id, size, source_size, target,
+           CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
+           ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / 4503599627370496.0 AS draw
+    FROM sizes JOIN targets ON sizes.source IS NOT DISTINCT FROM targets.source
+)
+SELECT doc_id, size, source_size, target,
+       size * (floor(rate)::BIGINT + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END) AS taken
+FROM drawn
+"""
+
+_PLAIN = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _shingles_sql(ident: str, name: str) -> str:
+    """Distinct five-word shingles of a table; a shorter text is one shingle."""
+    words = f"list_filter(string_split_regex({_PLAIN.format(_TEXT)}, '{_BETWEEN}'), lambda w: w <> '')"
+    return f"""
+    SELECT DISTINCT {ident}, array_to_string(words[pos:pos + 4], ' ') AS shingle
+    FROM (
+        SELECT {ident}, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS pos
+        FROM (SELECT {ident}, {words} AS words FROM {name}) WHERE len(words) > 0
+    )"""
+
+
+OP6_SQL = f"""
+WITH doc AS ({_shingles_sql("doc_id", "documents")}
+), item AS ({_shingles_sql("item_id", "benchmark")}
+), sizes AS (
+    SELECT item_id, count(*)::BIGINT AS n_item FROM item GROUP BY item_id
+), shared AS (
+    SELECT doc_id, item_id, count(*)::BIGINT AS n_shared FROM doc JOIN item USING (shingle) GROUP BY doc_id, item_id
+)
+SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment
+FROM shared JOIN sizes USING (item_id) WHERE 100 * n_shared >= 80 * n_item
+"""
+
+OP8_SQL = f"""
+WITH coded AS (
+    SELECT doc_id, hex(encode({_TEXT})) AS code FROM documents
+), windows AS (
+    SELECT doc_id, pos, md5(substr(code, 2 * pos + 1, 400)) AS content
+    FROM (SELECT doc_id, code, unnest(range(0, len(code) // 2 - 199)) AS pos FROM coded)
+), repeated AS (
+    SELECT doc_id, pos FROM (SELECT *, count(*) OVER (PARTITION BY content) AS places FROM windows)
+    WHERE places > 1
+), stepped AS (
+    SELECT doc_id, pos, lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS before FROM repeated
+), numbered AS (
+    SELECT doc_id, pos,
+           sum(CASE WHEN pos - before <= 200 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY pos) AS span
+    FROM stepped
+), spans AS (
+    SELECT doc_id, span, min(pos) AS first, max(pos) + 200 AS last FROM numbered GROUP BY doc_id, span
+), gaps AS (
+    SELECT doc_id, span, first, last,
+           coalesce(lag(last) OVER (PARTITION BY doc_id ORDER BY span), 0) AS resume
+    FROM spans
+), kept AS (
+    SELECT doc_id,
+           string_agg(substr(code, 2 * resume + 1, 2 * (first - resume)), '' ORDER BY span)
+               || substr(any_value(code), 2 * max(last) + 1) AS code,
+           sum(last - first)::BIGINT AS n_removed,
+           count(*) AS n_spans
+    FROM gaps JOIN coded USING (doc_id) GROUP BY doc_id
+)
+SELECT coded.doc_id,
+       (len(coded.code) // 2)::BIGINT AS n_bytes,
+       coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept.code, coded.code))) AS kept_sha256
+FROM coded LEFT JOIN kept ON coded.doc_id = kept.doc_id
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_exact_dedup": OP2_SQL,
+    "op4_substring_dedup": OP4_SQL,
+    "op5_source_mix": OP5_SQL,
+    "op6_benchmark_decontamination": OP6_SQL,
+    "op8_suffix_array_dedup": OP8_SQL,
+}

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadline.llm.repeats import Parsed, phrases, remove_repeats
-from leadline.llm.words import Names, Rolling, combine, edges, mix, name_words
+from leadline.llm.words import Rolling, combine, mix, words_of
 
 WINDOW_WORDS = 13
 BLOCK_BYTES = 4 << 20
@@ -98,34 +98,34 @@ class Symbols:
 
 def rounds_for(width: int) -> int:
     """Rounds after which a window still holds symbols that it decides."""
-    return max(1, int(math.log2(max(2.0, width / 3))))
+    return max(1, int(math.log2(max(2.0, width / 6))))
 
 
-def parse_words(texts: list[bytes], width: int, names: Names) -> Parsed:
-    lists = [text.split() for text in texts]
-    bounds = edges([len(words) for words in lists])
-    values = name_words([word for words in lists for word in words], names)
-    total = len(values)
+def parse_words(texts: list[bytes], width: int) -> Parsed:
+    words = words_of(texts)
+    total = len(words.name)
     windows = max(0, total - width + 1)
-    rolling = Rolling(values)
+    rolling = Rolling(words.name)
     anchor = combine(rolling.windows(width), np.full(windows, width, np.uint64))
     places = -np.arange(1, windows + 1, dtype=np.int64)
     place = np.arange(total, dtype=np.int64)
-    symbols = Symbols(values, place, place + 1, total)
+    symbols = Symbols(words.name, place, place + 1, total)
     for level in range(1, rounds_for(width) + 1):
         symbols = symbols.runs().pairs(level)
         chosen = symbols.best(width, windows)
         at = np.flatnonzero(chosen >= 0)
-        anchor[at] = combine(symbols.name[chosen[at]], np.full(len(at), level, np.uint64))
-        places[at] = chosen[at] + (level << 40)
+        chosen = chosen[at]
+        # All words that decide the symbol are part of the anchor: fewer chance meetings.
+        around = rolling.between(symbols.low[chosen], symbols.high[chosen])
+        anchor[at] = combine(combine(symbols.name[chosen], around), np.full(len(at), level, np.uint64))
+        places[at] = chosen + (level << 40)
 
     def keep(document: int, stays: np.ndarray) -> bytes:
-        words = lists[document]
         if stays.all():
-            return b" ".join(words)
-        return b" ".join([words[i] for i in np.flatnonzero(stays)])
+            return b" ".join(texts[document].split())
+        return b" ".join([words.word(i) for i in words.bounds[document] + np.flatnonzero(stays)])
 
-    return phrases(bounds, width, anchor, places, rolling, keep)
+    return phrases(words.bounds, width, anchor, places, rolling, keep)
 
 
 def remove_repeated_passages(
@@ -146,10 +146,9 @@ def remove_repeated_passages(
       Rows of one id are one document for the comparison of ids. Other columns are ignored.
     * An empty table gives an empty result.
     """
-    names = Names()
 
     def parse(texts: list[bytes]) -> Parsed:
-        return parse_words(texts, width, names)
+        return parse_words(texts, width)
 
     found = remove_repeats(documents, ident, text, parse, width, True, block_bytes)
     return found.select(

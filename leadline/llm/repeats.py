@@ -13,7 +13,7 @@ windows with one anchor, with all units those windows cover.
 3. Blocks mark the windows that repeat, then the units they cover.
 
 The text is shuffled once: the three passes read the same exchange. A phrase is known by 128
-bits (anchor and content), a window by 128 bits.
+bits (anchor and content), a window by 96 (half of its anchor, and content).
 """
 
 from __future__ import annotations
@@ -23,12 +23,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from leadline.llm import blocks as B
-from leadline.llm.words import Rolling, combine
+from leadline.llm.words import Rolling
 
-WHOLE, EMIT, WINDOW = 1, 2, 4
+WHOLE, EMIT = 1, 2
 
 RESULT = "id long, n_units long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"
 
@@ -96,39 +98,6 @@ def _spread(starts: np.ndarray, values: np.ndarray, total: int) -> np.ndarray:
     return np.repeat(values, np.diff(np.r_[starts, total]))
 
 
-def _least(anchor: np.ndarray, content: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """For each entry the least document among those of its key."""
-    order = np.lexsort((doc, content, anchor))
-    starts = _groups(anchor[order], content[order])
-    least = np.empty(len(doc), np.int64)
-    least[order] = _spread(starts, doc[order][starts], len(order))
-    return least
-
-
-class _Answers:
-    """What buckets told a block, by (anchor, content)."""
-
-    def __init__(self, table: pa.Table) -> None:
-        anchor, content = B.joined(table, 0, np.uint64), B.joined(table, 1, np.uint64)
-        key = combine(anchor, content)
-        order = np.argsort(key, kind="stable")
-        self.key = key[order]
-        self.value = B.joined(table, 2, np.int64)[order]
-        self.flags = B.joined(table, 3, np.uint8)[order]
-
-    def find(self, anchor: np.ndarray, content: np.ndarray, flags: int) -> tuple[np.ndarray, ...]:
-        """For each key: is it told with any of these flags, its value, its flags."""
-        chosen = np.flatnonzero(self.flags & flags)
-        if not len(chosen) or not len(anchor):
-            none = np.zeros(len(anchor), np.int64)
-            return none.astype(bool), none, none.astype(np.uint8)
-        known = self.key[chosen]
-        wanted = combine(anchor, content)
-        at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
-        hit = known[at] == wanted
-        return hit, self.value[chosen][at], np.where(hit, self.flags[chosen][at], 0)
-
-
 class Repeats:
     """``earlier``: a window repeats if a document of smaller id has it too; else if any
     other place has it."""
@@ -136,68 +105,80 @@ class Repeats:
     def __init__(self, parse: Callable[[list[bytes]], Parsed], width: int, earlier: bool, buckets: int) -> None:
         self.parse, self.width, self.earlier, self.buckets = parse, width, earlier, buckets
 
-    def _bucket(self, keys: np.ndarray) -> np.ndarray:
-        return (keys % np.uint64(self.buckets)).astype(np.int64)
-
     def _read(self, docs: pa.Table) -> tuple[np.ndarray, Parsed, np.ndarray]:
         ids, texts, _ = B.rows_of(docs)
         parsed = self.parse(texts)
         owner = np.searchsorted(parsed.bounds, parsed.first, "right") - 1
         return ids, parsed, ids[owner] if len(ids) else np.zeros(0, np.int64)
 
+    def _classes(self, anchor: np.ndarray, content: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Order of entries, starts of classes in it, and what each class tells of itself."""
+        order = np.lexsort((doc, content, anchor))
+        starts = _groups(anchor[order], content[order])
+        tells = doc[order][starts] if self.earlier else np.diff(np.r_[starts, len(order)])
+        return order, starts, tells
+
     def send_phrases(self, docs: pa.Table) -> pa.Table:
         _, parsed, doc = self._read(docs)
-        order = np.lexsort((doc, parsed.phrase, parsed.anchor))
-        anchor, phrase = parsed.anchor[order], parsed.phrase[order]
-        starts = _groups(anchor, phrase)
-        counts = np.diff(np.r_[starts, len(order)])
+        order, starts, tells = self._classes(parsed.anchor, parsed.phrase, doc)
+        first = order[starts]
         return B.pack(
             "bucket",
             docs.column("block")[0].as_py(),
-            self._bucket(anchor[starts]),
-            [anchor[starts], phrase[starts], doc[order][starts], counts],
+            B.buckets_of(parsed.anchor[first], self.buckets),
+            [parsed.anchor[first], parsed.phrase[first], tells],
         )
 
     def settle_phrases(self, sent: pa.Table) -> pa.Table:
-        anchor, phrase = B.joined(sent, 0, np.uint64), B.joined(sent, 1, np.uint64)
-        doc, count = B.joined(sent, 2, np.int64), B.joined(sent, 3, np.int64)
-        sizes = [len(part) // 8 for part in sent.column("a0").to_pylist()]
-        block = np.repeat(sent.column("block").to_numpy(), sizes)
-        order = np.lexsort((block, doc, phrase, anchor))
-        anchor, phrase, doc, count, block = (x[order] for x in (anchor, phrase, doc, count, block))
+        anchor, phrase, tells = B.joined(sent, 0, np.uint64), B.joined(sent, 1, np.uint64), B.joined(sent, 2)
+        block, number = B.numbered(sent)
+        order = np.lexsort((block, tells, phrase, anchor) if self.earlier else (block, phrase, anchor))
+        anchor, phrase, tells = anchor[order], phrase[order], tells[order]
         total = len(order)
         classes = _groups(anchor, phrase)
-        least = doc[classes]
-        number = np.add.reduceat(count, classes) if total else count
         of_anchor = _groups(anchor[classes])
         several = np.diff(np.r_[of_anchor, len(classes)]) > 1
         if self.earlier:
-            several &= np.minimum.reduceat(least, of_anchor) < np.maximum.reduceat(least, of_anchor) if total else several
-            whole = _spread(classes, least, total) < doc
-            teller = _spread(classes, least, total) == doc
+            least = tells[classes]
+            if total:
+                several &= np.minimum.reduceat(least, of_anchor) < np.maximum.reduceat(least, of_anchor)
+            value = _spread(classes, least, total)
+            whole, teller = value < tells, value == tells
         else:
-            several &= np.minimum.reduceat(number, of_anchor) == 1 if total else several
-            whole = _spread(classes, number, total) > 1
+            value = np.zeros(total, np.int64)
+            count = np.add.reduceat(tells, classes) if total else tells
+            if total:
+                several &= np.minimum.reduceat(count, of_anchor) == 1
+            whole = _spread(classes, count, total) > 1
             teller = np.zeros(total, bool)
             teller[classes] = True
         emit = teller & _spread(classes, _spread(of_anchor, several, len(classes)), total)
-        flags = (whole * WHOLE + emit * EMIT).astype(np.uint8)
+        flags = (whole * WHOLE + emit * EMIT).astype(np.int64)
         told = np.flatnonzero(flags)
         return B.pack(
             "block",
             sent.column("bucket")[0].as_py(),
-            block[told].astype(np.int64),
-            [anchor[told], phrase[told], _spread(classes, least, total)[told], flags[told]],
+            block[order][told],
+            [number[order][told], value[told], flags[told]],
         )
 
-    def _open(self, parsed: Parsed, doc: np.ndarray, answers: _Answers) -> np.ndarray:
-        """Phrases whose windows must be told apart."""
-        told, value, flags = answers.find(parsed.anchor, parsed.phrase, WHOLE | EMIT)
-        chosen = np.flatnonzero(told & ((flags & EMIT) > 0))
+    def _told(self, parsed: Parsed, doc: np.ndarray, told: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases settled as a whole, and those whose windows must be told apart."""
+        told = told.filter(pa.compute.equal(told.column("kind"), 0))
+        order, starts, tells = self._classes(parsed.anchor, parsed.phrase, doc)
+        first = order[starts]
+        sent = B.Sent(B.buckets_of(parsed.anchor[first], self.buckets))
+        answered = sent.entries(told.column("bucket").to_pylist(), B.unpack(told, 0))
+        flags, value = np.zeros(len(starts), np.int64), tells.copy()
+        flags[answered] = B.joined(told, 2)
+        value[answered] = B.joined(told, 1)
+        total = len(order)
+        of = np.empty(total, np.int64)
+        of[order] = _spread(starts, np.arange(len(starts)), total)
+        emits = (flags & EMIT) > 0
         if self.earlier:
-            return chosen[doc[chosen] == value[chosen]]
-        order = chosen[np.lexsort((chosen, parsed.phrase[chosen], parsed.anchor[chosen]))]
-        return np.sort(order[_groups(parsed.anchor[order], parsed.phrase[order])])
+            return value[of] < doc, np.flatnonzero(emits[of] & (value[of] == doc))
+        return ((flags & WHOLE) > 0)[of], np.sort(first[emits])
 
     def _windows(self, parsed: Parsed, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts, hashes and phrases of the windows of these phrases."""
@@ -211,40 +192,30 @@ class Repeats:
         if not docs.num_rows:
             return B.pack("bucket", 0, np.zeros(0, np.int64), [np.zeros(0, np.int64)] * 3)
         _, parsed, doc = self._read(docs)
-        _, hashes, of = self._windows(parsed, self._open(parsed, doc, _Answers(told)))
-        anchor, doc = parsed.anchor[of], doc[of]
-        order = np.lexsort((doc, hashes, anchor))
-        anchor, hashes, doc = anchor[order], hashes[order], doc[order]
-        starts = _groups(anchor, hashes)
-        third = doc[starts] if self.earlier else np.diff(np.r_[starts, len(order)])
+        _, hashes, of = self._windows(parsed, self._told(parsed, doc, told)[1])
+        anchor = parsed.anchor[of]
+        order, starts, tells = self._classes(anchor, hashes, doc[of])
+        first = order[starts]
         return B.pack(
             "bucket",
             docs.column("block")[0].as_py(),
-            self._bucket(hashes[starts]),
-            [anchor[starts], hashes[starts], third],
+            B.buckets_of(hashes[first], self.buckets),
+            [(anchor[first] >> np.uint64(32)).astype(np.int64), hashes[first], tells],
         )
 
     def settle_windows(self, sent: pa.Table) -> pa.Table:
-        anchor, hashes = B.joined(sent, 0, np.uint64), B.joined(sent, 1, np.uint64)
-        third = B.joined(sent, 2, np.int64)
-        sizes = [len(part) // 8 for part in sent.column("a0").to_pylist()]
-        block = np.repeat(sent.column("block").to_numpy(), sizes)
-        order = np.lexsort((block, third, hashes, anchor))
-        anchor, hashes, third, block = (x[order] for x in (anchor, hashes, third, block))
-        total = len(order)
-        classes = _groups(anchor, hashes)
+        anchor, hashes, tells = B.joined(sent, 0), B.joined(sent, 1, np.uint64), B.joined(sent, 2)
+        block, number = B.numbered(sent)
+        order = np.lexsort((tells, hashes, anchor))
+        tells, total = tells[order], len(order)
+        classes = _groups(anchor[order], hashes[order])
         if self.earlier:
-            repeated = _spread(classes, third[classes], total) < third
+            repeated = _spread(classes, tells[classes], total) < tells
         else:
-            number = np.add.reduceat(third, classes) if total else third
-            repeated = _spread(classes, number, total) > 1
+            count = np.add.reduceat(tells, classes) if total else tells
+            repeated = _spread(classes, count, total) > 1
         told = np.flatnonzero(repeated)
-        return B.pack(
-            "block",
-            sent.column("bucket")[0].as_py(),
-            block[told].astype(np.int64),
-            [anchor[told], hashes[told], third[told], np.full(len(told), WINDOW, np.uint8)],
-        )
+        return B.pack("block", sent.column("bucket")[0].as_py(), block[order][told], [number[order][told]] * 3)
 
     def remove(self, docs: pa.Table, told: pa.Table) -> pa.Table:
         if not docs.num_rows:
@@ -258,22 +229,25 @@ class Repeats:
                 }
             )
         ids, parsed, doc = self._read(docs)
-        answers = _Answers(told)
-        hit, value, flags = answers.find(parsed.anchor, parsed.phrase, WHOLE | EMIT)
-        if self.earlier:
-            # The bucket tells a smaller id; otherwise the least is one of this block.
-            least = np.where(hit & ((flags & WHOLE) > 0), value, _least(parsed.anchor, parsed.phrase, doc))
-            whole = least < doc
-        else:
-            whole = hit & ((flags & WHOLE) > 0)
+        whole, chosen = self._told(parsed, doc, told)
         total = int(parsed.bounds[-1])
         cover = np.zeros(total + 1, np.int32)
         np.add.at(cover, parsed.first[whole], 1)
         np.add.at(cover, (parsed.first + parsed.count - 1 + self.width)[whole], -1)
-        starts, hashes, of = self._windows(parsed, self._open(parsed, doc, answers))
-        hit, _, _ = answers.find(parsed.anchor[of], hashes, WINDOW)
+        starts, hashes, of = self._windows(parsed, chosen)
+        order, groups, tells = self._classes(parsed.anchor[of], hashes, doc[of])
+        first = order[groups]
+        answers = told.filter(pa.compute.equal(told.column("kind"), 1))
+        sent = B.Sent(B.buckets_of(hashes[first], self.buckets))
+        repeated = np.zeros(len(groups), bool)
+        repeated[sent.entries(answers.column("bucket").to_pylist(), B.unpack(answers, 0))] = True
+        hit = np.empty(len(of), bool)
+        hit[order] = _spread(groups, repeated, len(order))
         if self.earlier:
-            hit |= _least(parsed.anchor[of], hashes, doc[of]) < doc[of]
+            # The bucket tells of smaller ids elsewhere; the least may be one of this block.
+            least = np.empty(len(of), np.int64)
+            least[order] = _spread(groups, tells, len(order))
+            hit |= least < doc[of]
         np.add.at(cover, starts[hit], 1)
         np.add.at(cover, starts[hit] + self.width, -1)
         gone = np.cumsum(cover[:-1]) > 0
@@ -311,18 +285,21 @@ def remove_repeats(
     docs = B.in_blocks(frame, ident, text, blocks)
     told = (
         docs.groupBy("block")
-        .applyInArrow(lambda table: job.send_phrases(table), B.packed_schema("bucket", 4))
+        .applyInArrow(lambda table: job.send_phrases(table), B.packed_schema("bucket", 3))
         .groupBy("bucket")
-        .applyInArrow(lambda table: job.settle_phrases(table), B.packed_schema("block", 4))
+        .applyInArrow(lambda table: job.settle_phrases(table), B.packed_schema("block", 3))
+        .withColumn("kind", F.lit(0))
     )
     told_windows = (
         docs.groupBy("block")
         .cogroup(told.groupBy("block"))
         .applyInArrow(lambda docs, told: job.send_windows(docs, told), B.packed_schema("bucket", 3))
         .groupBy("bucket")
-        .applyInArrow(lambda table: job.settle_windows(table), B.packed_schema("block", 4))
+        .applyInArrow(lambda table: job.settle_windows(table), B.packed_schema("block", 3))
+        .withColumn("kind", F.lit(1))
+    )
+    return (
+        docs.groupBy("block")
+        .cogroup(told.unionByName(told_windows).groupBy("block"))
+        .applyInArrow(lambda docs, told: job.remove(docs, told), RESULT)
     )
-    answers = told.unionByName(told_windows)
-    return docs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda docs, told: job.remove(docs, told), RESULT)
-
-

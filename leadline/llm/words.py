@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import hashlib
+from dataclasses import dataclass
 
 import numpy as np
 
@@ -15,22 +15,6 @@ _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX2 = np.uint64(0x94D049BB133111EB)
 _BASE = 0xD6E8FEB86659FD93
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-MOST_NAMES = 400_000
-
-
-class Names(dict):
-    """Word to 64-bit name. The names are hashes, so every task gives the same ones."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MOST_NAMES:
-            self.clear()
-        name = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        self[word] = name
-        return name
-
-
-def name_words(words: list[bytes], names: Names) -> np.ndarray:
-    return np.fromiter(map(names.__getitem__, words), np.uint64, len(words))
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -77,28 +61,68 @@ def edges(lengths: list[int]) -> np.ndarray:
     return np.concatenate([np.zeros(1, np.int64), np.cumsum(lengths, dtype=np.int64)])
 
 
-def shingle_sets(texts: list[bytes], size: int, names: Names) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct shingle hashes of each text, end to end, and where each begins.
+# Bytes that end a word: the six of white space, or all but letters, digits and non-ASCII.
+BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+NOT_PLAIN = np.array([c < 48 or 57 < c < 65 or 90 < c < 97 or 122 < c < 128 for c in range(256)])
+BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64))
+
+
+@dataclass
+class Words:
+    """All words of several texts: names, places in ``data``, and where each text begins."""
+
+    data: bytes
+    name: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    bounds: np.ndarray
+
+    def word(self, index: int) -> bytes:
+        return self.data[self.start[index] : self.end[index]]
+
+
+def words_of(texts: list[bytes], lower: bool = False, gap: np.ndarray = BLANK) -> Words:
+    """Cut texts into words without a step for each word. A name is a hash of the bytes.
+
+    ``lower`` puts A-Z in lower case.
+    """
+    data = b" ".join([b"", *texts, b""])
+    if lower:
+        data = data.lower()
+    bytes_ = np.frombuffer(data, np.uint8)
+    blank = gap[bytes_]
+    turns = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    start, end = turns[::2], turns[1::2]
+    name = combine(Rolling(BYTE_VALUE[bytes_]).between(start, end), (end - start).astype(np.uint64))
+    begins = edges([len(text) + 1 for text in texts])
+    return Words(data, name, start, end, np.searchsorted(start, begins))
+
+
+def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all shingles and the text of each, in order.
 
     A text of fewer words than ``size`` has its whole sequence as its only shingle; one
     without words has none.
     """
-    lists = [text.split() for text in texts]
-    bounds = edges([len(words) for words in lists])
-    values = name_words([word for words in lists for word in words], names)
-    rolling = Rolling(values)
+    bounds = words.bounds
+    rolling = Rolling(words.name)
     counts = np.diff(bounds)
-    shingles = np.where(counts == 0, 0, np.maximum(counts - size + 1, 1))
-    owner = np.repeat(np.arange(len(texts)), shingles)
-    offset = np.arange(len(owner)) - np.repeat(edges(shingles)[:-1], shingles)
+    number = np.where(counts == 0, 0, np.maximum(counts - size + 1, 1))
+    owner = np.repeat(np.arange(len(counts)), number)
+    offset = np.arange(len(owner)) - np.repeat(edges(number)[:-1], number)
     starts = bounds[:-1][owner] + offset
     ends = np.minimum(starts + size, bounds[1:][owner])
-    hashes = combine(rolling.between(starts, ends), (ends - starts).astype(np.uint64))
+    return combine(rolling.between(starts, ends), (ends - starts).astype(np.uint64)), owner
+
+
+def shingle_sets(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingle hashes of each text, end to end, and where each begins."""
+    hashes, owner = shingles(words, size)
     order = np.lexsort((hashes, owner))
     hashes, owner = hashes[order], owner[order]
     fresh = np.ones(len(hashes), bool)
     fresh[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-    return hashes[fresh], edges(np.bincount(owner[fresh], minlength=len(texts)))
+    return hashes[fresh], edges(np.bincount(owner[fresh], minlength=len(words.bounds) - 1))
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
