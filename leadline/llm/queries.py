@@ -12,6 +12,7 @@ from leadline.llm.containment import find_contained
 from leadline.llm.cuckoo import exact_groups
 from leadline.llm.license_rules import scan_licenses
 from leadline.llm.mixing import mix_sizes, sizes_of
+from leadline.llm.ngram_join import similar_components
 from leadline.llm.prefix_free import remove_repeated_strings
 from leadline.llm.recompression import remove_repeated_passages
 
@@ -21,6 +22,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose 4-word shingle sets are 85 % similar."""
+    return similar_components(table(spark, folder, "documents"), size=4, percent=85)
+
+
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of equal texts from the cuckoo index; the least id of each stays."""
     found = exact_groups(table(spark, folder, "documents"))
@@ -64,6 +70,7 @@ def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_source_mix": op5_source_mix,
@@ -75,6 +82,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _TEXT = "coalesce(text, '')"
 _GAP = r"[\x20\x09-\x0D]+"
 
+OP1_SQL = f"""
+WITH RECURSIVE listed AS (
+    SELECT doc_id, list_filter(
+        string_split_regex(translate({_TEXT}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_GAP}'),
+        lambda w: w <> ''
+    ) AS words FROM documents
+), shingle AS (
+    SELECT DISTINCT doc_id, md5(array_to_string(words[pos:pos + 3], ' ')) AS shingle
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 1) + 1)) AS pos FROM listed WHERE len(words) > 0)
+), sizes AS (
+    SELECT doc_id, count(*)::BIGINT AS n FROM shingle GROUP BY doc_id
+), shared AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+    FROM shingle AS x JOIN shingle AS y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM shared JOIN sizes AS s ON s.doc_id = a JOIN sizes AS t ON t.doc_id = b
+    WHERE 100 * common >= 85 * (s.n + t.n - common)
+), reached AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION
+    SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+)
+SELECT listed.doc_id, coalesce(n, 0) AS n_shingles, least AS component_id
+FROM listed LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS least FROM reached GROUP BY a) USING (doc_id)
+"""
+
 OP2_SQL = f"""
 WITH digests AS (
     SELECT doc_id, sha256(regexp_replace({_TEXT}, '{_GAP}', ' ', 'g')) AS text_sha256 FROM documents
@@ -217,6 +251,7 @@ FROM coded LEFT JOIN kept ON coded.doc_id = kept.doc_id
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_ngram_join": OP1_SQL,
     "op2_exact_dedup": OP2_SQL,
     "op4_substring_dedup": OP4_SQL,
     "op5_source_mix": OP5_SQL,
