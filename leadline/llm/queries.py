@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadline.config import prepare_session
+from leadline.llm import crf_quality, language_mixture
 from leadline.llm.containment import find_contained
 from leadline.llm.cuckoo import exact_groups
 from leadline.llm.license_rules import scan_licenses
@@ -22,6 +23,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def remainder(of: int, ident: str = "doc_id"):
+    """crc32 of the id as text, modulo ``of``; null ids have none."""
+    return F.crc32(F.col(ident).cast("string").cast("binary")) % of
+
+
 def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose 4-word shingle sets are 85 % similar."""
     return similar_components(table(spark, folder, "documents"), size=4, percent=85)
@@ -34,6 +40,15 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", digest)
 
 
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Largest language of each document's mixture; learned where the remainder is not 2."""
+    documents = table(spark, folder, "documents")
+    held_out = F.coalesce(remainder(4) == 2, F.lit(False))
+    model = language_mixture.train(documents, "lang", "text", ~held_out)
+    found = language_mixture.identify(documents, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Words removed because their 13-word window also starts in an earlier document."""
     found = remove_repeated_passages(table(spark, folder, "documents"))
@@ -69,14 +84,26 @@ def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of each document; learned from labels where the remainder is not 0."""
+    documents = table(spark, folder, "documents")
+    held_out = F.coalesce(remainder(5) == 0, F.lit(False))
+    model = crf_quality.train(documents, table(spark, folder, "labels"), ~held_out)
+    found = crf_quality.score_documents(documents, model)
+    predicted = (F.col("score") >= crf_quality.THRESHOLD).cast("int")
+    return found.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_language_id": op3_language_id,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_source_mix": op5_source_mix,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_license_scan": op7_license_scan,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 _TEXT = "coalesce(text, '')"
