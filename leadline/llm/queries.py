@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadline.config import prepare_session
-from leadline.llm import crf_quality, language_mixture
+from leadline.llm import crf_quality, gated_lm, language_mixture
 from leadline.llm.containment import find_contained
 from leadline.llm.cuckoo import exact_groups
 from leadline.llm.license_rules import scan_licenses
@@ -84,6 +84,16 @@ def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Log10 probabilities of each document; learned where the remainder is not 2."""
+    documents = table(spark, folder, "documents")
+    held_out = F.coalesce(remainder(7) == 2, F.lit(False))
+    found = gated_lm.score_documents(documents, ~held_out)
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of each document; learned from labels where the remainder is not 0."""
     documents = table(spark, folder, "documents")
@@ -103,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_license_scan": op7_license_scan,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
+    "op9_lm_scores": op9_lm_scores,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
