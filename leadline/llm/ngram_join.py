@@ -308,7 +308,10 @@ def similar_components(
     with_tokens = open_.where("tokens IS NOT NULL").groupBy("set_id", "group_id", "n").agg(
         F.min(F.coalesce("id", F.lit(B.LAST))).alias("holder")
     )
-    reps = with_tokens.join(parts, "group_id").withColumnRenamed("holder", "key")
+    # A group without partners may still hold several sets.
+    reps = with_tokens.join(parts, "group_id", "left").select(
+        F.coalesce("part", "group_id").alias("part"), "n", "set_id", F.col("holder").alias("key")
+    )
     held = open_.where("tokens IS NOT NULL").select(
         "set_id", F.coalesce("id", F.lit(B.LAST)).alias("key"), "tokens"
     )
