@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadline.llm.words import BYTE_VALUE, Rolling, combine, words_of
+from leadline.llm.words import BYTE_VALUE, Rolling, combine, pieces, words_of
 
 # Bound of the labelled sample that is fitted: documents, chosen by a hash of their id.
 TRAIN_DOCUMENTS = 3000
@@ -202,6 +202,11 @@ def fit(bins: np.ndarray, bounds: np.ndarray, labels: np.ndarray) -> Field:
 
 def score_texts(texts: list[bytes], model: Field) -> tuple[np.ndarray, list[np.ndarray]]:
     """Score of each text, and the probability that each of its lines is good."""
+    parts = [_score_piece(texts[start:stop], model) for start, stop in pieces(texts)]
+    return np.concatenate([np.zeros(0), *(part[0] for part in parts)]), [line for part in parts for line in part[1]]
+
+
+def _score_piece(texts: list[bytes], model: Field) -> tuple[np.ndarray, list[np.ndarray]]:
     bins, length, bounds = lines_of(texts)
     good, _ = forward_backward(_scores(model, _around(bins, bounds)), bounds, model.pairs)
     sums = np.concatenate([[0.0], np.cumsum(good * length)])
@@ -234,8 +239,10 @@ def train(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bins, _, bounds = lines_of(batch.column("data").to_pylist())
-            parts = [bins[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            texts, parts = batch.column("data").to_pylist(), []
+            for start, stop in pieces(texts):
+                bins, _, bounds = lines_of(texts[start:stop])
+                parts += [bins[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
             yield pa.record_batch(
                 {"key": batch.column("key"), "good": batch.column("good").cast(pa.int32()), "bins": pa.array(parts, pa.binary())}
             )
@@ -265,17 +272,15 @@ def score_documents(documents: DataFrame, model: Field, ident: str = "doc_id", t
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _model(sent)
-        for whole in batches:
-            for start in range(0, whole.num_rows, 2000):
-                batch = whole.slice(start, 2000)
-                scores, lines = score_texts(batch.column("data").to_pylist(), own)
-                yield pa.record_batch(
-                    {
-                        "id": batch.column("id"),
-                        "score": pa.array(scores, pa.float64()),
-                        "line_scores": pa.array([line.tolist() for line in lines], pa.list_(pa.float64())),
-                    }
-                )
+        for batch in batches:
+            scores, lines = score_texts(batch.column("data").to_pylist(), own)
+            yield pa.record_batch(
+                {
+                    "id": batch.column("id"),
+                    "score": pa.array(scores, pa.float64()),
+                    "line_scores": pa.array([line.tolist() for line in lines], pa.list_(pa.float64())),
+                }
+            )
 
     found = rows.mapInArrow(score, "id long, score double, line_scores array<double>")
     return found.select(F.col("id").alias(ident), "score", "line_scores")
@@ -288,10 +293,8 @@ def keep_good(documents: DataFrame, model: Field, text: str = "text", threshold:
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _model(sent)
-        for whole in batches:
-            for start in range(0, whole.num_rows, 2000):
-                batch = whole.slice(start, 2000)
-                texts = [(value or "").encode() for value in batch.column(place).to_pylist()]
-                yield batch.filter(pa.array(score_texts(texts, own)[0] >= threshold))
+        for batch in batches:
+            texts = [(value or "").encode() for value in batch.column(place).to_pylist()]
+            yield batch.filter(pa.array(score_texts(texts, own)[0] >= threshold, pa.bool_()))
 
     return documents.mapInArrow(keep, documents.schema)

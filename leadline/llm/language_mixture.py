@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leadline.llm.words import pieces
+
 GRAM_BITS = 15
 PIECE = 48
 STEPS = 10
@@ -44,8 +46,9 @@ def count_grams(rows: DataFrame) -> DataFrame:
             for lang, data in zip(batch.column("lang").to_pylist(), batch.column("data").to_pylist(), strict=True):
                 by_lang.setdefault(lang, []).append(data)
             for lang, texts in by_lang.items():
-                found = np.bincount(_codes(texts)[0], minlength=1 << GRAM_BITS)
-                totals[lang] = totals.get(lang, 0) + found
+                for start, stop in pieces(texts):
+                    found = np.bincount(_codes(texts[start:stop])[0], minlength=1 << GRAM_BITS)
+                    totals[lang] = totals.get(lang, 0) + found
         for lang, counts in totals.items():
             grams = np.flatnonzero(counts)
             yield pa.record_batch(
@@ -156,9 +159,9 @@ def identify(documents: DataFrame, model: Model, ident: str = "doc_id", text: st
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*sent.value)
         for whole in batches:
-            for start in range(0, whole.num_rows, 1000):
-                batch = whole.slice(start, 1000)
-                texts = batch.column("data").to_pylist()
+            everything = whole.column("data").to_pylist()
+            for start, stop in pieces(everything):
+                batch, texts = whole.slice(start, stop - start), everything[start:stop]
                 able = [i for i, ok in enumerate(batch.column("able").to_pylist()) if ok and own.languages]
                 shares = infer([texts[i] for i in able], own) if able else np.zeros((0, 1))
                 names: list[str] = [UNKNOWN] * len(texts)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -10,6 +11,7 @@ import numpy as np
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
+PIECE_BYTES = 1 << 21
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX2 = np.uint64(0x94D049BB133111EB)
@@ -93,11 +95,30 @@ def words_of(texts: list[bytes], lower: bool = False, gap: np.ndarray = BLANK) -
     blank = gap[bytes_]
     turns = np.flatnonzero(blank[1:] != blank[:-1]) + 1
     start, end = turns[::2], turns[1::2]
-    name = combine(Rolling(BYTE_VALUE[bytes_]).between(start, end), (end - start).astype(np.uint64))
+    # Piece by piece, so that memory does not hold several numbers for each byte.
+    cuts = np.unique(np.searchsorted(start, np.arange(0, len(data) + PIECE_BYTES, PIECE_BYTES)))
+    names = [np.zeros(0, np.uint64)]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        begin, stop = start[a], end[b - 1]
+        rolling = Rolling(BYTE_VALUE[bytes_[begin:stop]])
+        names.append(rolling.between(start[a:b] - begin, end[a:b] - begin))
+    name = combine(np.concatenate(names), (end - start).astype(np.uint64))
     begins = edges([len(text) + 1 for text in texts])
     return Words(data, name, start, end, np.searchsorted(start, begins))
 
 
+def pieces(texts: list[bytes], most: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of at most ``most`` bytes or one text."""
+    start = size = 0
+    for i, text in enumerate(texts):
+        if i > start and size + len(text) > most:
+            yield start, i
+            start, size = i, 0
+        size += len(text)
+    if start < len(texts):
+        yield start, len(texts)
+
+
 def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all shingles and the text of each, in order.
 
