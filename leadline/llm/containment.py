@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadline.llm.words import NOT_PLAIN, shingle_sets, shingles, words_of
+from leadline.llm.words import NOT_PLAIN, pieces, shingle_sets, shingles, words_of
 
 SHINGLE = 5
 LEAST_PERCENT = 80
@@ -55,6 +55,11 @@ class ItemIndex:
 
     def search(self, texts: list[bytes], size: int) -> Iterator[tuple[int, int, int]]:
         """Document, item and shared shingles of every containment."""
+        for start, stop in pieces(texts):
+            for document, item, shared in self._search(texts[start:stop], size):
+                yield start + document, item, shared
+
+    def _search(self, texts: list[bytes], size: int) -> Iterator[tuple[int, int, int]]:
         hashes, owner = shingles(words_of(texts, lower=True, gap=NOT_PLAIN), size)
         if not len(hashes):
             return
