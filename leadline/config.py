@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark import cloudpickle
@@ -19,6 +18,8 @@ SESSION_SETTINGS = {
     # Arg-max over strings shares an object-hash aggregate with other buffers;
     # the default of 128 groups per task falls back to sorting far too early.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
+    # Checkpoint files go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
@@ -41,18 +42,30 @@ def prepare_session(spark: SparkSession, time_zone: str = "UTC") -> SparkSession
     return spark
 
 
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which every executor sees.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which every executor sees.
 
-    Only where the session names none (tests on one machine) is a temporary
-    folder made and set as the checkpoint folder.
+    Where the session names none, a folder below its warehouse is set, which executors
+    share as well.
     """
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="leadline-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    if not context.getCheckpointDir():
         context.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+    return base.rstrip("/")
+
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder below the checkpoint folder."""
+    return f"{checkpoint_folder(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder in whatever store it lies."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def observer_interval(seconds: float = OBSERVER_INTERVAL_SECONDS) -> float:

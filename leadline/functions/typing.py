@@ -61,25 +61,6 @@ def typed_json(
     ]
 
 
-_PARSED = "_parsed_document"
-# From about this many fields on, one parse is cheaper than one for each field.
-PARSE_ONCE_FROM = 7
-
-
-def _parsed_text(document: Column, path: str, kind: str) -> Column:
-    """Text of a field from the parsed document, as ``json_text`` would give it.
-
-    Documents that the parser refuses although they are JSON objects (NaN, repeated
-    keys) and nested values, whose key order it changes, are read from the text.
-    """
-    parsed = F.col(_PARSED)
-    value = F.try_variant_get(parsed, path, "string")
-    from_text = parsed.isNull()
-    if kind == "string":
-        from_text = from_text | value.startswith("{") | value.startswith("[")
-    return F.when(from_text, json_text(document, path)).otherwise(value)
-
-
 def type_json(
     df: DataFrame,
     document: str,
@@ -87,13 +68,9 @@ def type_json(
     keep: Sequence[str | Column],
     after: Sequence[str | Column] = (),
 ) -> DataFrame:
-    """``keep``, the typed fields and ``after``; many fields share one parse."""
-    text = F.col(document)
-    if len(fields) < PARSE_ONCE_FROM:
-        return df.select(*keep, *typed_json(text, fields), *after)
-    parsed = df.withColumn(_PARSED, F.try_parse_json(text))
-    typed = [
-        _READERS[kind](_parsed_text(text, path, kind)).alias(name)
-        for name, (path, kind) in fields.items()
-    ]
-    return parsed.select(*keep, *typed, *after)
+    """``keep``, the typed fields and ``after``.
+
+    Every field is read from the text of the document, however many there are: a parsed
+    form would rewrite numbers (1.0 as 1, long ones in exponent form).
+    """
+    return df.select(*keep, *typed_json(F.col(document), fields), *after)

@@ -185,7 +185,3 @@ def findings(events: DataFrame, operations: DataFrame, attempts: DataFrame) -> D
         ).alias("probe_arrival_rate"),
     )
     return side_by_side(fought, run, tried)
-
-
-def reconciled_sources(profile: DataFrame) -> DataFrame:
-    return profile.agg(count_where(F.col("latest_session_reconciled")).alias("sources"))

@@ -1,17 +1,18 @@
-"""Joins that match NULL keys, and bounded lists of very large groups."""
+"""Joins that match NULL keys, and lists of very large groups."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The broadcast list of large groups never holds more rows than this. Groups
-# that do not make the list each hold under one part in this many of all rows
-# and take the ordinary path, so results do not depend on it.
-HOT_GROUP_LIMIT = 10_000
+from leadline.config import checkpoint_folder
+
+# A list of large groups is broadcast up to this many rows, and joined by shuffle beyond.
+MOST_BROADCAST = 10_000
 
 
 def join_null_safe(
@@ -26,13 +27,29 @@ def join_null_safe(
     return left.join(other, condition, how).drop(*renamed.values())
 
 
-def hot_groups(
-    df: DataFrame, keys: Sequence[str], more_than: int, *aggregates: Column
-) -> DataFrame:
-    """The largest groups above ``more_than`` rows, few enough to broadcast."""
-    counted = df.groupBy(*keys).agg(F.count("*").alias("_rows"), *aggregates)
-    largest = counted.filter(F.col("_rows") > more_than).orderBy(F.desc("_rows"))
-    return F.broadcast(largest.limit(HOT_GROUP_LIMIT))
+class LargeGroups(NamedTuple):
+    """All groups above a number of rows, how many they are, and the rows of the largest."""
+
+    groups: DataFrame
+    count: int
+    most_rows: int
+
+    def sized(self, frame: DataFrame) -> DataFrame:
+        """``frame``, with one row for each group, broadcast if that is known to be small."""
+        return F.broadcast(frame) if self.count <= MOST_BROADCAST else frame
+
+
+def large_groups(df: DataFrame, keys: Sequence[str], more_than: int) -> LargeGroups:
+    """Every group above ``more_than`` rows; runs one job that counts rows by key.
+
+    There are at most rows / more_than of them. The list is written to the checkpoint
+    folder, so it is computed once, and an empty one spares the caller its large branch.
+    """
+    checkpoint_folder(df.sparkSession)
+    counted = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    listed = counted.filter(F.col("_rows") > more_than).checkpoint()
+    size = listed.agg(F.count("*").alias("n"), F.max("_rows").alias("most")).first()
+    return LargeGroups(listed.select(*keys), size["n"], size["most"] or 0)
 
 
 def reduce_with_label(

@@ -2,10 +2,10 @@
 
 A window over a key puts all rows of the key into one task, which fails when one
 key holds a large share of the data. Here every key above ``rows_per_slice`` rows
-is cut along time into slices that different tasks handle. What a slice needs to
-know from the ones before it arrives as one extra row at its head, so the result
-is that of the uncut window. Ordinary keys are not cut and cost nothing extra
-beyond one pass that counts rows for each key.
+is cut at quantiles of time into slices that different tasks handle. What a slice
+needs to know from the ones before it arrives as one extra row at its head, so the
+result is that of the uncut window. One job first counts rows by key; where no key
+is that large, a plain window is all that is left.
 """
 
 from __future__ import annotations
@@ -15,43 +15,73 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leadline.operators.keys import hot_groups, join_null_safe
+from leadline.operators.keys import join_null_safe, large_groups
 
 ROWS_PER_SLICE = 250_000
-_AFTER_ALL_TIMES = (1 << 63) - 1
+# Cuts of one key; a key of more rows than this many slices gets larger slices.
+MOST_SLICES = 10_000
+
+
+def _tie_place(df: DataFrame, tie: str) -> Column:
+    """A number that never falls as ``tie`` rises; texts by their first six bytes."""
+    kind = dict(df.dtypes)[tie]
+    if kind == "string":
+        start = F.substring(F.col(tie).cast("binary"), 1, 6)
+        return F.conv(F.rpad(F.hex(start), 12, "0"), 16, 10).cast("double")
+    if kind in ("timestamp", "timestamp_ntz", "date"):
+        return F.unix_micros(F.col(tie).cast("timestamp")).cast("double")
+    numeric = kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal")
+    return F.col(tie).cast("double") if numeric else F.lit(0.0)
+
+
+def _position(cuts: Column, place: Column) -> Column:
+    """How many of the sorted cuts lie below ``place``: a coarse look, then a fine one."""
+    step = F.ceil(F.sqrt(F.size(cuts))).cast("int")
+    heads = F.filter(cuts, lambda cut, i: (i % step == 0) & (cut < place))
+    begin = F.greatest(F.size(heads) - 1, F.lit(0)) * step
+    fine = F.filter(F.slice(cuts, begin + 1, F.greatest(step, F.lit(1))), lambda cut: cut < place)
+    return F.when(F.size(cuts) > 0, begin + F.size(fine)).otherwise(0)
 
 
 def _with_slices(
-    df: DataFrame, keys: Sequence[str], ts: str, rows_per_slice: int
-) -> DataFrame:
-    micros = F.unix_micros(F.col(ts))
-    slices = F.ceil(F.col("_rows") / F.lit(rows_per_slice))
-    hot = hot_groups(
-        df.select(*keys, ts),
-        keys,
-        rows_per_slice,
-        F.min(micros).alias("_low"),
-        F.max(micros).alias("_high"),
-    ).select(
-        *keys,
-        "_low",
-        F.greatest(
-            F.lit(1), F.ceil((F.col("_high") - F.col("_low") + 1) / slices)
-        ).alias("_width"),
-        F.lit(True).alias("_is_hot"),
-    )
-    position = F.floor((micros - F.col("_low")) / F.col("_width"))
+    df: DataFrame, keys: Sequence[str], ts: str, tie: str | None, rows_per_slice: int
+) -> DataFrame | None:
+    """``df`` with ``_hot`` and ``_slice``; None if no key is above ``rows_per_slice``.
+
+    Large keys are cut at quantiles of time, rows without a time at quantiles of the tie
+    and after all others, so slices are even whatever the times are.
+    """
+    large = large_groups(df.select(*keys), keys, rows_per_slice)
+    if not large.count:
+        return None
+    wanted = min(MOST_SLICES, -(-large.most_rows // rows_per_slice))
+    shares = F.array(*[F.lit(number / wanted) for number in range(1, wanted)])
+    timed = F.unix_micros(F.col(ts)).cast("double")
+    untimed = _tie_place(df, tie) if tie else F.lit(0.0)
+    placed = df.withColumns({"_timed": timed, "_untimed": F.when(F.col(ts).isNull(), untimed)})
+    hot = join_null_safe(placed.select(*keys, "_timed", "_untimed"), large.sized(large.groups), keys, "inner")
+    none = F.array().cast("array<double>")
+    if wanted > 1:
+        cuts = {
+            name: F.coalesce(F.array_distinct(F.percentile_approx(column, shares, 20 * wanted)), none)
+            for name, column in (("_time_cuts", "_timed"), ("_tie_cuts", "_untimed"))
+        }
+    else:
+        cuts = {name: F.first(none) for name in ("_time_cuts", "_tie_cuts")}
+    hot = hot.groupBy(*keys).agg(*[column.alias(name) for name, column in cuts.items()])
+    hot = large.sized(hot.withColumn("_is_hot", F.lit(True)).checkpoint())
+    after = F.size("_time_cuts") + 1
+    late = F.coalesce(_position(F.col("_tie_cuts"), F.col("_untimed")), F.size("_tie_cuts"))
+    number = F.when(F.col("_timed").isNull(), after + late).otherwise(_position(F.col("_time_cuts"), F.col("_timed")))
     return (
-        join_null_safe(df, F.broadcast(hot), keys, "left")
+        join_null_safe(placed, hot, keys, "left")
         .withColumns(
             {
                 "_hot": F.coalesce(F.col("_is_hot"), F.lit(False)),
-                "_slice": F.when(
-                    F.col("_is_hot"), F.coalesce(position, F.lit(_AFTER_ALL_TIMES))
-                ).otherwise(F.lit(0).cast("bigint")),
+                "_slice": F.when(F.col("_is_hot"), number).otherwise(0).cast("bigint"),
             }
         )
-        .drop("_low", "_width", "_is_hot")
+        .drop("_time_cuts", "_tie_cuts", "_is_hot", "_timed", "_untimed")
     )
 
 
@@ -80,7 +110,10 @@ def previous_rows(
     Rows of a key are ordered by ``ts``, then ``tie``, NULLs last.
     """
     sources = list(dict.fromkeys(columns.values()))
-    sliced = _with_slices(df, keys, ts, rows_per_slice)
+    sliced = _with_slices(df, keys, ts, tie, rows_per_slice)
+    if sliced is None:
+        whole = Window.partitionBy(*keys).orderBy(*_nulls_last(ts, tie))
+        return df.withColumns({new: F.lag(old).over(whole) for new, old in columns.items()})
     tails = (
         sliced.filter("_hot")
         .groupBy(*keys, "_slice")
@@ -132,7 +165,7 @@ def last_known(
     keys = list(by) or ["_everything"]
     packed = F.struct(*[F.col(old).alias(new) for new, old in values.items()])
     order_value = F.col(tie) if tie else F.lit(None).cast("string")
-    asked = left.withColumns({"_at": F.col(ts), "_side": F.lit(1)})
+    asked = left.filter(F.col(ts).isNotNull()).withColumns({"_at": F.col(ts), "_side": F.lit(1)})
     known = right.filter(F.col(right_ts).isNotNull()).select(
         *by,
         F.col(right_ts).alias("_at"),
@@ -143,46 +176,49 @@ def last_known(
     both = asked.unionByName(known, allowMissingColumns=True)
     if not by:
         both = both.withColumn("_everything", F.lit(0))
-    sliced = _with_slices(both, keys, "_at", rows_per_slice)
-    order = _as_struct("_at", "_tie")
-    tails = (
-        sliced.filter("_hot")
-        .groupBy(*keys, "_slice")
-        .agg(
-            F.max_by(
-                F.col("_known"), F.when(F.col("_known").isNotNull(), order)
-            ).alias("_tail")
+    sliced = _with_slices(both, keys, "_at", None, rows_per_slice)
+    # A NULL tie is the least; equal ties are decided by the values.
+    order = ["_at", "_tie", "_known"]
+    if sliced is None:
+        body, partition = both.withColumn("_turn", F.lit(0)), keys
+    else:
+        tails = (
+            sliced.filter("_hot")
+            .groupBy(*keys, "_slice")
+            .agg(
+                F.max_by(
+                    F.col("_known"), F.when(F.col("_known").isNotNull(), F.struct(*order))
+                ).alias("_tail")
+            )
         )
-    )
-    earlier = (
-        Window.partitionBy(*keys)
-        .orderBy("_slice")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    heads = (
-        tails.withColumn("_known", F.last("_tail", ignorenulls=True).over(earlier))
-        .filter(F.col("_known").isNotNull())
-        .select(*keys, "_slice", F.lit(-1).alias("_turn"), "_known")
-    )
-    body = sliced.drop("_hot").withColumn("_turn", F.lit(0))
+        earlier = (
+            Window.partitionBy(*keys)
+            .orderBy("_slice")
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
+        heads = (
+            tails.withColumn("_known", F.last("_tail", ignorenulls=True).over(earlier))
+            .filter(F.col("_known").isNotNull())
+            .select(*keys, "_slice", F.lit(-1).alias("_turn"), "_known")
+        )
+        body = sliced.drop("_hot").withColumn("_turn", F.lit(0))
+        body, partition = body.unionByName(heads, allowMissingColumns=True), [*keys, "_slice"]
     # Right rows come before left rows of the same instant.
     in_order = (
-        Window.partitionBy(*keys, "_slice")
-        .orderBy("_turn", *_nulls_last("_at"), "_side", "_tie")
+        Window.partitionBy(*partition)
+        .orderBy("_turn", "_at", "_side", "_tie", "_known")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     latest = F.last("_known", ignorenulls=True).over(in_order)
+    types = dict(right.dtypes)
+    untimed = left.filter(F.col(ts).isNull()).select(
+        "*", *[F.lit(None).cast(types[old]).alias(new) for new, old in values.items()]
+    )
     return (
-        body.unionByName(heads, allowMissingColumns=True)
-        .withColumn("_latest", latest)
+        body.withColumn("_latest", latest)
         .filter(F.col("_side") == 1)
-        .select(
-            *left.columns,
-            *[
-                F.when(F.col(ts).isNotNull(), F.col(f"_latest.{new}")).alias(new)
-                for new in values
-            ],
-        )
+        .select(*left.columns, *[F.col(f"_latest.{new}").alias(new) for new in values])
+        .unionByName(untimed)
     )
 
 
@@ -254,11 +290,12 @@ def changes(
     Adds ``previous_<column>``.
     """
     names = {f"previous_{name}": name for name in watched}
-    seen = previous_rows(df, keys, ts, tie, {**names, "_earlier": ts}, rows_per_slice)
+    marked = df.withColumn("_row", F.lit(True))
+    seen = previous_rows(marked, keys, ts, tie, {**names, "_earlier": "_row"}, rows_per_slice)
     differs = F.lit(False)
     for new, old in names.items():
         differs = differs | ~F.col(new).eqNullSafe(F.col(old))
-    return seen.filter(F.col("_earlier").isNull() | differs).drop("_earlier")
+    return seen.filter(F.col("_earlier").isNull() | differs).drop("_earlier", "_row")
 
 
 def latest_per_key(

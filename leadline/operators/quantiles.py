@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from leadline.operators.keys import hot_groups, join_null_safe
+from leadline.operators.keys import join_null_safe, large_groups
 
 ACCURACY = 100_000
 _BRACKET_STEPS = 5
@@ -22,22 +22,23 @@ _BRACKET_STEPS = 5
 
 def _brackets(
     values: DataFrame, groups: list[str], probabilities: list[float], accuracy: int
-) -> DataFrame:
-    """Bounds around each wanted quantile, for large groups only (a bounded list)."""
+) -> DataFrame | None:
+    """Bounds around each wanted quantile for all large groups; None if there are none."""
     margin = _BRACKET_STEPS / accuracy
     cuts = [
         bound
         for p in probabilities
         for bound in (max(0.0, p - margin), min(1.0, p + margin))
     ]
-    large = hot_groups(values.select(*groups), groups, accuracy).select(*groups)
+    large = large_groups(values.select(*groups), groups, accuracy)
+    if not large.count:
+        return None
     sketched = (
-        join_null_safe(values, F.broadcast(large), groups, "inner")
+        join_null_safe(values, large.sized(large.groups), groups, "inner")
         .groupBy(*groups)
         .agg(F.percentile_approx("_value", cuts, accuracy).alias("_cuts"))
     )
-    # One row for each row of the list above, so within the same bound.
-    return F.broadcast(sketched)
+    return large.sized(sketched)
 
 
 def exact_quantiles(
@@ -66,9 +67,11 @@ def exact_quantiles(
         .select(*keys, F.col("_pair.m").alias("_measure"), F.col("_pair.v").alias("_value"))
         .filter(F.col("_value").isNotNull())
     )
-    bracketed = join_null_safe(
-        values, _brackets(values, groups, wanted, accuracy), groups, "left"
-    )
+    brackets = _brackets(values, groups, wanted, accuracy)
+    if brackets is None:
+        bracketed = values.withColumn("_cuts", F.lit(None).cast("array<double>"))
+    else:
+        bracketed = join_null_safe(values, brackets, groups, "left")
     # A value outside every bracket is replaced by the upper bound of the bracket
     # below it (NULL below the first) and marked as a gap.
     inside = F.lit(False)

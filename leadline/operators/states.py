@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Mapping, Sequence
+from datetime import timezone
 from functools import reduce
 from typing import Optional
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadline.functions import canonical_json, event_digest, json_text, text_digest
+from leadline.functions.verdict import error_name
 from leadline.operators.ingest import OBSERVED, SCHEMA_VERSION, UNAVAILABLE
 from leadline.schemas import BRONZE
 from leadline.sources.relational import TABLE_KEYS, check_allowed
@@ -21,9 +26,40 @@ STATE_SOURCE = "state_snapshot"
 TABLE_EVENT = "database_snapshot"
 
 
-def sorted_json(text: Column) -> Column:
-    """Compact JSON with keys in order at every depth (the variant form sorts them)."""
-    return F.to_json(F.parse_json(text))
+_CANONICAL = "struct<plain:string,config:string,raw:string>"
+
+
+def _sorted_text(value: object) -> str:
+    return json.dumps(value, sort_keys=True, separators=(",", ":"))
+
+
+def canonical_state(text: Column, observed_at: Column, version: Optional[str]) -> Column:
+    """Sorted compact texts of a document, of its configuration, and of the stored row.
+
+    NULL for what is not one JSON object. State documents are few and small, so the JSON
+    reader of the strict rule is used: it accepts NaN, takes the last of repeated keys and
+    leaves numbers as they are written.
+    """
+
+    def read(texts: pa.Array, times: pa.Array) -> pa.Array:
+        found = []
+        for document, moment in zip(texts.to_pylist(), times.to_pylist()):
+            if document is None or moment is None or error_name(document.encode("utf-8", "surrogatepass")):
+                found.append(None)
+                continue
+            payload = json.loads(document)
+            config = _sorted_text(payload.get("config"))
+            utc = moment.astimezone(timezone.utc) if moment.tzinfo else moment.replace(tzinfo=timezone.utc)
+            added = {
+                "observation_time": utc.isoformat(),
+                "configuration_hash": hashlib.sha256(config.encode()).hexdigest(),
+                "observed_source_git_sha": version,
+            }
+            found.append({"plain": _sorted_text(payload), "config": config, "raw": _sorted_text({**payload, **added})})
+        kind = pa.struct([(name, pa.string()) for name in ("plain", "config", "raw")])
+        return pa.array(found, kind)
+
+    return F.arrow_udf(read, _CANONICAL)(text, observed_at)
 
 
 def _provenance(sha: Column) -> Column:
@@ -35,54 +71,30 @@ def to_state_rows(
     observed_at: Column,
     version: Optional[str],
     document: str = "document",
-    source_file: str = STATE_FILE,
+    source_file: str | Column = STATE_FILE,
 ) -> DataFrame:
-    """State documents as stored events.
+    """State documents as stored events; what is not one JSON object is left out.
 
     The stored text adds the observation time, a hash of the configuration and the
     version to the document. The time in microseconds takes the place of the line
-    number in the identity.
+    number in the identity, beside the file that the document is from.
     """
     sha = F.lit(version).cast("string")
-    base = documents.select(F.col(document).alias("_text"), observed_at.alias("_at"))
-    plain = sorted_json(F.col("_text"))
-    config = F.coalesce(
-        F.to_json(F.try_variant_get(F.parse_json("_text"), "$.config", "variant")),
-        F.lit("null"),
-    )
-    added = F.to_json(
-        F.struct(
-            F.date_format("_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("observation_time"),
-            text_digest(config).alias("configuration_hash"),
-            sha.alias("observed_source_git_sha"),
-        ),
-        {"ignoreNullFields": "false"},
-    )
-    # Both texts are objects: join their insides, later keys replacing earlier ones.
-    as_map = "map<string, variant>"
-    enriched = F.to_json(
-        F.map_concat(
-            F.map_filter(
-                F.try_variant_get(F.parse_json("_text"), "$", as_map),
-                lambda key, _: ~key.isin(
-                    "observation_time", "configuration_hash", "observed_source_git_sha"
-                ),
-            ),
-            F.try_variant_get(F.parse_json(added), "$", as_map),
-        )
+    file = F.lit(source_file) if isinstance(source_file, str) else source_file
+    base = documents.select(
+        F.col(document).alias("_text"), observed_at.alias("_at"), file.alias("_file")
     )
     number = F.unix_micros("_at")
-    raw = sorted_json(enriched)
     return (
-        base.withColumn("raw_json", raw)
+        base.withColumn("_state", canonical_state(F.col("_text"), F.col("_at"), version))
+        .filter(F.col("_state").isNotNull())
+        .withColumn("raw_json", F.col("_state.raw"))
         .select(
-            event_digest(
-                F.lit(source_file), number, F.encode("raw_json", "utf-8")
-            ).alias("event_id"),
+            event_digest(F.col("_file"), number, F.encode("raw_json", "utf-8")).alias("event_id"),
             F.col("_at").alias("event_time"),
             F.col("_at").alias("ingested_at"),
             F.lit(STATE_SOURCE).alias("source"),
-            F.lit(source_file).alias("source_file"),
+            F.col("_file").alias("source_file"),
             number.alias("source_line_number"),
             F.lit(STATE_SOURCE).alias("event_type"),
             F.lit(SCHEMA_VERSION).alias("schema_version"),
@@ -90,7 +102,7 @@ def to_state_rows(
             json_text(F.col("_text"), "$.lease_id").alias("lease_id"),
             sha.alias("source_git_sha"),
             _provenance(sha).alias("git_sha_provenance"),
-            text_digest(plain).alias("source_fingerprint_sha256"),
+            text_digest(F.col("_state.plain")).alias("source_fingerprint_sha256"),
             F.concat(F.lit("observer-"), F.date_format("_at", "yyyyMMdd")).alias(
                 "collector_session_id"
             ),

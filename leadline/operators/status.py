@@ -53,7 +53,8 @@ def entity_status(
     ``observed_at`` as text unless one instant text is given for all. Beyond
     ``stale_after`` seconds the status is unknown and the last one is kept beside it.
     Completions add a count and may move ``last_observed_kill_at`` forward, but never
-    change a status.
+    change a status. Of several completions of one name the last one counts, by time and
+    then by count, so a catalogue row never multiplies.
     """
     types = {f.name: f.dataType for f in OBSERVATION_ROW.fields if f.name not in (key, "status")}
     types.update(field_types or {})
@@ -84,6 +85,9 @@ def entity_status(
         count_or_zero(F.col("recorded_defeat_count")).alias("_count"),
         parse_with_short_offset(F.col("last_recorded_defeat_at").cast("string")).alias("_when"),
     ).filter(F.col("_name").isNotNull())
+    recorded = recorded.groupBy("_name").agg(
+        F.max(F.struct("_when", "_count")).alias("_last")
+    ).select("_name", "_last.*")
     merged = catalog.join(seen, F.col(key) == F.col("_key"), "left").join(
         recorded, F.col(display) == F.col("_name"), "left"
     )

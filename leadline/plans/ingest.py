@@ -10,17 +10,19 @@ from typing import Optional
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadline.config import prepare_session, shared_folder
+from leadline.config import delete_folder, prepare_session, shared_folder
 from leadline.operators import ingest
 from leadline.schemas import SOURCE_STATS
 from leadline.sinks.bronze import (
     check_written,
+    in_partitions,
+    partition_date,
     stored_ids,
     write_bronze,
     write_quarantine,
 )
 from leadline.sinks.records import write_file_results, write_manifest, write_offsets
-from leadline.sources.files import freeze
+from leadline.sources.files import freeze, refuse_bad_paths
 from leadline.sources.lines import RANGE_BYTES, count_ranges, read_lines, resume_plan
 from leadline.sources.specs import EVENT_SOURCES, SourceSpec
 from leadline.sources.stored import bronze, saved_offsets
@@ -60,8 +62,35 @@ def ingest_session(
     started = now or dt.datetime.now(dt.timezone.utc)
     session_id = session_id or new_session_id(started)
     folder = shared_folder(spark, f"session-{session_id}")
-    if frozen is None:
-        frozen = freeze(spark, root, specs, folder)
+    try:
+        if frozen is None:
+            frozen = freeze(spark, root, specs, folder)
+        else:
+            refuse_bad_paths(frozen, root)
+        return _store_session(
+            spark, data, folder, frozen, historical, full_scan, commits, version, specs,
+            tail, session_id, started, range_bytes,
+        )
+    finally:
+        # The scratch tables hold a copy of what was read.
+        delete_folder(spark, folder)
+
+
+def _store_session(
+    spark: SparkSession,
+    data: str,
+    folder: str,
+    frozen: DataFrame,
+    historical: bool,
+    full_scan: bool,
+    commits: Optional[DataFrame],
+    version: Optional[str],
+    specs: Sequence[SourceSpec],
+    tail: Optional[str],
+    session_id: str,
+    started: dt.datetime,
+    range_bytes: int,
+) -> dict[str, object]:
     saved = None if full_scan else saved_offsets(spark, data)
     files, ranges = resume_plan(
         spark, frozen, saved, folder, tail or ("read" if full_scan else "hold"), range_bytes
@@ -80,17 +109,20 @@ def ingest_session(
         F.countDistinct("source_file").alias("distinct"),
         F.collect_set("source").alias("sources"),
     ).first()
+
+    def to_envelope(rows: DataFrame) -> DataFrame:
+        located = rows.join(fingerprints, ["source", "source_file"])
+        return ingest.to_envelope(located, specs, session_id, F.lit(started).cast("timestamp"))
+
+    # The days of the batch: the only partitions of stored events that matter to it.
+    day = partition_date(F.col("event_time")).alias("day")
+    days = sorted(row["day"] for row in to_envelope(valid).select(day).distinct().collect())
     fresh = ingest.dedup_new(
         valid,
-        stored_ids(spark, data, listed["sources"]),
+        stored_ids(spark, data, listed["sources"], days),
         repeats_within=listed["rows"] != listed["distinct"],
     )
-    envelope = ingest.to_envelope(
-        fresh.join(fingerprints, ["source", "source_file"]),
-        specs,
-        session_id,
-        F.lit(started).cast("timestamp"),
-    )
+    envelope = to_envelope(fresh)
     if historical:
         history = ingest.clean_commits(commits) if commits is not None else None
         attributed = (
@@ -101,11 +133,11 @@ def ingest_session(
     else:
         attributed = ingest.attribute_constant(envelope, version)
     written = write_bronze(attributed, data)
-    check_written(spark, data, session_id, written)
+    check_written(spark, data, session_id, written, listed["sources"], days)
     quarantined = write_quarantine(bad, data, session_id)
 
     new_by_file = (
-        bronze(spark, data)
+        in_partitions(bronze(spark, data), listed["sources"], days)
         .filter(F.col("collector_session_id") == session_id)
         .groupBy("source", "source_file")
         .agg(F.count("*").alias("new_rows"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,7 +46,6 @@ def _write_logs(spark: SparkSession, folder: str) -> str:
     return root
 
 
-@cache
 def _ingested_twice(spark: SparkSession, folder: str) -> str:
     root, data = _write_logs(spark, folder), shared_folder(spark, "data")
     for _ in range(2):
@@ -57,7 +55,6 @@ def _ingested_twice(spark: SparkSession, folder: str) -> str:
     return data
 
 
-@cache
 def _streamed(spark: SparkSession, folder: str) -> str:
     root, data = _write_logs(spark, folder), shared_folder(spark, "data")
     stream = ingest_stream(

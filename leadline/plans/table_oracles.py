@@ -761,3 +761,45 @@ SELECT CAST(purchases AS BIGINT) AS completed_fights,
 FROM e, l
 """,
 }
+
+# The large branches of operators answer the same questions.
+ORACLE_SQL["counter_velocity_sliced"] = ORACLE_SQL["counter_velocity"]
+ORACLE_SQL["asof_attribution_sliced"] = ORACLE_SQL["asof_attribution"]
+ORACLE_SQL["asof_version_sliced"] = ORACLE_SQL["asof_version"]
+ORACLE_SQL["asof_version_by_day"] = ORACLE_SQL["asof_version"]
+ORACLE_SQL["change_points_sliced"] = ORACLE_SQL["change_points"]
+ORACLE_SQL["change_points_with_holes"] = _with(EVENTS_SQL) + f"""
+SELECT event_id, user_id, {_text('ts')} AS ts, event_type, version,
+       previous_event_type, previous_version
+FROM (
+  SELECT *, lag(event_type) OVER one_user AS previous_event_type,
+         lag(version) OVER one_user AS previous_version,
+         row_number() OVER one_user AS position
+  FROM (
+    SELECT event_id, event_type, version,
+           CASE WHEN user_id % 13 <> 0 THEN user_id END AS user_id,
+           CASE WHEN serial % 101 = 0 THEN TIMESTAMP '1970-01-01 00:00:01'
+                WHEN serial % 11 <> 0 THEN ts END AS ts
+    FROM ev
+  ) WINDOW one_user AS (PARTITION BY user_id ORDER BY ts NULLS LAST, event_id)
+) seen
+WHERE position = 1 OR event_type <> previous_event_type
+   OR version IS DISTINCT FROM previous_version
+"""
+ORACLE_SQL["last_known_with_ties"] = _with(EVENTS_SQL) + """
+SELECT e.event_id, CASE WHEN e.serial % 11 <> 0 THEN d.view_id END AS view_id
+FROM ev AS e ASOF LEFT JOIN (
+  SELECT user_id, date_trunc('day', ts) AS seen_at, event_id AS view_id
+  FROM ev WHERE event_type = 'view'
+  QUALIFY row_number() OVER (
+    PARTITION BY user_id, date_trunc('day', ts)
+    ORDER BY CASE WHEN serial % 3 <> 0 THEN k END DESC NULLS LAST, event_id DESC
+  ) = 1
+) AS d ON e.user_id = d.user_id AND e.ts >= d.seen_at
+"""
+ORACLE_SQL["operation_reliability_bracketed"] = _with(EVENTS_SQL) + """
+SELECT user_id % 5 AS "group", event_type,
+       round(quantile_cont(value, 0.5), 6) AS value_p50, round(quantile_cont(value, 0.95), 6) AS value_p95,
+       round(quantile_cont(k, 0.5), 6) AS k_p50, round(quantile_cont(k, 0.95), 6) AS k_p95
+FROM ev GROUP BY ALL
+"""

@@ -19,6 +19,7 @@ from leadline.operators.attempts import attempt_performance
 from leadline.operators.keys import join_null_safe
 from leadline.operators.profile import quality_profile
 from leadline.operators.progress import daily_progress
+from leadline.operators.quantiles import exact_quantiles
 from leadline.operators.reliability import (
     event_reliability,
     operation_reliability,
@@ -33,6 +34,8 @@ QUERIES: dict[str, Query] = {}
 
 COUNTERS = {"amount": "value", "serial": "serial"}
 VELOCITY_GAP_SECONDS = 43_200
+# Small enough that keys of the given tables are cut into slices.
+SLICE_ROWS = 50
 AS_OF = "2024-01-25 12:34:56"
 HOUR_RETENTION_DAYS = 10
 EVENT_COUNTS = {
@@ -139,7 +142,9 @@ def sessions_by_user(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _velocity(spark: SparkSession, folder: str) -> DataFrame:
+def _velocity(
+    spark: SparkSession, folder: str, rows_per_slice: int = ordered.ROWS_PER_SLICE
+) -> DataFrame:
     return velocity.counter_velocity(
         events(spark, folder),
         key="user_id",
@@ -148,12 +153,22 @@ def _velocity(spark: SparkSession, folder: str) -> DataFrame:
         elapsed="k",
         counters=COUNTERS,
         max_gap=VELOCITY_GAP_SECONDS,
+        rows_per_slice=rows_per_slice,
     )
 
 
 @query
 def counter_velocity(spark: SparkSession, folder: str) -> DataFrame:
-    found = _velocity(spark, folder)
+    return _shown_velocity(_velocity(spark, folder))
+
+
+@query
+def counter_velocity_sliced(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with every session cut into slices."""
+    return _shown_velocity(_velocity(spark, folder, SLICE_ROWS))
+
+
+def _shown_velocity(found: DataFrame) -> DataFrame:
     return rounded(
         found.withColumns(
             {"ts": seconds_text("ts"), "previous_ts": seconds_text("previous_ts")}
@@ -592,6 +607,16 @@ def latest_per_key(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def asof_attribution(spark: SparkSession, folder: str) -> DataFrame:
+    return _asof_attribution(spark, folder, ordered.ROWS_PER_SLICE)
+
+
+@query
+def asof_attribution_sliced(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with every user cut into slices."""
+    return _asof_attribution(spark, folder, SLICE_ROWS // 10)
+
+
+def _asof_attribution(spark: SparkSession, folder: str, rows_per_slice: int) -> DataFrame:
     ev = events(spark, folder)
     found = ordered.last_known(
         ev.filter(_is("error")).select("event_id", "user_id", "ts"),
@@ -603,45 +628,128 @@ def asof_attribution(spark: SparkSession, folder: str) -> DataFrame:
         values={"signup_id": "signup_id"},
         by=["user_id"],
         tie="signup_id",
+        rows_per_slice=rows_per_slice,
     )
     return found.withColumn("ts", seconds_text("ts"))
 
 
-@query
-def asof_version(spark: SparkSession, folder: str) -> DataFrame:
+def _releases(ev: DataFrame) -> DataFrame:
+    """Purchases in the place of commits."""
+    return ev.filter(_is("purchase")).select(
+        F.col("ts").alias("committed_at"), F.col("event_id").alias("sha")
+    )
+
+
+def _asof_version(spark: SparkSession, folder: str, **options) -> DataFrame:
     """Every event with the latest purchase of anyone at or before it."""
     ev = events(spark, folder)
     found = ordered.last_known(
         ev.select("event_id", "ts"),
-        ev.filter(_is("purchase")).select(
-            F.col("ts").alias("released_at"), F.col("event_id").alias("release_id")
-        ),
+        _releases(ev),
         ts="ts",
-        right_ts="released_at",
-        values={"release_id": "release_id"},
-        tie="release_id",
-    )
-    return found.select(
-        "event_id",
-        "release_id",
-        F.when(F.col("release_id").isNotNull(), "inferred_from_commit_time")
-        .otherwise("unavailable")
-        .alias("provenance"),
+        right_ts="committed_at",
+        values={"release_id": "sha"},
+        tie="sha",
+        **options,
     )
+    return _with_label(found)
+
+
+def _with_label(found: DataFrame) -> DataFrame:
+    known = F.when(F.col("release_id").isNotNull(), "inferred_from_commit_time")
+    return found.select("event_id", "release_id", known.otherwise("unavailable").alias("provenance"))
+
+
+@query
+def asof_version(spark: SparkSession, folder: str) -> DataFrame:
+    return _asof_version(spark, folder)
+
+
+@query
+def asof_version_sliced(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with the one key that all rows share cut into slices."""
+    return _asof_version(spark, folder, rows_per_slice=SLICE_ROWS)
+
+
+@query
+def asof_version_by_day(spark: SparkSession, folder: str) -> DataFrame:
+    """The same through the broadcast by day; a history too large for it is windowed."""
+    ev = events(spark, folder)
+    asked, releases = ev.select("event_id", "ts"), _releases(ev)
+    found = ordered.last_known_small(asked, releases, "ts", "committed_at", "sha", "release_id")
+    return _asof_version(spark, folder) if found is None else _with_label(found)
 
 
 @query
 def change_points(spark: SparkSession, folder: str) -> DataFrame:
+    return _change_points(events(spark, folder), ordered.ROWS_PER_SLICE)
+
+
+@query
+def change_points_sliced(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with every user cut into slices."""
+    return _change_points(events(spark, folder), SLICE_ROWS)
+
+
+@query
+def change_points_with_holes(spark: SparkSession, folder: str) -> DataFrame:
+    """Sliced, with missing keys and times and with times far from all others."""
+    serial = F.col("serial")
+    holes = events(spark, folder).withColumns(
+        {
+            "user_id": F.when(F.col("user_id") % 13 != 0, F.col("user_id")),
+            "ts": F.when(serial % 101 == 0, F.lit("1970-01-01 00:00:01").cast("timestamp")).when(
+                serial % 11 != 0, F.col("ts")
+            ),
+        }
+    )
+    return _change_points(holes, SLICE_ROWS)
+
+
+def _change_points(ev: DataFrame, rows_per_slice: int) -> DataFrame:
     found = ordered.changes(
-        events(spark, folder).select("event_id", "user_id", "ts", "event_type", "version"),
+        ev.select("event_id", "user_id", "ts", "event_type", "version"),
         ["user_id"],
         "ts",
         "event_id",
         ["event_type", "version"],
+        rows_per_slice,
     )
     return found.withColumn("ts", seconds_text("ts"))
 
 
+@query
+def last_known_with_ties(spark: SparkSession, folder: str) -> DataFrame:
+    """Sliced as-of join on days: many right rows of one instant, ties missing."""
+    ev = events(spark, folder)
+    found = ordered.last_known(
+        ev.select("event_id", "user_id", F.when(F.col("serial") % 11 != 0, F.col("ts")).alias("ts")),
+        ev.filter(_is("view")).select(
+            "user_id",
+            F.date_trunc("day", "ts").alias("seen_at"),
+            F.when(F.col("serial") % 3 != 0, F.col("k")).alias("tie"),
+            F.col("event_id").alias("view_id"),
+        ),
+        ts="ts",
+        right_ts="seen_at",
+        values={"view_id": "view_id"},
+        by=["user_id"],
+        tie="tie",
+        rows_per_slice=SLICE_ROWS,
+    )
+    return found.select("event_id", "view_id")
+
+
+@query
+def operation_reliability_bracketed(spark: SparkSession, folder: str) -> DataFrame:
+    """Latency quantiles with brackets around each of them."""
+    ev = events(spark, folder).withColumn("group", F.col("user_id") % 5)
+    found = exact_quantiles(
+        ev, ["group", "event_type"], {"value": "value", "k": "k"}, {"p50": 0.5, "p95": 0.95}, accuracy=40
+    )
+    return rounded(found, "value_p50", "value_p95", "k_p50", "k_p95")
+
+
 @query
 def null_safe_join(spark: SparkSession, folder: str) -> DataFrame:
     def hidden(name: str):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Optional
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,24 +41,41 @@ def write_bronze(events: DataFrame, folder: str) -> int:
     return counted.get.get("rows", 0)
 
 
-def stored_ids(spark: SparkSession, folder: str, sources: list[str]) -> DataFrame:
-    """Ids already stored for some sources: one column, pruned to their partitions."""
+def stored_ids(
+    spark: SparkSession, folder: str, sources: list[str], days: Optional[list[str]] = None
+) -> DataFrame:
+    """Ids already stored for some sources and days: one column, pruned to partitions.
+
+    An id covers the content and so the time of an event: an event that is stored lies
+    in the partition of its own day.
+    """
     if not path_exists(spark, f"{folder}/bronze"):
         return empty(spark, T.StructType([BRONZE["event_id"]]))
     return (
-        bronze(spark, folder)
-        .filter(F.col("source").isin(sources) & F.col("event_id").isNotNull())
+        in_partitions(bronze(spark, folder), sources, days)
+        .filter(F.col("event_id").isNotNull())
         .select("event_id")
     )
 
 
+def in_partitions(stored: DataFrame, sources: list[str], days: Optional[list[str]]) -> DataFrame:
+    chosen = stored.filter(F.col("source").isin(sources))
+    return chosen if days is None else chosen.filter(F.col("event_date").isin(days))
+
+
 def check_written(
-    spark: SparkSession, folder: str, session_id: str, produced: int, before: int = 0
+    spark: SparkSession,
+    folder: str,
+    session_id: str,
+    produced: int,
+    sources: list[str],
+    days: Optional[list[str]] = None,
 ) -> None:
-    """Fail unless the rows found in storage are those that were produced."""
-    found = bronze(spark, folder).filter(F.col("collector_session_id") == session_id).count()
-    if found - before != produced:
-        raise RuntimeError(f"stored {found - before} rows, but {produced} were produced")
+    """Fail unless the rows found in the session's partitions are those produced."""
+    stored = in_partitions(bronze(spark, folder), sources, days)
+    found = stored.filter(F.col("collector_session_id") == session_id).count()
+    if found != produced:
+        raise RuntimeError(f"stored {found} rows, but {produced} were produced")
 
 
 def write_quarantine(bad: DataFrame, folder: str, session_id: str) -> int:

@@ -124,16 +124,16 @@ def read_observation(
     row_fields = F.array(*[F.lit(name) for name in OBSERVATION_ROW.names])
     extra = typed.select(F.explode(F.array_except("_keys", row_fields)).alias("f")).distinct()
     _reject(
-        "observation row has unexpected fields", [row["f"] for row in extra.limit(20).collect()]
+        "observation row has unexpected fields", [row["f"] for row in extra.collect()]
     )
     if not typed.filter(F.col("_keys").isNull()).isEmpty():
         raise ValueError("observation rows must be objects")
     bad = typed.filter(F.col("status").isNull() | ~F.col("status").isin(*STATUSES))
-    _reject("invalid status", [str(row["status"]) for row in bad.limit(20).collect()])
+    _reject("invalid status", [str(row["status"]) for row in bad.collect()])
     if not typed.filter(F.coalesce("nm_key", F.lit("")) == "").isEmpty():
         raise ValueError("an observation row has no key")
     repeated = typed.groupBy("nm_key").count().filter("count > 1")
-    _reject("duplicate observation row", [r["nm_key"] for r in repeated.limit(20).collect()])
+    _reject("duplicate observation row", [r["nm_key"] for r in repeated.collect()])
     root = document.select(F.from_json("value", OBSERVATION_ROOT).alias("_r")).select("_r.*")
     moment = parse_with_short_offset(F.col("observed_at"))
     if root.filter(moment.isNotNull()).isEmpty():

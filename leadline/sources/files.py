@@ -118,8 +118,13 @@ def freeze(
     listing = list_files(spark, root, specs)
     listing.write.mode("overwrite").parquet(f"{folder}/frozen")
     frozen = spark.read.schema(listing.schema).parquet(f"{folder}/frozen")
+    refuse_bad_paths(frozen, root)
+    return frozen
+
+
+def refuse_bad_paths(frozen: DataFrame, root: str) -> None:
+    """Raise ``ValueError`` if a boundary holds a link or a file outside the root."""
     problem = path_problem(F.col("path"), root_uri(root))
     rejected = frozen.select(problem.alias("why")).filter("why IS NOT NULL").limit(1).collect()
     if rejected:
         raise ValueError(rejected[0]["why"])
-    return frozen

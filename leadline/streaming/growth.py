@@ -18,7 +18,7 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from leadline.config import prepare_session, shared_folder
+from leadline.config import delete_folder, prepare_session, shared_folder
 from leadline.plans.ingest import ingest_session
 from leadline.sources.files import root_uri
 from leadline.sources.specs import EVENT_SOURCES, SourceSpec
@@ -121,18 +121,21 @@ def ingest_stream(
 
     def session(batch: DataFrame, _batch_id: int) -> None:
         folder = shared_folder(batch.sparkSession, "boundary")
-        batch.write.mode("overwrite").parquet(folder)
-        frozen = batch.sparkSession.read.schema(batch.schema).parquet(folder)
-        if not frozen.isEmpty():
-            ingest_session(
-                batch.sparkSession,
-                root,
-                data,
-                version=version,
-                specs=specs,
-                tail=tail,
-                frozen=frozen,
-            )
+        try:
+            batch.write.mode("overwrite").parquet(folder)
+            frozen = batch.sparkSession.read.schema(batch.schema).parquet(folder)
+            if not frozen.isEmpty():
+                ingest_session(
+                    batch.sparkSession,
+                    root,
+                    data,
+                    version=version,
+                    specs=specs,
+                    tail=tail,
+                    frozen=frozen,
+                )
+        finally:
+            delete_folder(batch.sparkSession, folder)
 
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (

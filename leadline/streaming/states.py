@@ -19,9 +19,10 @@ from pyspark.sql.types import StructType
 from leadline.config import OBSERVER_INTERVAL_SECONDS, observer_interval, prepare_session
 from leadline.functions import json_text
 from leadline.functions.verdict import error_name
-from leadline.operators.states import STATE_FILE, to_state_rows
+from leadline.operators.ingest import dedup_new
+from leadline.operators.states import STATE_FILE, STATE_SOURCE, to_state_rows
 from leadline.schemas import BRONZE
-from leadline.sinks.bronze import write_bronze
+from leadline.sinks.bronze import partition_date, stored_ids, write_bronze
 from leadline.sources.documents import MAX_STATE_BYTES
 from leadline.sources.files import root_uri
 
@@ -139,6 +140,7 @@ class _FlushOnChange(StatefulProcessor):
             state = (row["lease_id"], row["phase"])
             if state != last or held >= self.rows_per_hour:
                 yield from self._flush(name)
+                self._drop_timers()
                 self.flushed.update(state)
                 last, held = state, 0
         self.count.update((held,))
@@ -150,6 +152,11 @@ class _FlushOnChange(StatefulProcessor):
         yield from self._flush(name)
         self.count.update((0,))
 
+    def _drop_timers(self) -> None:
+        """The hour starts anew with the next sample that is held."""
+        for expiry in list(self.handle.listTimers()):
+            self.handle.deleteTimer(expiry)
+
     def _flush(self, name: str) -> Iterator[Row]:
         for observed_at, document in self.held.get():
             yield Row(source_file=name, observed_at=observed_at, document=document)
@@ -194,9 +201,16 @@ def observe_states(
     samples = sampled_states(spark, root, names)
 
     def store(batch: DataFrame, _batch_id: int) -> None:
-        rows = to_state_rows(batch, F.col("observed_at"), version)
-        if not batch.isEmpty():
-            write_bronze(rows.select(*BRONZE.names), data)
+        rows = to_state_rows(batch, F.col("observed_at"), version, source_file=F.col("source_file"))
+        rows = rows.select(*BRONZE.names).persist()
+        try:
+            days = [day for (day,) in rows.select(partition_date(F.col("event_time"))).distinct().collect()]
+            if days:
+                # A repeated batch brings the same ids, which lie in the same days.
+                known = stored_ids(batch.sparkSession, data, [STATE_SOURCE], days)
+                write_bronze(dedup_new(rows, known), data)
+        finally:
+            rows.unpersist()
 
     passed = samples if once else flush_on_change(samples, interval)
     trigger = {"availableNow": True} if once else {"processingTime": f"{interval:g} seconds"}
