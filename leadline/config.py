@@ -33,11 +33,12 @@ def prepare_session(spark: SparkSession, time_zone: str = "UTC") -> SparkSession
     """Fix the zone that decides days and weeks, and let tasks find this package.
 
     Python tasks get this package's functions by value, so executors need no
-    installed copy of it.
+    installed copy of it. A session without a checkpoint folder gets one.
     """
     import leadline
 
     spark.conf.set("spark.sql.session.timeZone", time_zone)
+    checkpoint_folder(spark)
     cloudpickle.register_pickle_by_value(leadline)
     return spark
 

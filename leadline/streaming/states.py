@@ -183,6 +183,21 @@ def flush_on_change(samples: DataFrame, interval_seconds: float) -> DataFrame:
     )
 
 
+def store_samples(samples: DataFrame, data: str, version: Optional[str]) -> None:
+    """Store samples whose ids are not stored yet; a repeated batch adds nothing."""
+    rows = to_state_rows(samples, F.col("observed_at"), version, source_file=F.col("source_file"))
+    rows = rows.select(*BRONZE.names).persist()
+    try:
+        day = partition_date(F.col("event_time")).alias("day")
+        days = [row["day"] for row in rows.select(day).distinct().collect()]
+        if days:
+            # The same ids lie in the same days.
+            known = stored_ids(samples.sparkSession, data, [STATE_SOURCE], days)
+            write_bronze(dedup_new(rows, known), data)
+    finally:
+        rows.unpersist()
+
+
 def observe_states(
     spark: SparkSession,
     root: str,
@@ -201,16 +216,7 @@ def observe_states(
     samples = sampled_states(spark, root, names)
 
     def store(batch: DataFrame, _batch_id: int) -> None:
-        rows = to_state_rows(batch, F.col("observed_at"), version, source_file=F.col("source_file"))
-        rows = rows.select(*BRONZE.names).persist()
-        try:
-            days = [day for (day,) in rows.select(partition_date(F.col("event_time"))).distinct().collect()]
-            if days:
-                # A repeated batch brings the same ids, which lie in the same days.
-                known = stored_ids(batch.sparkSession, data, [STATE_SOURCE], days)
-                write_bronze(dedup_new(rows, known), data)
-        finally:
-            rows.unpersist()
+        store_samples(batch, data, version)
 
     passed = samples if once else flush_on_change(samples, interval)
     trigger = {"availableNow": True} if once else {"processingTime": f"{interval:g} seconds"}

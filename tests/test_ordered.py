@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leadline.operators.ordered import (
+    _with_slices,
     changes,
     last_known,
     last_known_small,
@@ -103,3 +104,44 @@ def test_changes_latest(spark):
     assert sorted(r["id"] for r in changes(df, ["key"], "at", "id", ["v"]).collect()) == [1, 3, 5]
     assert {r["id"] for r in latest_per_key(df, ["key"], "at", "id").collect()} == {4, 5}
     assert latest_row(df, "at", "id").first()["id"] == 4
+
+
+@pytest.mark.parametrize("rows_per_slice", [5, 100_000])
+def test_null_ties_are_the_least(spark, rows_per_slice):
+    right = spark.createDataFrame(
+        [("k", START, "x", "with"), ("k", START, None, "without"), ("n", START, None, "b"), ("n", START, None, "a")],
+        "key string, since timestamp, tie string, v string",
+    )
+    rows = [(i, "kn"[i % 2], START + dt.timedelta(hours=i)) for i in range(40)] + [(90, "k", None)]
+    left = spark.createDataFrame(rows, "id int, key string, at timestamp")
+    found = last_known(left, right, "at", "since", {"v": "v"}, ["key"], "tie", rows_per_slice).collect()
+    assert len(found) == 41
+    for row in found:
+        assert row["v"] == (None if row["at"] is None else {"k": "with", "n": "b"}[row["key"]])
+
+
+@pytest.mark.parametrize("rows_per_slice", [2, 100_000])
+def test_rows_without_a_time_are_not_all_first_rows(spark, rows_per_slice):
+    rows = [(1, "k", START, "v"), (2, "k", None, "v"), (3, "k", None, "v"), (4, "k", None, "v"), (5, "k", None, "w")]
+    df = spark.createDataFrame(rows, "id int, key string, at timestamp, v string")
+    found = changes(df, ["key"], "at", "id", ["v"], rows_per_slice).collect()
+    assert sorted(r["id"] for r in found) == [1, 5]
+
+
+@pytest.mark.parametrize("shape", ["outlier", "burst", "untimed", "text_ties"])
+def test_slices_are_even(spark, shape):
+    wanted, rows = 100, []
+    for i in range(4000):
+        at = START + dt.timedelta(seconds=i)
+        if shape == "outlier" and i == 0:
+            at = dt.datetime(1970, 1, 1)
+        if shape == "burst" and i > 400:
+            at = START + dt.timedelta(days=9, microseconds=i)
+        if shape in ("untimed", "text_ties"):
+            at = None
+        rows.append((i, f"{i * 7919 % 4001:06d}", "k", at))
+    df = spark.createDataFrame(rows, "id int, name string, key string, at timestamp")
+    tie = "name" if shape == "text_ties" else "id"
+    sliced = _with_slices(df, ["key"], "at", tie, wanted)
+    sizes = [r["n"] for r in sliced.groupBy("_slice").agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 4000 and max(sizes) <= 2 * wanted

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import json
 import time
 
@@ -10,11 +11,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from leadline.config import observer_interval
+from leadline.operators.states import to_state_rows
 from leadline.sources.specs import SourceSpec
 from leadline.sources.stored import bronze
 from leadline.streaming.buckets import bucket_totals
 from leadline.streaming.growth import ingest_stream
-from leadline.streaming.states import flush_on_change, observe_states
+from leadline.streaming.states import flush_on_change, observe_states, store_samples
 
 LOGS = (SourceSpec("log", "logs/*.jsonl", "at", "event"),)
 
@@ -144,3 +146,40 @@ def test_buckets_agree_between_stream_and_table(spark, tmp_path, grain):
     starts = {r[1] for r in batch}
     if grain == "week":
         assert all(start.weekday() == 0 for start in starts)
+
+
+def test_streams_refuse_links(spark, tmp_path):
+    outside = tmp_path / "elsewhere.jsonl"
+    _append(outside, "secret")
+    (tmp_path / "root/logs").mkdir(parents=True)
+    (tmp_path / "root/logs/link.jsonl").symlink_to(outside)
+    query = ingest_stream(
+        spark, str(tmp_path / "root"), str(tmp_path / "data"), str(tmp_path / "c"), version="v", specs=LOGS
+    )
+    with pytest.raises(Exception, match="symbolic link"):
+        query.awaitTermination()
+    assert not (tmp_path / "data/bronze").exists()
+
+
+def test_documents_have_their_own_identity(spark):
+    at = dt.datetime(2026, 8, 1, 5, 0, 0, 250000)
+    text = '{"lease_id": "l", "config": {"b": 1.0, "a": NaN}, "b": 1, "b": 2}'
+    rows = [("one.json", at, text), ("two.json", at, text), ("bad.json", at, "[1]"), ("worse.json", at, None)]
+    frame = spark.createDataFrame(rows, "source_file string, observed_at timestamp, document string")
+    found = to_state_rows(frame, F.col("observed_at"), "s" * 40, source_file=F.col("source_file")).collect()
+    assert sorted(r["source_file"] for r in found) == ["one.json", "two.json"]
+    assert len({r["event_id"] for r in found}) == 2
+    stored = json.loads(found[0]["raw_json"])
+    assert stored["b"] == 2 and stored["observation_time"] == "2026-08-01T05:00:00.250000+00:00"
+    config = '{"a":NaN,"b":1.0}'
+    assert stored["configuration_hash"] == hashlib.sha256(config.encode()).hexdigest()
+
+
+def test_a_repeated_batch_stores_nothing_twice(spark, tmp_path):
+    at = dt.datetime(2026, 8, 1, 5)
+    rows = [("a.json", at, '{"lease_id":"l"}'), ("b.json", at, '{"lease_id":"l"}')]
+    frame = spark.createDataFrame(rows, "source_file string, observed_at timestamp, document string")
+    data = str(tmp_path / "data")
+    for _ in range(2):
+        store_samples(frame, data, None)
+    assert bronze(spark, data).count() == 2
