@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadline.llm import blocks as B
-from leadline.llm.components import components
+from leadline.llm.components import components, forest
 from leadline.llm.cuckoo import fresh_name
 from leadline.llm.words import combine, mix, shingle_sets, words_of
 
@@ -197,14 +197,14 @@ def _verify(percent: int, table: pa.Table) -> pa.Table:
     by_cell: dict[int, dict[int, int]] = {}
     for row, cell in enumerate(cells):
         by_cell.setdefault(cell, {}).setdefault(set_ids[row], row)
-    left, right = [], []
+    found: list[tuple[int, int]] = []
     for rows in by_cell.values():
         members = [rows[set_id] for set_id in sorted(rows)]
         tokens = [np.frombuffer(blobs[row], np.uint64) for row in members]
         for x, y in _links(tokens, [sides[row] for row in members], percent):
-            left.append(set_ids[members[x]])
-            right.append(set_ids[members[y]])
-    return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+            found.append((set_ids[members[x]], set_ids[members[y]]))
+    nodes, roots = forest(found)
+    return pa.table({"a": pa.array(nodes, pa.int64()), "b": pa.array(roots, pa.int64())})
 
 
 def _candidate_parts(sets: DataFrame, percent: int) -> DataFrame:
@@ -220,7 +220,7 @@ def _candidate_parts(sets: DataFrame, percent: int) -> DataFrame:
     lower = heads.select("token", (F.col("scale") + 1).alias("scale"), F.col("head").alias("b"))
     between = heads.join(lower, ["token", "scale"]).select(F.col("head").alias("a"), "b")
     edges = stars.select(F.col("group_id").alias("a"), F.col("head").alias("b")).unionByName(between)
-    return components(edges.distinct()).select(F.col("node").alias("group_id"), F.col("root").alias("part"))
+    return components(edges).select(F.col("node").alias("group_id"), F.col("root").alias("part"))
 
 
 def _cells(reps: DataFrame, percent: int) -> DataFrame:
@@ -322,8 +322,6 @@ def similar_components(
         cells.withColumn("bin", F.pmod(F.col("cell"), F.lit(groups)))
         .groupBy("bin")
         .applyInArrow(lambda table: _verify(percent, table), "a long, b long")
-        .distinct()
-        .checkpoint()
     )
     roots = components(links)
     classes = least.join(roots, least.set_id == roots.node, "left").select(
