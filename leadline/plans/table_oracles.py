@@ -372,6 +372,12 @@ FROM documents GROUP BY text
 """,
     "new_by_content": """
 SELECT doc_id, source FROM documents
+WHERE right(source, 1) NOT IN ('0', '2', '4', '6', '8')
+  AND text NOT IN (SELECT text FROM documents
+                   WHERE right(source, 1) IN ('0', '2', '4', '6', '8'))
+""",
+    "distinct_new_content": """
+SELECT DISTINCT sha256(text) AS content_id FROM documents
 WHERE right(source, 1) NOT IN ('0', '2', '4', '6', '8')
   AND text NOT IN (SELECT text FROM documents
                    WHERE right(source, 1) IN ('0', '2', '4', '6', '8'))

@@ -16,6 +16,7 @@ from leadline.functions import (
 )
 from leadline.operators import checks, consumer, ordered, rollups, status, velocity
 from leadline.operators.attempts import attempt_performance
+from leadline.operators.ingest import dedup_new
 from leadline.operators.keys import join_null_safe
 from leadline.operators.profile import quality_profile
 from leadline.operators.progress import daily_progress
@@ -106,11 +107,19 @@ def new_by_content(spark: SparkSession, folder: str) -> DataFrame:
     )
     even = F.substring("source", -1, 1).isin("0", "2", "4", "6", "8")
     stored = documents.filter(even).select("content_id").distinct()
-    return (
-        documents.filter(~even)
-        .join(stored, "content_id", "left_anti")
-        .select("doc_id", "source")
+    fresh = dedup_new(documents.filter(~even), stored, "content_id", repeats_within=False)
+    return fresh.select("doc_id", "source")
+
+
+@query
+def distinct_new_content(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct texts of one half of the sources that the other half lacks."""
+    documents = table(spark, folder, "documents").select(
+        "source", text_digest(F.col("text")).alias("content_id")
     )
+    even = F.substring("source", -1, 1).isin("0", "2", "4", "6", "8")
+    stored = documents.filter(even).select("content_id").distinct()
+    return dedup_new(documents.filter(~even), stored, "content_id").select("content_id")
 
 
 # --- sessions and counters ----------------------------------------------------

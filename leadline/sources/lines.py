@@ -23,6 +23,7 @@ from leadline.sources.files import open_file
 # Fixed value: fingerprints of longer files depend on it.
 RANGE_BYTES = 64 * 1024 * 1024
 _READ_AHEAD = 1024 * 1024
+_MOST_BYTES = (1 << 31) - 1  # offsets within a range are 32-bit
 _ROWS_PER_BATCH = 8192
 _NEWLINE = 10
 _EMPTY_DIGEST = hashlib.sha256(b"").hexdigest()
@@ -168,6 +169,8 @@ def _line_batches(row: dict, classify: bool) -> Iterator[pa.RecordBatch]:
     owned = int(np.searchsorted(begins, end - start + lead))
     if not owned:
         return
+    if ends[owned - 1] > _MOST_BYTES:
+        raise ValueError(f"a range and its last line exceed 2 GiB in {row['source_file']}")
     offsets = np.append(begins[:owned], ends[owned - 1]).astype(np.int32)
     raws = pa.BinaryArray.from_buffers(
         pa.binary(), owned, [None, pa.py_buffer(offsets), pa.py_buffer(content)]
