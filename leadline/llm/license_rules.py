@@ -10,7 +10,9 @@ the rule of higher priority, and of two that overlap in part the higher priority
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -100,14 +102,15 @@ GENERAL = (
     ("see-license", "license", "see (?:the )?license (?:file )?for (?:more )?details", 0.3),
 )
 
-WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# What stands between words; letters keep their case.
+GAPS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# Every match of every rule contains one of these.
+# Every match of every rule contains one of these, or "cc" and "by" with a gap between.
 GATE = (
-    r"(?i)licen[sc]e|copyright|copyleft|reserved|proprietary|confidential|permission|redistribution|commercial|domain"
-    r"|cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by|\bunder\b|\b(?:subject|governed|covered)\b"
-)
+    "license", "licence", "copyright", "copyleft", "reserved", "proprietary", "confidential", "permission",
+    "redistribution", "commercial", "domain", "under", "subject", "governed", "covered",
+)
+BY_GATE = r"(?i)cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by"
 
 
 @dataclass(frozen=True)
@@ -118,15 +121,20 @@ class Rule:
     confidence: float
 
 
+def _literal_start(pattern: str) -> str:
+    """The text with which every match of a pattern begins."""
+    start = re.match(r"[a-z0-9 ]*", pattern)[0]
+    return start[:-1] if pattern[len(start) : len(start) + 1] in ("?", "*") else start
+
+
 def all_rules() -> list[Rule]:
     """Rules by priority: the base phrases, then template by template."""
-    rules = [Rule(label, phrase.split()[-1], phrase, 0.9) for phrase, label in BASE]
+    rules = [Rule(label, phrase, phrase, 0.9) for phrase, label in BASE]
     for template, confidence in (*TAG[:1], *NAMED, *TAG[1:]):
-        by_tag = "license" if "{tag}" in template else ""
-        rules += [
-            Rule(label, by_tag or keyword, template.format(name=name, tag=tag), confidence)
-            for label, keyword, name, tag in LICENSES
-        ]
+        for label, keyword, name, tag in LICENSES:
+            pattern = template.format(name=name, tag=tag)
+            start = _literal_start(pattern)
+            rules.append(Rule(label, start if len(start) > len(keyword) else keyword, pattern, confidence))
     rules += [Rule(label, keyword, pattern, confidence) for label, keyword, pattern, confidence in GENERAL]
     return rules
 
@@ -136,7 +144,7 @@ def _rule_array(rules: list[Rule]) -> Column:
         *(
             F.struct(
                 F.lit(rule.keyword).alias("keyword"),
-                F.lit(f"(?<= )(?:{rule.pattern})(?= )").alias("pattern"),
+                F.lit(f" (?:{rule.pattern})(?= )").alias("pattern"),
                 F.lit(number).alias("priority"),
                 F.lit(rule.label).alias("label"),
                 F.lit(rule.confidence).alias("confidence"),
@@ -150,17 +158,18 @@ def _spaces(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
 
-def _places(words: Column, rule: Column) -> Column:
+def _places(words: Column, match: Column) -> Column:
     """Intervals of words [start, end) where a rule matches.
 
-    What lies between matches and the matches themselves add up to the text, and the
-    spaces in a prefix number its words.
+    What lies between matches and the matches themselves add up to the text. A match
+    starts with the space before its first word, so spaces number the words.
     """
+    rule = match["rule"]
     between = F.transform(F.split(words, rule["pattern"], -1), _spaces)
-    inside = F.transform(F.regexp_extract_all(words, rule["pattern"], F.lit(0)), _spaces)
+    inside = F.transform(match["found"], _spaces)
     begin = F.aggregate(
         F.arrays_zip(between.alias("gap"), F.coalesce(inside, F.array().cast("array<int>")).alias("own")),
-        F.struct(F.lit(-1).alias("at"), F.array().cast("array<struct<start:int,back:int>>").alias("found")),
+        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,back:int>>").alias("found")),
         lambda held, step: F.struct(
             (held["at"] + step["gap"] + F.coalesce(step["own"], F.lit(0))).alias("at"),
             F.when(step["own"].isNull(), held["found"])
@@ -170,7 +179,7 @@ def _places(words: Column, rule: Column) -> Column:
                     F.array(
                         F.struct(
                             (held["at"] + step["gap"]).alias("start"),
-                            (-(held["at"] + step["gap"] + step["own"] + 1)).alias("back"),
+                            (-(held["at"] + step["gap"] + step["own"])).alias("back"),
                         )
                     ),
                 )
@@ -225,14 +234,26 @@ def scan_licenses(documents: DataFrame, ident: str = "doc_id", text: str = "text
     * Repeated rows give repeated results; other columns are ignored.
     """
     value = F.coalesce(F.col(text), F.lit(""))
-    plain = F.regexp_replace(F.translate(value, _UPPER, _LOWER), GAPS, " ")
-    words = F.when(value.rlike(GATE), F.concat(F.lit(" "), F.trim(plain), F.lit(" ")))
+    spaced = F.trim(F.regexp_replace(value, GAPS, " "))
+    lowered = F.lower(value)
+    gate = reduce(Column.__or__, [F.contains(lowered, F.lit(word)) for word in GATE])
+    gate = gate | (F.contains(lowered, F.lit("cc")) & value.rlike(BY_GATE))
+    plain = F.translate(F.col("spaced"), _UPPER, _LOWER)
     rules = _rule_array(all_rules())
-    rows = documents.select(
-        F.col(ident).alias("id"), F.regexp_count(value, F.lit(WORDS)).cast("long").alias("n_words"), words.alias("words")
+    rows = documents.select(F.col(ident).alias("id"), spaced.alias("spaced"), gate.alias("gate")).select(
+        "id",
+        F.when(F.col("spaced") == "", 0).otherwise(_spaces(F.col("spaced")) + 1).cast("long").alias("n_words"),
+        F.when(F.col("gate"), F.concat(F.lit(" "), plain, F.lit(" "))).alias("words"),
     )
     able = F.filter(F.col("rules"), lambda rule: F.contains(F.col("words"), rule["keyword"]))
-    places = F.flatten(F.transform(able, lambda rule: _places(F.col("words"), rule)))
+    found = F.transform(
+        able,
+        lambda rule: F.struct(
+            rule.alias("rule"), F.regexp_extract_all(F.col("words"), rule["pattern"], F.lit(0)).alias("found")
+        ),
+    )
+    matches = F.filter(found, lambda match: F.size(match["found"]) > 0)
+    places = F.flatten(F.transform(matches, lambda match: _places(F.col("words"), match)))
     rows = rows.withColumn("rules", F.when(F.col("words").isNotNull(), rules))
     rows = rows.withColumn("places", F.coalesce(places, F.array().cast(_FOUND)))
     base = F.filter("places", lambda place: place["priority"] < len(BASE))
