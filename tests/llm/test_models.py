@@ -178,6 +178,26 @@ def test_language_model_learns_order(spark):
     assert held.score.sum() > 0.9 * held.base_score.sum() and (held.score > held.base_score).all()
 
 
+def test_language_model_learns_from_every_document(spark):
+    rng = random.Random(9)
+    rows = [(i, " ".join(["one", "two", "three"] * rng.randint(20, 40)), None, "", "", "") for i in range(900)]
+    tenth = F.pmod(F.xxhash64("doc_id", F.lit("lm")), F.lit(10)) == 0
+    frame = spark.createDataFrame(rows, SCHEMA).where(~tenth)
+    got = gated_lm.score_documents(frame, F.col("doc_id") % 7 != 2).toPandas()
+    held = got[got.doc_id % 7 == 2]
+    assert held.score.sum() > 0.9 * held.base_score.sum()
+
+
+def test_lanes_end_together_and_keep_all_tokens():
+    rng = np.random.default_rng(3)
+    texts = [np.append(rng.integers(1, gated_lm.CLASSES, n), 0).astype(np.uint8) for n in [*rng.integers(0, 90, 500), 700]]
+    tokens, begins, there = gated_lm._lanes(texts)
+    got = tokens[there > 0]
+    assert len(got) == sum(map(len, texts)) and begins.sum() == len(texts)
+    assert (np.bincount(got) == np.bincount(np.concatenate(texts))).all()
+    assert tokens.shape[1] == max(map(len, texts))
+
+
 def test_language_model_of_nothing(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert gated_lm.score_documents(empty, F.lit(True)).collect() == []
