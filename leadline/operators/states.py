@@ -113,7 +113,7 @@ def to_state_rows(
 
 
 def _plain(field: T.StructField) -> Column:
-    """JSON-safe value: times as ISO text, decimals as text, bytes as hex."""
+    """JSON-safe value: times as ISO text, decimals as text, bytes as hex, short floats."""
     column, kind = F.col(field.name), field.dataType
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         whole = F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss")
@@ -123,6 +123,8 @@ def _plain(field: T.StructField) -> Column:
         return column.cast("string")
     if isinstance(kind, T.BinaryType):
         return F.lower(F.hex(column))
+    if isinstance(kind, T.FloatType):
+        return column.cast("string").cast("double")
     return column
 
 

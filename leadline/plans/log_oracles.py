@@ -67,6 +67,23 @@ FROM (
   UNION ALL SELECT 'orders', '{"o_orderdate":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S')
     || '","o_orderkey":' || o_orderkey || '}' FROM orders
 )
+""",
+    "snapshot_whole_rows": """
+SELECT 'table_' || name AS source, 'table/' || name AS source_file,
+       'database_snapshot' AS event_type, raw_json
+FROM (
+  SELECT 'customer' AS name, '{"c_acctbal":' || c_acctbal || ',"c_custkey":' || c_custkey
+    || ',"c_mktsegment":"' || c_mktsegment || '","c_name":"' || c_name || '","c_nationkey":'
+    || c_nationkey || '}' AS raw_json FROM customer
+  UNION ALL SELECT 'supplier', '{"s_acctbal":' || s_acctbal || ',"s_name":"' || s_name
+    || '","s_nationkey":' || s_nationkey || ',"s_suppkey":' || s_suppkey || '}' FROM supplier
+  UNION ALL SELECT 'nation', '{"n_name":"' || n_name || '","n_nationkey":' || n_nationkey
+    || ',"n_regionkey":' || n_regionkey || '}' FROM nation
+  UNION ALL SELECT 'orders', '{"o_custkey":' || o_custkey || ',"o_orderdate":"'
+    || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '","o_orderkey":' || o_orderkey
+    || ',"o_orderpriority":"' || o_orderpriority || '","o_orderstatus":"' || o_orderstatus
+    || '","o_totalprice":' || o_totalprice || '}' FROM orders
+)
 """,
     "contract_report": _EV
     + """

@@ -161,9 +161,7 @@ def state_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query
-def snapshot_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Every row of four tables as canonical JSON."""
+def _snapshot(tables: dict[str, DataFrame]) -> DataFrame:
     keys = {
         "customer": ("c_custkey",),
         "supplier": ("s_suppkey",),
@@ -171,17 +169,32 @@ def snapshot_rows(spark: SparkSession, folder: str) -> DataFrame:
         "orders": ("o_orderkey",),
     }
     found = snapshot_tables(
+        tables,
+        F.lit("2024-01-25 00:00:00").cast("timestamp"),
+        "20240125T000000",
+        keys=keys,
+    )
+    return found.select("source", "source_file", "event_type", "raw_json")
+
+
+@query
+def snapshot_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of four tables as canonical JSON, in the columns that its SQL names."""
+    return _snapshot(
         {
             "customer": table(spark, folder, "customer").select("c_custkey", "c_mktsegment"),
             "supplier": table(spark, folder, "supplier").select("s_name", "s_suppkey"),
             "nation": table(spark, folder, "nation"),
             "orders": table(spark, folder, "orders").select("o_orderkey", "o_orderdate"),
-        },
-        F.lit("2024-01-25 00:00:00").cast("timestamp"),
-        "20240125T000000",
-        keys=keys,
+        }
     )
-    return found.select("source", "source_file", "event_type", "raw_json")
+
+
+@query
+def snapshot_whole_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row of four tables as canonical JSON, with all columns."""
+    names = ("customer", "supplier", "nation", "orders")
+    return _snapshot({name: table(spark, folder, name) for name in names})
 
 
 @query

@@ -150,6 +150,17 @@ def test_table_snapshots(spark):
         check_allowed(["chars", "accounts"], {"chars": ("charid",)})
 
 
+def test_table_rows_are_written_like_json_dumps(spark):
+    values = [0.0, -0.0, 100.0, 2095.23, 1e-5, 0.0005, 12345678.9, 1e7, 1e15, 1e16, 2.0**-44, 1e300, None]
+    texts = ["plain", "é ☃ 𝄞", 'quote " back \\ slash / ', "line\n\t\x01\x7f", "long " * 2000, "", None]
+    rows = [(i, v, texts[i % len(texts)], 0.1) for i, v in enumerate(values)]
+    frame = spark.createDataFrame(rows, "charid long, d double, s string, f float")
+    at = F.lit("2026-07-30 00:00:00").cast("timestamp")
+    found = snapshot_tables({"chars": frame}, at, "id1", SHA, prefix="db").select("raw_json").collect()
+    want = [json.dumps(dict(zip("d f s".split(), (v, f, s))) | {"charid": i}, sort_keys=True, separators=(",", ":")) for i, v, s, f in rows]
+    assert sorted(r.raw_json for r in found) == sorted(want)
+
+
 def test_failing_names_only_checks_with_rows(spark):
     some, none = spark.range(1), spark.range(0)
     assert checks.failing({"a": some, "b": none}) == ["a"]
