@@ -16,6 +16,7 @@ from leadline.llm.mixing import mix_sizes, sizes_of
 from leadline.llm.ngram_join import similar_components
 from leadline.llm.prefix_free import remove_repeated_strings
 from leadline.llm.recompression import remove_repeated_passages
+from leadline.llm.turn_repair import damage, repair_conversations
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -104,6 +105,11 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults of damaged conversations and their cheapest repair."""
+    return repair_conversations(damage(table(spark, folder, "conversations")), gone=F.col("gone"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_exact_dedup": op2_exact_dedup,
@@ -115,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_lm_scores": op9_lm_scores,
     "op10_quality_classifier": op10_quality_classifier,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 _TEXT = "coalesce(text, '')"
@@ -288,6 +295,93 @@ SELECT coded.doc_id,
 FROM coded LEFT JOIN kept ON coded.doc_id = kept.doc_id
 """
 
+OP12_SQL = """
+WITH RECURSIVE keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           list_transform(
+               string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT
+           ) AS bytes
+    FROM conversations
+), drawn AS (
+    SELECT *, xor(list_reduce(
+        list_prepend(4294967295::BIGINT, bytes),
+        lambda crc, byte: list_reduce(
+            list_prepend(xor(crc, byte), [0::BIGINT for i in range(8)]),
+            lambda c, none: xor(c >> 1, 3988292384 * (c & 1))
+        )
+    ), 4294967295) % 20 AS kind FROM keyed
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+           unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+    FROM drawn WHERE kind <> 0
+), ordered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS place,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+           rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+    FROM damaged
+), judged AS (
+    SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN again THEN 'duplicate'
+                   WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'fine' END AS fault,
+           left(role, 1) AS initial,
+           lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY place) || left(role, 1) AS pair
+    FROM ordered
+), listed AS (
+    SELECT conv_id,
+           coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank,
+           count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal,
+           list({'role': role, 'text': text, 'initial': initial, 'gone': fault IN ('blank', 'duplicate'),
+                 'more': CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END} ORDER BY place) AS turns
+    FROM judged GROUP BY conv_id
+), walk AS (
+    SELECT conv_id, turns, 1 AS place,
+           {'c': 0::BIGINT, 'a': '', 't': []::VARCHAR[]} AS l0,
+           {'c': 1000000000::BIGINT, 'a': '', 't': []::VARCHAR[]} AS l1,
+           {'c': 1000000000::BIGINT, 'a': '', 't': []::VARCHAR[]} AS l2,
+           {'c': 1000000000::BIGINT, 'a': '', 't': []::VARCHAR[]} AS l3
+    FROM listed
+    UNION ALL
+    SELECT conv_id, turns, place + 1,
+           {'c': m0.c + 2, 'a': m0.a || 'D', 't': m0.t},
+           list_min([{'c': m1.c + 2, 'a': m1.a || 'D', 't': m1.t},
+                     {'c': m0.c + keep + CASE WHEN initial = 's' THEN 0 ELSE 1000000000 END, 'a': m0.a || 'K', 't': list_append(m0.t, line)}]),
+           list_min([{'c': m2.c + 2, 'a': m2.a || 'D', 't': m2.t}] || [
+               {'c': m.c + keep + CASE WHEN initial = 'u' THEN 0 ELSE 1 END,
+                'a': m.a || CASE WHEN initial = 'u' THEN 'K' ELSE 'R' END,
+                't': list_append(m.t, CASE WHEN initial = 'u' THEN line ELSE 'user:' || text END)} for m in [m0, m1, m3]]),
+           list_min([{'c': m3.c + 2, 'a': m3.a || 'D', 't': m3.t},
+                     {'c': m2.c + keep + CASE WHEN initial = 'a' THEN 0 ELSE 1 END,
+                      'a': m2.a || CASE WHEN initial = 'a' THEN 'K' ELSE 'R' END,
+                      't': list_append(m2.t, CASE WHEN initial = 'a' THEN line ELSE 'assistant:' || text END)}])
+    FROM (
+        SELECT conv_id, turns, place, l0 AS m0, l1 AS m1, m2,
+               list_min([l3, {'c': m2.c + 5, 'a': m2.a || 'I', 't': list_append(m2.t, 'assistant:')}]) AS m3,
+               turns[place].initial AS initial, turns[place].text AS text,
+               turns[place].role || ':' || turns[place].text AS line,
+               turns[place].more + CASE WHEN turns[place].gone THEN 1000000000 ELSE 0 END AS keep
+        FROM (
+            SELECT *, list_min([l2] || [{'c': l.c + 5, 'a': l.a || 'I', 't': list_append(l.t, 'user:')} for l in [l0, l1, l3]]) AS m2
+            FROM walk WHERE place <= len(turns)
+        )
+    )
+), ended AS (
+    SELECT conv_id, list_min([l0, l3, {'c': m2.c + 5, 'a': m2.a || 'I', 't': list_append(m2.t, 'assistant:')}]) AS best
+    FROM (
+        SELECT *, list_min([l2] || [{'c': l.c + 5, 'a': l.a || 'I', 't': list_append(l.t, 'user:')} for l in [l0, l1, l3]]) AS m2
+        FROM walk WHERE place = len(turns) + 1
+    )
+)
+SELECT ids.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost,
+       coalesce(best.a, '') AS audit, sha256(coalesce(array_to_string(best.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS ids
+LEFT JOIN listed ON listed.conv_id IS NOT DISTINCT FROM ids.conv_id
+LEFT JOIN ended ON ended.conv_id IS NOT DISTINCT FROM ids.conv_id
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_ngram_join": OP1_SQL,
     "op2_exact_dedup": OP2_SQL,
@@ -295,4 +389,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_source_mix": OP5_SQL,
     "op6_benchmark_decontamination": OP6_SQL,
     "op8_suffix_array_dedup": OP8_SQL,
+    "op12_conversation_repair": OP12_SQL,
 }
