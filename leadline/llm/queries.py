@@ -11,6 +11,7 @@ from leadline.config import prepare_session
 from leadline.llm import crf_quality, gated_lm, language_mixture
 from leadline.llm.containment import find_contained
 from leadline.llm.cuckoo import exact_groups
+from leadline.llm.hard_negatives import mine_negatives
 from leadline.llm.license_rules import scan_licenses
 from leadline.llm.mixing import mix_sizes, sizes_of
 from leadline.llm.ngram_join import similar_components
@@ -110,6 +111,12 @@ def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair_conversations(damage(table(spark, folder, "conversations")), gone=F.col("gone"))
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, a seventh of the labels moved on by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_negatives(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label=moved)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_exact_dedup": op2_exact_dedup,
@@ -122,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lm_scores": op9_lm_scores,
     "op10_quality_classifier": op10_quality_classifier,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _TEXT = "coalesce(text, '')"
@@ -382,6 +390,32 @@ LEFT JOIN listed ON listed.conv_id IS NOT DISTINCT FROM ids.conv_id
 LEFT JOIN ended ON ended.conv_id IS NOT DISTINCT FROM ids.conv_id
 """
 
+OP13_SQL = """
+WITH prepared AS (
+    SELECT row_number() OVER () AS number, vec_id,
+           CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vec
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), scored AS (
+    SELECT a.number AS anchor, a.vec_id AS anchor_id, a.label AS anchor_label, b.number AS other, b.vec_id, b.label,
+           list_inner_product(a.vec, b.vec)::BIGINT AS score
+    FROM prepared AS a JOIN prepared AS b ON a.vec_id % 100 = 0 AND a.number <> b.number
+), near AS (
+    SELECT anchor, anchor_id, anchor_label, other AS positive, vec_id AS positive_id, score AS positive_score
+    FROM scored WHERE label = anchor_label
+    QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, other) <= 5
+), ranked AS (
+    SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+           row_number() OVER (PARTITION BY anchor, positive ORDER BY score DESC, vec_id, other) AS rank
+    FROM near JOIN scored USING (anchor, anchor_id, anchor_label)
+    WHERE label <> anchor_label AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 10
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_ngram_join": OP1_SQL,
     "op2_exact_dedup": OP2_SQL,
@@ -390,4 +424,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_benchmark_decontamination": OP6_SQL,
     "op8_suffix_array_dedup": OP8_SQL,
     "op12_conversation_repair": OP12_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }
