@@ -13,6 +13,7 @@ from leadline.llm.containment import find_contained
 from leadline.llm.cuckoo import exact_groups
 from leadline.llm.hard_negatives import mine_negatives
 from leadline.llm.license_rules import scan_licenses
+from leadline.llm.main_text import extract_text
 from leadline.llm.mixing import mix_sizes, sizes_of
 from leadline.llm.ngram_join import similar_components
 from leadline.llm.prefix_free import remove_repeated_strings
@@ -106,6 +107,12 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
 
 
+def op11_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    found = extract_text(table(spark, folder, "pages"), "html", "page_id", "url")
+    return found.select("page_id", "url", "text", "n_chars")
+
+
 def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     """Faults of damaged conversations and their cheapest repair."""
     return repair_conversations(damage(table(spark, folder, "conversations")), gone=F.col("gone"))
@@ -128,6 +135,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_lm_scores": op9_lm_scores,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_html_extraction": op11_html_extraction,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_hard_negatives": op13_hard_negatives,
 }

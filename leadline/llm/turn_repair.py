@@ -26,7 +26,7 @@ repaired conversation is one chain over its text, which no number of tasks would
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
 
@@ -38,6 +38,7 @@ BLANKS = " \t\n\x0b\x0c\r"
 INSERT, RENAME, DROP, CUT = 5, 1, 2, 5
 SEGMENT_ROWS = 2048
 SEGMENT_BYTES = 8 << 20
+REMEMBERED = 1 << 16
 # No grammar state is worth more than this against another: delete a leading system turn
 # and insert two turns. Labels further above the cheapest one cannot win.
 STATE_WORTH = DROP + 2 * INSERT
@@ -110,7 +111,6 @@ def _extra(code: str) -> int:
     return -1 if code == "!" else CUT if code.isupper() else 0
 
 
-@lru_cache(maxsize=1 << 16)
 def cheapest(codes: str, first: int, lasts: tuple[int, ...], open_end: bool) -> tuple[int, str] | None:
     """Cost and least audit of the cheapest paths from state ``first`` to one of ``lasts``.
 
@@ -196,7 +196,8 @@ def edited(audit: str, state: int, rows: list[tuple[str, str]]) -> Iterator[tupl
 class _Conversation:
     """What a task keeps of the conversation it is reading."""
 
-    def __init__(self) -> None:
+    def __init__(self, cheapest: Callable = cheapest) -> None:
+        self.cheapest = cheapest
         self.paths = {0: _Path()}
         self.rows: list[tuple[str, str]] = []
         self.codes: list[str] = []
@@ -229,7 +230,7 @@ class _Conversation:
         best: dict[int, tuple] = {}
         for state, path in self.paths.items():
             for then in range(4):
-                found = cheapest(codes, state, (then,), False) if then >= min(state, 2) else None
+                found = self.cheapest(codes, state, (then,), False) if then >= min(state, 2) else None
                 if found:
                     label = path.cost + found[0], path.audit + found[1], state, found
                     best[then] = min(best.get(then, label), label)
@@ -245,7 +246,7 @@ class _Conversation:
         codes = "".join(self.codes)
         labels = []
         for state, path in self.paths.items():
-            found = cheapest(codes, state, ENDS, True)
+            found = self.cheapest(codes, state, ENDS, True)
             labels.append((path.cost + found[0], path.audit + found[1], state, found))
         _, _, state, found = min(labels)
         path = self.paths[state].longer(*found, state, self.rows)
@@ -311,6 +312,8 @@ def repair_conversations(
 
     def repair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_conv, current = None, None
+        # Many conversations have the same roles and faults.
+        known = lru_cache(maxsize=REMEMBERED)(cheapest)
         for batch in batches:
             done, found = [], []
             columns = [batch.column(i).to_pylist() for i in range(5)]
@@ -319,7 +322,7 @@ def repair_conversations(
                     if current is not None:
                         done.append(open_conv)
                         found.append(current.finish())
-                    open_conv, current = ident, _Conversation()
+                    open_conv, current = ident, _Conversation(known)
                 current.add(place, fault, name, words)
             if done:
                 yield _as_batch(done, found, batch.schema.field(0).type)
