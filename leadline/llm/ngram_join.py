@@ -31,7 +31,9 @@ from leadline.llm.words import combine, mix, shingle_sets, words_of
 
 SHINGLE = 5
 PERCENT = 80
-CELL_SHINGLES = 2_000_000
+BLOCK_BYTES = 2 << 20
+CELL_SHINGLES = 1_000_000
+BIN_SHINGLES = 500_000  # cells of about this size together make a task's group
 KEY_BITS_OVER = 5
 SETS = "id long, n long, set_id long, group_id long, prefix array<long>, tokens binary"
 
@@ -223,8 +225,8 @@ def _candidate_parts(sets: DataFrame, percent: int) -> DataFrame:
     return components(edges).select(F.col("node").alias("group_id"), F.col("root").alias("part"))
 
 
-def _cells(reps: DataFrame, percent: int) -> DataFrame:
-    """Rows (cell, side, set_id, tokens): where each distinct set is compared."""
+def _cells(reps: DataFrame, percent: int) -> tuple[DataFrame, int]:
+    """Rows (cell, side, set_id, tokens): where each distinct set is compared; their shingles."""
     step = math.log(100 / max(1, percent - 1))
     reps = reps.withColumn("scale", F.floor(F.log("n") / F.lit(step)))
     narrow = reps.groupBy("part", "scale").agg(F.sum("n").alias("shingles"), F.count(F.lit(1)).alias("members"))
@@ -237,9 +239,12 @@ def _cells(reps: DataFrame, percent: int) -> DataFrame:
         slabs.join(parts.where("members > 1"), "part")
         .join(near, ["part", "scale"], "left")
         .join(under, ["part", "scale"], "left")
-        .select("part", "scale", "in_part", "slabs", F.coalesce("above", F.lit(0)).alias("above"),
+        .join(narrow.select("part", "scale", "shingles"), ["part", "scale"])
+        .select("part", "scale", "in_part", "slabs", "shingles", F.coalesce("above", F.lit(0)).alias("above"),
                 F.coalesce("below", F.lit(0)).alias("below"))
     )
+    copies = F.when(F.col("in_part") <= CELL_SHINGLES, 1).otherwise(F.col("slabs") + F.col("above") + F.col("below"))
+    planned = plan.agg(F.sum(F.col("shingles") * copies)).first()[0] or 0
     own = F.pmod(F.xxhash64("set_id"), F.col("slabs"))
     # Pairs of slabs: (scale, slab) with (scale, slab') and with (scale + 1, slab').
     same = F.transform(
@@ -264,7 +269,7 @@ def _cells(reps: DataFrame, percent: int) -> DataFrame:
     single = F.array(F.struct(F.xxhash64("part").alias("cell"), F.lit(0).alias("side")))
     where = F.when(F.col("in_part") <= CELL_SHINGLES, single).otherwise(many)
     placed = reps.join(plan, ["part", "scale"]).select(F.explode(where).alias("to"), "set_id", "tokens")
-    return placed.select("to.cell", "to.side", "set_id", "tokens")
+    return placed.select("to.cell", "to.side", "set_id", "tokens"), planned
 
 
 def similar_components(
@@ -273,7 +278,7 @@ def similar_components(
     text: str = "text",
     size: int = SHINGLE,
     percent: int = PERCENT,
-    block_bytes: int = B.BLOCK_BYTES,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """One row for each row of ``documents``: ident, n_shingles, component_id.
 
@@ -316,8 +321,9 @@ def similar_components(
         "set_id", F.coalesce("id", F.lit(B.LAST)).alias("key"), "tokens"
     )
     reps = held.join(reps, ["set_id", "key"]).select("part", "n", "set_id", "tokens")
-    cells = _cells(reps, percent)
-    groups = max(1, blocks)
+    cells, planned = _cells(reps, percent)
+    # As many bins as the planned sets fill, so that what a task holds is bounded by a cell.
+    groups = planned // BIN_SHINGLES + 1
     links = (
         cells.withColumn("bin", F.pmod(F.col("cell"), F.lit(groups)))
         .groupBy("bin")

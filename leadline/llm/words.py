@@ -11,7 +11,7 @@ import numpy as np
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 19
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX2 = np.uint64(0x94D049BB133111EB)

@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leadline.llm import crf_quality, gated_lm, language_mixture
+from leadline.llm.words import words_of
 
 SCHEMA = "doc_id long, text string, lang string, data string, id string, train string"
 
@@ -136,6 +137,50 @@ def test_network_learns_what_it_sees():
     np.testing.assert_allclose(gated_lm.log_likelihood(many, np.concatenate(texts), bounds), one, rtol=1e-5)
 
 
+def _plain_forward(net, classes):
+    """The network token by token, in plain arithmetic."""
+    enter, back, leave, bias = (part.astype(float).tolist() for part in net.parts())
+    units = gated_lm.UNITS
+    state, came, total = [0.0] * units, 0, 0.0
+    for now in classes:
+        put = enter[came]
+        at = lambda h, j: sum(h[i] * back[i][j] for i in range(units))
+        keep = [1 / (1 + math.exp(-(put[j] + at(state, j)))) for j in range(units)]
+        reset = [1 / (1 + math.exp(-(put[units + j] + at(state, units + j)))) for j in range(units)]
+        mixed = [r * h for r, h in zip(reset, state)]
+        new = [math.tanh(put[2 * units + j] + at(mixed, 2 * units + j)) for j in range(units)]
+        state = [k * h + (1 - k) * n for k, h, n in zip(keep, state, new)]
+        out = [sum(h * leave[i][j] for i, h in enumerate(state)) + bias[j] for j in range(gated_lm.CLASSES)]
+        total += out[now] - math.log(sum(math.exp(x) for x in out))
+        came = now
+    return total / math.log(10)
+
+
+def test_scores_against_a_plain_forward_pass(spark, monkeypatch):
+    """Column score: classes by the counts, words inside their class, the network step by step."""
+    rng = random.Random(12)
+    vocabulary = [f"w{i}{c}" for i in range(30) for c in "abcd"]
+    rows = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(0, 30))).upper() + " Unseen" * (i % 2)) for i in range(40)]
+    net = gated_lm.Net(np.random.default_rng(1).normal(0, 0.3, sum(a * (b[0] if b else 1) for a, *b in gated_lm.Net.SHAPES)).astype(np.float32))
+    monkeypatch.setattr(gated_lm, "train", lambda sequences, counts: net)
+    frame = spark.createDataFrame([(i, t, None, "d", "i", "t") for i, t in rows], SCHEMA)
+    got = {r.doc_id: r.score for r in gated_lm.score_documents(frame, F.col("doc_id") % 7 != 2).collect()}
+    counts = Counter(w for i, t in rows if i % 7 != 2 for w in t.lower().split())
+    ends = sum(i % 7 != 2 for i, _ in rows)
+    name = {w: int(words_of([w.encode()]).name[0]) for w in [*vocabulary, "unseen"]}
+    signed = {w: n - (1 << 64) if n >> 63 else n for w, n in name.items()}
+    top = sorted(counts, key=lambda w: (-counts[w], signed[w]))[: gated_lm.TOP]
+    kind = {w: 1 + top.index(w) if w in top else 1 + gated_lm.TOP + w.encode()[-1] % gated_lm.ENDINGS for w in name}
+    whole = Counter()
+    for w, c in counts.items():
+        whole[kind[w]] += c + 1
+    for i, text in rows:
+        words = text.lower().split()
+        want = sum(math.log10((counts[w] + 1) / (whole[kind[w]] + (kind[w] > gated_lm.TOP or w not in top))) for w in words)
+        want += math.log10((ends + 1) / (ends + 1)) + _plain_forward(net, [*(kind[w] for w in words), 0])
+        assert abs(got[i] - want) < 1e-4 * max(1, abs(want))
+
+
 def _base(rows, chosen):
     counts, ends = Counter(), 0
     for i, text in rows:
