@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from leadline.config import checkpoint_folder
 
-# A list of large groups is broadcast up to this many rows, and joined by shuffle beyond.
-MOST_BROADCAST = 10_000
+# A list of large groups is broadcast up to this size, and joined by shuffle beyond.
+MOST_BROADCAST_BYTES = 8 << 20
+_BYTES_PER_ROW = 64  # of a broadcast row, beside its texts
 
 
 def join_null_safe(
@@ -28,15 +29,20 @@ def join_null_safe(
 
 
 class LargeGroups(NamedTuple):
-    """All groups above a number of rows, how many they are, and the rows of the largest."""
+    """All groups above a number of rows: the list, its length, the bytes of its keys, their rows."""
 
     groups: DataFrame
     count: int
-    most_rows: int
+    key_bytes: int
+    rows: int
 
-    def sized(self, frame: DataFrame) -> DataFrame:
-        """``frame``, with one row for each group, broadcast if that is known to be small."""
-        return F.broadcast(frame) if self.count <= MOST_BROADCAST else frame
+    def sized(self, frame: DataFrame, more_bytes: int = 0) -> DataFrame:
+        """``frame``, with one row for each group, broadcast if that is known to be small.
+
+        ``more_bytes`` is what a row holds beside its keys.
+        """
+        whole = self.key_bytes + self.count * (_BYTES_PER_ROW + more_bytes)
+        return F.broadcast(frame) if whole <= MOST_BROADCAST_BYTES else frame
 
 
 def large_groups(df: DataFrame, keys: Sequence[str], more_than: int) -> LargeGroups:
@@ -48,8 +54,9 @@ def large_groups(df: DataFrame, keys: Sequence[str], more_than: int) -> LargeGro
     checkpoint_folder(df.sparkSession)
     counted = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
     listed = counted.filter(F.col("_rows") > more_than).checkpoint()
-    size = listed.agg(F.count("*").alias("n"), F.max("_rows").alias("most")).first()
-    return LargeGroups(listed.select(*keys), size["n"], size["most"] or 0)
+    length = F.octet_length(F.concat_ws("", *[F.to_json(F.struct(key)) for key in keys]))
+    size = listed.agg(F.count("*").alias("n"), F.sum(length).alias("bytes"), F.sum("_rows").alias("rows")).first()
+    return LargeGroups(listed.select(*keys), size["n"], size["bytes"] or 0, size["rows"] or 0)
 
 
 def reduce_with_label(

@@ -1,11 +1,13 @@
 """Row-to-row operators over long sequences: previous row, and last known value.
 
 A window over a key puts all rows of the key into one task, which fails when one
-key holds a large share of the data. Here every key above ``rows_per_slice`` rows
-is cut at quantiles of time into slices that different tasks handle. What a slice
-needs to know from the ones before it arrives as one extra row at its head, so the
-result is that of the uncut window. One job first counts rows by key; where no key
-is that large, a plain window is all that is left.
+key holds a large share of the data. Here the rows of every key above ``rows_per_slice``
+rows are sorted once into ranges of (key, order) and stored; rows of a range are cut into
+slices by their place in it, so slices are even whatever keys, times and ties are. Each slice
+is reduced to its last state, the few states of a key are scanned in order, and each slice
+gets the one before it as an extra row at its head. So the result is that of the uncut
+window, and no row looks anything up. One job first counts rows by key; rows of smaller keys
+take a plain window.
 """
 
 from __future__ import annotations
@@ -18,71 +20,33 @@ from pyspark.sql import functions as F
 from leadline.operators.keys import join_null_safe, large_groups
 
 ROWS_PER_SLICE = 250_000
-# Cuts of one key; a key of more rows than this many slices gets larger slices.
-MOST_SLICES = 10_000
+# Small slices share a range partition of about this many rows.
+ROWS_PER_RANGE = 10_000
+# monotonically_increasing_id holds the row's place in its partition below this bit.
+_PLACE_BITS = 33
 
 
-def _tie_place(df: DataFrame, tie: str) -> Column:
-    """A number that never falls as ``tie`` rises; texts by their first six bytes."""
-    kind = dict(df.dtypes)[tie]
-    if kind == "string":
-        start = F.substring(F.col(tie).cast("binary"), 1, 6)
-        return F.conv(F.rpad(F.hex(start), 12, "0"), 16, 10).cast("double")
-    if kind in ("timestamp", "timestamp_ntz", "date"):
-        return F.unix_micros(F.col(tie).cast("timestamp")).cast("double")
-    numeric = kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal")
-    return F.col(tie).cast("double") if numeric else F.lit(0.0)
+def in_slices(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], rows_per_slice: int = ROWS_PER_SLICE
+) -> tuple[DataFrame | None, DataFrame]:
+    """Rows of large keys with ``_slice``, and the rows of all other keys.
 
-
-def _position(cuts: Column, place: Column) -> Column:
-    """How many of the sorted cuts lie below ``place``: a coarse look, then a fine one."""
-    step = F.ceil(F.sqrt(F.size(cuts))).cast("int")
-    heads = F.filter(cuts, lambda cut, i: (i % step == 0) & (cut < place))
-    begin = F.greatest(F.size(heads) - 1, F.lit(0)) * step
-    fine = F.filter(F.slice(cuts, begin + 1, F.greatest(step, F.lit(1))), lambda cut: cut < place)
-    return F.when(F.size(cuts) > 0, begin + F.size(fine)).otherwise(0)
-
-
-def _with_slices(
-    df: DataFrame, keys: Sequence[str], ts: str, tie: str | None, rows_per_slice: int
-) -> DataFrame | None:
-    """``df`` with ``_hot`` and ``_slice``; None if no key is above ``rows_per_slice``.
-
-    Large keys are cut at quantiles of time, rows without a time at quantiles of the tie
-    and after all others, so slices are even whatever the times are.
+    Slices hold at most ``rows_per_slice`` rows that follow one another in ``order`` within
+    their key, and their numbers rise with it; a slice may hold several keys. They are stored
+    in the checkpoint folder: ranges are drawn from a sample, and one drawing must serve all
+    uses. Without a large key the first part is None.
     """
     large = large_groups(df.select(*keys), keys, rows_per_slice)
     if not large.count:
-        return None
-    wanted = min(MOST_SLICES, -(-large.most_rows // rows_per_slice))
-    shares = F.array(*[F.lit(number / wanted) for number in range(1, wanted)])
-    timed = F.unix_micros(F.col(ts)).cast("double")
-    untimed = _tie_place(df, tie) if tie else F.lit(0.0)
-    placed = df.withColumns({"_timed": timed, "_untimed": F.when(F.col(ts).isNull(), untimed)})
-    hot = join_null_safe(placed.select(*keys, "_timed", "_untimed"), large.sized(large.groups), keys, "inner")
-    none = F.array().cast("array<double>")
-    if wanted > 1:
-        cuts = {
-            name: F.coalesce(F.array_distinct(F.percentile_approx(column, shares, 20 * wanted)), none)
-            for name, column in (("_time_cuts", "_timed"), ("_tie_cuts", "_untimed"))
-        }
-    else:
-        cuts = {name: F.first(none) for name in ("_time_cuts", "_tie_cuts")}
-    hot = hot.groupBy(*keys).agg(*[column.alias(name) for name, column in cuts.items()])
-    hot = large.sized(hot.withColumn("_is_hot", F.lit(True)).checkpoint())
-    after = F.size("_time_cuts") + 1
-    late = F.coalesce(_position(F.col("_tie_cuts"), F.col("_untimed")), F.size("_tie_cuts"))
-    number = F.when(F.col("_timed").isNull(), after + late).otherwise(_position(F.col("_time_cuts"), F.col("_timed")))
-    return (
-        join_null_safe(placed, hot, keys, "left")
-        .withColumns(
-            {
-                "_hot": F.coalesce(F.col("_is_hot"), F.lit(False)),
-                "_slice": F.when(F.col("_is_hot"), number).otherwise(0).cast("bigint"),
-            }
-        )
-        .drop("_time_cuts", "_tie_cuts", "_is_hot", "_timed", "_untimed")
-    )
+        return None, df
+    groups = large.sized(large.groups)
+    ranges = -(-large.rows // max(rows_per_slice, ROWS_PER_RANGE))
+    by = [F.col(key).asc_nulls_first() for key in keys] + list(order)
+    ranged = join_null_safe(df, groups, keys, "left_semi").repartitionByRange(ranges, *by).sortWithinPartitions(*by)
+    place = F.monotonically_increasing_id()
+    within = F.floor(place.bitwiseAND((1 << _PLACE_BITS) - 1) / F.lit(rows_per_slice)).cast("bigint")
+    number = F.shiftleft(F.shiftright(place, _PLACE_BITS), _PLACE_BITS) + within
+    return ranged.withColumn("_slice", number).checkpoint(), join_null_safe(df, groups, keys, "left_anti")
 
 
 def _nulls_last(*names: str) -> list[Column]:
@@ -110,15 +74,12 @@ def previous_rows(
     Rows of a key are ordered by ``ts``, then ``tie``, NULLs last.
     """
     sources = list(dict.fromkeys(columns.values()))
-    sliced = _with_slices(df, keys, ts, tie, rows_per_slice)
+    sliced, rest = in_slices(df, keys, _nulls_last(ts, tie), rows_per_slice)
+    whole = Window.partitionBy(*keys).orderBy(*_nulls_last(ts, tie))
+    plain = rest.withColumns({new: F.lag(old).over(whole) for new, old in columns.items()})
     if sliced is None:
-        whole = Window.partitionBy(*keys).orderBy(*_nulls_last(ts, tie))
-        return df.withColumns({new: F.lag(old).over(whole) for new, old in columns.items()})
-    tails = (
-        sliced.filter("_hot")
-        .groupBy(*keys, "_slice")
-        .agg(F.max_by(F.struct(*sources), _as_struct(ts, tie)).alias("_tail"))
-    )
+        return plain
+    tails = sliced.groupBy(*keys, "_slice").agg(F.max_by(F.struct(*sources), _as_struct(ts, tie)).alias("_tail"))
     by_slice = Window.partitionBy(*keys).orderBy("_slice")
     heads = (
         tails.withColumn("_before", F.lag("_tail").over(by_slice))
@@ -130,13 +91,11 @@ def previous_rows(
             *[F.col(f"_before.{name}").alias(f"_carried_{name}") for name in sources],
         )
     )
-    body = sliced.drop("_hot").withColumn("_turn", F.lit(1)).withColumns(
-        {f"_carried_{name}": F.col(name) for name in sources}
-    )
+    body = sliced.withColumn("_turn", F.lit(1)).withColumns({f"_carried_{name}": F.col(name) for name in sources})
     in_order = Window.partitionBy(*keys, "_slice").orderBy(
         F.col("_turn"), *_nulls_last(ts, tie)
     )
-    return (
+    carried = (
         body.unionByName(heads, allowMissingColumns=True)
         .withColumns(
             {new: F.lag(f"_carried_{old}").over(in_order) for new, old in columns.items()}
@@ -144,6 +103,7 @@ def previous_rows(
         .filter(F.col("_turn") == 1)
         .drop("_turn", "_slice", *[f"_carried_{name}" for name in sources])
     )
+    return carried.unionByName(plain)
 
 
 def last_known(
@@ -176,52 +136,39 @@ def last_known(
     both = asked.unionByName(known, allowMissingColumns=True)
     if not by:
         both = both.withColumn("_everything", F.lit(0))
-    sliced = _with_slices(both, keys, "_at", None, rows_per_slice)
-    # A NULL tie is the least; equal ties are decided by the values.
-    order = ["_at", "_tie", "_known"]
-    if sliced is None:
-        body, partition = both.withColumn("_turn", F.lit(0)), keys
-    else:
-        tails = (
-            sliced.filter("_hot")
-            .groupBy(*keys, "_slice")
-            .agg(
-                F.max_by(
-                    F.col("_known"), F.when(F.col("_known").isNotNull(), F.struct(*order))
-                ).alias("_tail")
-            )
-        )
-        earlier = (
-            Window.partitionBy(*keys)
-            .orderBy("_slice")
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
+    # A NULL tie is the least; equal ties are decided by the values. Right rows come before
+    # left rows of the same instant.
+    order = ["_at", "_side", "_tie", "_known"]
+    sliced, rest = in_slices(both, keys, [F.col(name).asc_nulls_first() for name in order], rows_per_slice)
+    body = _carried_on(rest, keys, order)
+    if sliced is not None:
+        state = F.when(F.col("_known").isNotNull(), F.struct(*order))
+        tails = sliced.groupBy(*keys, "_slice").agg(F.max_by("_known", state).alias("_tail"))
+        earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
         heads = (
             tails.withColumn("_known", F.last("_tail", ignorenulls=True).over(earlier))
             .filter(F.col("_known").isNotNull())
             .select(*keys, "_slice", F.lit(-1).alias("_turn"), "_known")
         )
-        body = sliced.drop("_hot").withColumn("_turn", F.lit(0))
-        body, partition = body.unionByName(heads, allowMissingColumns=True), [*keys, "_slice"]
-    # Right rows come before left rows of the same instant.
-    in_order = (
-        Window.partitionBy(*partition)
-        .orderBy("_turn", "_at", "_side", "_tie", "_known")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    latest = F.last("_known", ignorenulls=True).over(in_order)
+        headed = sliced.withColumn("_turn", F.lit(0)).unionByName(heads, allowMissingColumns=True)
+        body = body.unionByName(_carried_on(headed, [*keys, "_slice"], ["_turn", *order]).drop("_turn", "_slice"))
     types = dict(right.dtypes)
     untimed = left.filter(F.col(ts).isNull()).select(
         "*", *[F.lit(None).cast(types[old]).alias(new) for new, old in values.items()]
     )
     return (
-        body.withColumn("_latest", latest)
-        .filter(F.col("_side") == 1)
+        body.filter(F.col("_side") == 1)
         .select(*left.columns, *[F.col(f"_latest.{new}").alias(new) for new in values])
         .unionByName(untimed)
     )
 
 
+def _carried_on(rows: DataFrame, partition: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``rows`` with ``_latest``, the last value of ``_known`` up to each of them."""
+    so_far = Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.withColumn("_latest", F.last("_known", ignorenulls=True).over(so_far))
+
+
 # Above this many rows or days the right side is not broadcast.
 SMALL_ROWS = 50_000
 SMALL_DAYS = 50_000

@@ -38,7 +38,7 @@ def _brackets(
         .groupBy(*groups)
         .agg(F.percentile_approx("_value", cuts, accuracy).alias("_cuts"))
     )
-    return large.sized(sketched)
+    return large.sized(sketched, more_bytes=8 * len(cuts))
 
 
 def exact_quantiles(

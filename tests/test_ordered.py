@@ -9,8 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from leadline.operators.ordered import (
-    _with_slices,
     changes,
+    in_slices,
     last_known,
     last_known_small,
     latest_per_key,
@@ -142,6 +142,24 @@ def test_slices_are_even(spark, shape):
         rows.append((i, f"{i * 7919 % 4001:06d}", "k", at))
     df = spark.createDataFrame(rows, "id int, name string, key string, at timestamp")
     tie = "name" if shape == "text_ties" else "id"
-    sliced = _with_slices(df, ["key"], "at", tie, wanted)
+    order = [F.col("at").asc_nulls_last(), F.col(tie).asc_nulls_last()]
+    sliced, rest = in_slices(df, ["key"], order, wanted)
     sizes = [r["n"] for r in sliced.groupBy("_slice").agg(F.count("*").alias("n")).collect()]
-    assert sum(sizes) == 4000 and max(sizes) <= 2 * wanted
+    assert sum(sizes) == 4000 and max(sizes) <= wanted and rest.isEmpty()
+
+
+def test_a_key_of_a_thousand_slices(spark):
+    """Ranges of several slices, keys that share a slice, and small keys beside the large one."""
+    rows = spark.range(60_000).select(
+        F.col("id"),
+        F.when(F.col("id") % 6 < 5, "hot").when(F.col("id") % 600 == 5, F.concat(F.lit("k"), F.col("id") % 7)).alias("key"),
+        F.timestamp_seconds(F.col("id") * 7919 % 60_013).alias("at"),
+        (F.col("id") % 11).alias("v"),
+    )
+    whole = previous_rows(rows, ["key"], "at", "id", {"before": "id"}, 10**6)
+    cut = previous_rows(rows, ["key"], "at", "id", {"before": "id"}, 50)
+    assert whole.count() == 60_000 and whole.exceptAll(cut).isEmpty() and cut.exceptAll(whole).isEmpty()
+    known = rows.where("id % 5 = 1").select("key", F.col("at").alias("since"), F.col("v").alias("tie"), F.col("id").alias("found"))
+    options = {"ts": "at", "right_ts": "since", "values": {"found": "found"}, "by": ["key"], "tie": "tie"}
+    whole, cut = (last_known(rows, known, **options, rows_per_slice=n) for n in (10**6, 50))
+    assert whole.count() == 60_000 and whole.exceptAll(cut).isEmpty() and cut.exceptAll(whole).isEmpty()

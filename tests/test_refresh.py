@@ -112,7 +112,7 @@ def test_state_rows(spark, built):
     assert raw["configuration_hash"] == hashlib.sha256(config.encode()).hexdigest()
     assert row["configuration_hash"] == raw["configuration_hash"]
     assert row["raw_json"] == json.dumps(raw, sort_keys=True, separators=(",", ":"))
-    assert raw["observation_time"] == "2026-07-30T00:00:00.000000+00:00"
+    assert raw["observation_time"] == "2026-07-30T00:00:00+00:00"
     assert raw["observed_source_git_sha"] == SHA
     stored = bronze(spark, data).filter("source = 'state_snapshot'").orderBy("event_time").first()
     micros = stored["source_line_number"]
