@@ -21,11 +21,11 @@ from leadline.sinks.bronze import (
     write_bronze,
     write_quarantine,
 )
-from leadline.sinks.records import write_file_results, write_manifest, write_offsets
+from leadline.sinks.records import write_file_results, write_leaves, write_manifest, write_offsets
 from leadline.sources.files import freeze, refuse_bad_paths
-from leadline.sources.lines import RANGE_BYTES, count_ranges, read_lines, resume_plan
+from leadline.sources.lines import FULL, GROWTH, RANGE_BYTES, count_ranges, read_lines, resume_plan
 from leadline.sources.specs import EVENT_SOURCES, SourceSpec
-from leadline.sources.stored import bronze, saved_offsets
+from leadline.sources.stored import bronze, saved_offsets, stored_leaves
 
 # Session modes.
 BACKFILL = "historical_backfill"
@@ -50,14 +50,19 @@ def ingest_session(
     now: Optional[dt.datetime] = None,
     frozen: Optional[DataFrame] = None,
     range_bytes: int = RANGE_BYTES,
+    verify: str = FULL,
 ) -> dict[str, object]:
     """Store the new events below ``root`` in ``data`` and return the session's facts.
 
     ``historical`` attributes events to ``commits`` by time, else to ``version``.
     ``full_scan`` reads every file from its start; stored events are recognised by
     id, so repeating a session stores nothing twice. An unfinished last line waits
-    for the next session unless the scan is full (``tail`` overrides).
+    for the next session unless the scan is full (``tail`` overrides). ``verify`` says how
+    much of what earlier sessions read is hashed again: all of it, or with ``growth`` only
+    the range of bytes in which each file's growth starts.
     """
+    if verify not in (FULL, GROWTH):
+        raise ValueError(f"verify must be {FULL} or {GROWTH}")
     prepare_session(spark)
     started = now or dt.datetime.now(dt.timezone.utc)
     session_id = session_id or new_session_id(started)
@@ -69,7 +74,7 @@ def ingest_session(
             refuse_bad_paths(frozen, root)
         return _store_session(
             spark, data, folder, frozen, historical, full_scan, commits, version, specs,
-            tail, session_id, started, range_bytes,
+            tail, session_id, started, range_bytes, verify,
         )
     finally:
         # The scratch tables hold a copy of what was read.
@@ -90,10 +95,12 @@ def _store_session(
     session_id: str,
     started: dt.datetime,
     range_bytes: int,
+    verify: str,
 ) -> dict[str, object]:
     saved = None if full_scan else saved_offsets(spark, data)
-    files, ranges = resume_plan(
-        spark, frozen, saved, folder, tail or ("read" if full_scan else "hold"), range_bytes
+    leaves = stored_leaves(spark, data) if verify == GROWTH and saved is not None else None
+    files, ranges, hashed = resume_plan(
+        spark, frozen, saved, folder, tail or ("read" if full_scan else "hold"), range_bytes, leaves
     )
     # The classified scan feeds three outputs, so it is stored once.
     scanned = ingest.with_identity(read_lines(ranges, count_ranges(files, range_bytes)))
@@ -150,6 +157,7 @@ def _store_session(
         raise RuntimeError(f"quarantined {quarantined} rows of {malformed} malformed lines")
     stats = ingest.source_stats(files, by_file, session_id).select(*SOURCE_STATS.names)
     write_file_results(files, by_file, data, session_id)
+    write_leaves(hashed, data, session_id)
     write_offsets(files, by_file, data, session_id)
     facts = {
         "started_at": started.isoformat(),

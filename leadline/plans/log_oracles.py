@@ -8,6 +8,23 @@ _EV = "WITH " + EVENTS_SQL.strip() + "\n"
 _SECONDS = "'%Y-%m-%d %H:%M:%S'"
 
 ORACLE_SQL: dict[str, str] = {
+    "ingest_resume": _EV
+    + """, placed AS (
+  SELECT serial % 8 AS part, (serial // 8) % 12 AS file,
+         ['appended', 'rewritten', 'shortened'][(serial // 8) % 12 % 3 + 1] AS action FROM ev
+), read AS (
+  SELECT action, 'session1' AS session_id, file, FALSE AS resumed, TRUE AS fresh FROM placed WHERE part < 4
+  UNION ALL
+  SELECT action, 'session2', file, action = 'appended', action <> 'shortened' FROM placed
+  WHERE CASE action WHEN 'appended' THEN part >= 4 WHEN 'rewritten' THEN part < 4 ELSE part < 2 END
+)
+SELECT action, session_id, count(DISTINCT file) AS files,
+       count(DISTINCT file) FILTER (resumed) AS resumed_files,
+       count(*) AS lines_read, count(*) AS valid_json_rows,
+       count(*) FILTER (fresh) AS new_rows, count(*) FILTER (NOT fresh) AS duplicate_rows,
+       TRUE AS hashed_growth_only
+FROM read GROUP BY action, session_id
+""",
     "ingest_roundtrip": _EV
     + f"""
 SELECT event_type, CAST(event_date AS VARCHAR) AS event_date,

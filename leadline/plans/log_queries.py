@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadline.config import shared_folder
+from leadline.config import delete_folder, shared_folder
 from leadline.functions import json_text, to_double, to_long
 from leadline.operators.states import snapshot_tables, to_state_rows
 from leadline.plans import table_queries
@@ -15,7 +15,7 @@ from leadline.plans.ingest import ingest_session
 from leadline.plans.silver import state_snapshots
 from leadline.plans.tables import events, seconds_text, table
 from leadline.sources.specs import SourceSpec
-from leadline.sources.stored import bronze, read_manifests
+from leadline.sources.stored import bronze, file_results, read_manifests
 from leadline.streaming.buckets import bucket_totals
 from leadline.streaming.growth import ingest_stream
 
@@ -64,6 +64,83 @@ def _streamed(spark: SparkSession, folder: str) -> str:
     return data
 
 
+# Log files of the resume query, and the bytes of one leaf of their hash trees.
+RESUMED_FILES = 12
+RESUMED_RANGE = 8192
+
+
+def _write_files(lines: DataFrame, root: str) -> None:
+    """One log for each value of ``file``, its lines in the order of ``place``.
+
+    A file of an earlier call is replaced. The driver renames RESUMED_FILES files at most.
+    """
+    spark = lines.sparkSession
+    written = shared_folder(spark, "written")
+    dealt = lines.repartitionById(RESUMED_FILES, F.col("file").cast("int")).sortWithinPartitions("place")
+    dealt.select("value").write.text(written)
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path
+    store = path(root).getFileSystem(context._jsc.hadoopConfiguration())
+    store.mkdirs(path(f"{root}/logs"))
+    for status in store.listStatus(path(written)):
+        name = status.getPath().getName()
+        if name.startswith("part-"):
+            target = path(f"{root}/logs/part-{int(name[5:10]):02d}.log")
+            store.delete(target, False)
+            store.rename(status.getPath(), target)
+    delete_folder(spark, written)
+
+
+def _resumed(spark: SparkSession, folder: str) -> str:
+    """Sessions before and after a third of the logs each was appended to, rewritten, shortened."""
+    line = F.to_json(
+        F.struct(
+            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("at"),
+            F.concat(F.col("change"), "event_type").alias("event"),
+            F.col("serial").cast("string").alias("lease_id"),
+        )
+    )
+    placed = events(spark, folder).withColumns(
+        {"part": F.col("serial") % 8, "file": F.floor(F.col("serial") / 8) % RESUMED_FILES}
+    )
+    place = F.struct("part", "serial").alias("place")
+    root, data = shared_folder(spark, "logs"), shared_folder(spark, "data")
+
+    def session(rows: DataFrame, change: str, session_id: str) -> None:
+        kept = rows.withColumn("change", F.lit(change) if change == "" else F.when(F.col("file") % 3 == 1, change).otherwise(""))
+        _write_files(kept.select(line.alias("value"), "file", place), root)
+        ingest_session(
+            spark, root, data, specs=LOGS, version=RELEASE, session_id=session_id,
+            range_bytes=RESUMED_RANGE, verify="growth",
+        )
+
+    session(placed.filter("part < 4"), "", "session1")
+    session(placed.filter("part < CASE file % 3 WHEN 0 THEN 8 WHEN 1 THEN 4 ELSE 2 END"), "again_", "session2")
+    return data
+
+
+@query
+def ingest_resume(spark: SparkSession, folder: str) -> DataFrame:
+    """What two sessions read of logs that grew, changed or shrank between them.
+
+    ``hashed_growth_only`` says that no file had more bytes hashed than those from where it
+    was read on, and one range before.
+    """
+    found = file_results(spark, _resumed(spark, folder))
+    number = F.regexp_extract("source_file", r"part-(\d+)", 1).cast("int") % 3
+    action = F.element_at(F.array(F.lit("appended"), F.lit("rewritten"), F.lit("shortened")), number + 1)
+    most = F.col("snapshot_bytes") - F.col("start_byte") + F.when(number == 0, RESUMED_RANGE).otherwise(2 * RESUMED_RANGE)
+    return found.groupBy(action.alias("action"), "session_id").agg(
+        F.count("*").alias("files"),
+        F.count_if(F.col("start_byte") > 0).alias("resumed_files"),
+        F.sum("lines_read").alias("lines_read"),
+        F.sum("valid_json_rows").alias("valid_json_rows"),
+        F.sum("new_rows").alias("new_rows"),
+        F.sum("duplicate_rows").alias("duplicate_rows"),
+        F.bool_and(F.col("hashed_bytes") <= most).alias("hashed_growth_only"),
+    )
+
+
 @query
 def ingest_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Stored events after ingesting the same logs twice."""

@@ -51,6 +51,20 @@ OFFSETS = _struct(
     prefix_sha256 STRING, session_id STRING
     """
 )
+FILE_RESULTS = _struct(
+    """
+    session_id STRING, source STRING, source_file STRING, snapshot_bytes BIGINT,
+    fingerprint_sha256 STRING, start_byte BIGINT, start_line_number BIGINT, tail_bytes BIGINT,
+    hashed_bytes BIGINT, lines_read BIGINT, valid_json_rows BIGINT, malformed_rows BIGINT,
+    new_rows BIGINT, duplicate_rows BIGINT
+    """
+)
+LEAVES = _struct(
+    """
+    source_file STRING, start BIGINT, end BIGINT, newlines BIGINT, line_end BIGINT,
+    digest STRING, digest_to_line_end STRING, session_id STRING
+    """
+)
 OBSERVATION_ROW = _struct(
     """
     nm_key STRING, status STRING, cooldown_opens_at STRING,

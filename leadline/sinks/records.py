@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadline.schemas import OFFSETS, SOURCE_STATS
+from leadline.schemas import LEAVES, OFFSETS, SOURCE_STATS
 
 _STAT_NAMES = [n for n in SOURCE_STATS.names if n not in ("session_id", "source")]
 
@@ -39,6 +39,7 @@ def write_file_results(
     """One row for each file read, with the bytes left for a later session."""
     counts = ("lines_read", "valid_json_rows", "malformed_rows", "new_rows", "duplicate_rows")
     files.join(by_file, ["source", "source_file"], "left").select(
+        F.lit(session_id).alias("session_id"),
         "source",
         "source_file",
         F.col("byte_limit").alias("snapshot_bytes"),
@@ -46,10 +47,18 @@ def write_file_results(
         "start_byte",
         F.col("start_line").alias("start_line_number"),
         (F.col("byte_limit") - F.col("stop")).alias("tail_bytes"),
+        "hashed_bytes",
         *[F.coalesce(name, F.lit(0)).alias(name) for name in counts],
     ).write.mode("overwrite").parquet(f"{folder}/state/files/part={session_id}")
 
 
+def write_leaves(leaves: DataFrame, folder: str, session_id: str) -> None:
+    """Digests of the whole byte ranges that this session hashed."""
+    leaves.withColumn("session_id", F.lit(session_id)).select(*LEAVES.names).write.mode("overwrite").parquet(
+        f"{folder}/state/ranges/part={session_id}"
+    )
+
+
 def write_manifest(
     stats: DataFrame,
     folder: str,

@@ -3,13 +3,16 @@
 Files are cut into equal byte ranges, so one huge file is many tasks. A first pass
 counts line ends and hashes each range; a running sum over ranges gives each range
 the number of its first line; a second pass cuts the ranges into lines.
+
+Range digests are the leaves of a hash tree over each file: the digest of a prefix is that
+of its leaves. Sessions store the leaves of whole ranges, so a later one may take them as
+read and hash what grew, and the range the growth starts in, only.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 from typing import Optional
 
 import numpy as np
@@ -28,9 +31,10 @@ _ROWS_PER_BATCH = 8192
 _NEWLINE = 10
 _EMPTY_DIGEST = hashlib.sha256(b"").hexdigest()
 
+# ``mark`` is an offset inside the range; what is said of it is NULL without one.
 _RANGE_FACTS = (
-    "path string, start bigint, end bigint, newlines bigint, line_end bigint, "
-    "digest string, digest_to_line_end string"
+    "path string, start bigint, end bigint, mark bigint, newlines bigint, line_end bigint, "
+    "digest string, digest_to_line_end string, digest_to_mark string, newlines_from_mark bigint"
 )
 _LINES = (
     "source string, source_file string, source_line_number bigint, raw binary, "
@@ -50,21 +54,25 @@ def _range_facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             with open_file(row["path"]) as handle:
-                content = _read(handle, row["start"], row["end"] - row["start"])
-            line_end = content.rfind(b"\n") + 1
-            digest = hashlib.sha256(memoryview(content)[:line_end])
-            to_line_end = digest.hexdigest()
-            digest.update(memoryview(content)[line_end:])
+                content = memoryview(_read(handle, row["start"], row["end"] - row["start"]))
+            text = content.obj
+            line_end = text.rfind(b"\n") + 1
+            mark = None if row["mark"] is None else row["mark"] - row["start"]
+            # One digest, read off at every offset that is asked for.
+            digest, done, at = hashlib.sha256(), 0, {}
+            for offset in sorted({line_end, len(content), *([] if mark is None else [mark])}):
+                digest.update(content[done:offset])
+                done, at[offset] = offset, digest.hexdigest()
             yield pa.RecordBatch.from_pylist(
                 [
                     {
-                        "path": row["path"],
-                        "start": row["start"],
-                        "end": row["end"],
-                        "newlines": content.count(b"\n"),
+                        **row,
+                        "newlines": text.count(b"\n"),
                         "line_end": row["start"] + line_end if line_end else None,
-                        "digest": digest.hexdigest(),
-                        "digest_to_line_end": to_line_end,
+                        "digest": at[len(content)],
+                        "digest_to_line_end": at[line_end],
+                        "digest_to_mark": None if mark is None else at[mark],
+                        "newlines_from_mark": None if mark is None else text.count(b"\n", mark),
                     }
                 ],
                 schema=_facts_schema(),
@@ -72,17 +80,9 @@ def _range_facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _facts_schema() -> pa.Schema:
-    return pa.schema(
-        [
-            ("path", pa.string()),
-            ("start", pa.int64()),
-            ("end", pa.int64()),
-            ("newlines", pa.int64()),
-            ("line_end", pa.int64()),
-            ("digest", pa.string()),
-            ("digest_to_line_end", pa.string()),
-        ]
-    )
+    texts = ("path", "digest", "digest_to_line_end", "digest_to_mark")
+    names = [part.split()[0] for part in _RANGE_FACTS.split(", ")]
+    return pa.schema([(name, pa.string() if name in texts else pa.int64()) for name in names])
 
 
 def _balanced(ranges: DataFrame, count: int) -> DataFrame:
@@ -118,10 +118,10 @@ def grid(files: DataFrame, first: Column, last: Column, range_bytes: int) -> Dat
 def range_facts(
     spark: SparkSession, ranges: DataFrame, folder: str, count: int
 ) -> DataFrame:
-    """Line ends and digests of each distinct byte range, as a stored table."""
-    wanted = ranges.select("path", "start", "end").distinct()
+    """Line ends and digests of byte ranges (path, start, end, mark), as a stored table."""
+    wanted = ranges.select("path", "start", "end", "mark").distinct()
     facts = _balanced(wanted, count).mapInArrow(_range_facts, _RANGE_FACTS)
-    facts.write.mode("overwrite").parquet(f"{folder}/ranges")
+    facts.write.mode("append").parquet(f"{folder}/ranges")
     return spark.read.schema(facts.schema).parquet(f"{folder}/ranges")
 
 
@@ -209,8 +209,18 @@ def plan_ranges(
 
     ``files`` has source, path, source_file, start_byte, start_line and stop.
     """
+    # The first range may start inside one of the facts, at its mark.
+    counted = facts.select(
+        "path",
+        F.explode(
+            F.array(
+                F.struct("start", "end", "newlines"),
+                F.struct(F.col("mark").alias("start"), "end", F.col("newlines_from_mark").alias("newlines")),
+            )
+        ).alias("_range"),
+    ).select("path", "_range.*")
     ranges = grid(files, F.col("start_byte"), F.col("byte_limit"), range_bytes).join(
-        facts.select("path", "start", "end", "newlines"), ["path", "start", "end"]
+        counted.filter("start < end").distinct(), ["path", "start", "end"]
     )
     earlier = (
         Window.partitionBy("source", "path")
@@ -234,6 +244,77 @@ def plan_ranges(
     )
 
 
+# How a session makes sure that what it read before is still there.
+FULL, GROWTH = "full", "growth"
+
+
+def _with_saved(frozen: DataFrame, saved: Optional[DataFrame]) -> DataFrame:
+    """Frozen files with where their last session stopped, if they still reach that far."""
+    names = {"saved_offset": "byte_offset", "saved_line": "line_number", "saved_digest": "prefix_sha256"}
+    if saved is None:
+        kinds = ("bigint", "bigint", "string")
+        return frozen.withColumns({new: F.lit(None).cast(kind) for new, kind in zip(names, kinds)})
+    stopped = saved.select("source_file", *[F.col(old).alias(new) for new, old in names.items()])
+    files = frozen.join(stopped, "source_file", "left")
+    usable = F.col("saved_offset") <= F.col("byte_limit")
+    return files.withColumn("saved_offset", F.when(usable, F.col("saved_offset")))
+
+
+def _known_leaves(files: DataFrame, leaves: DataFrame, range_bytes: int) -> DataFrame:
+    """Stored leaves below the range in which each file's saved offset lies; complete or none."""
+    below = F.floor((F.col("saved_offset") - 1) / range_bytes) * range_bytes
+    placed = files.filter(below > 0).select("path", "source_file", below.alias("_below"))
+    found = leaves.join(placed, "source_file").filter(
+        (F.col("end") <= F.col("_below")) & (F.col("end") - F.col("start") == range_bytes) & (F.col("start") % range_bytes == 0)
+    )
+    whole = found.groupBy("path").agg(F.sum(F.col("end") - F.col("start")).alias("_sum"), F.max("_below").alias("_needed"))
+    complete = whole.filter("_sum = _needed").select("path")
+    return found.join(complete, "path", "left_semi").select(
+        "path",
+        "start",
+        "end",
+        F.lit(None).cast("bigint").alias("mark"),
+        "newlines",
+        "line_end",
+        "digest",
+        "digest_to_line_end",
+        F.lit(None).cast("string").alias("digest_to_mark"),
+        F.lit(None).cast("bigint").alias("newlines_from_mark"),
+    )
+
+
+def _judged(files: DataFrame, facts: DataFrame) -> DataFrame:
+    """Files with the digests of their prefixes, and whether each resumes where it stopped."""
+    part = F.struct("start", "end", "mark", "digest", "digest_to_line_end", "digest_to_mark")
+    by_file = facts.groupBy("path").agg(
+        F.collect_list(part).alias("_parts"),
+        F.coalesce(F.max("line_end"), F.lit(0)).cast("bigint").alias("last_line_end"),
+    )
+    offset, last_end = F.col("saved_offset"), F.col("last_line_end")
+
+    def upto(end: Column, at_end: str) -> Column:
+        """Leaves of the prefix that ends here: the range it ends in counts up to there."""
+        return F.transform(
+            F.filter("_parts", lambda part: part["start"] < end),
+            lambda part: F.struct(
+                part["start"].alias("start"),
+                F.when(part["end"] > end, part[at_end]).otherwise(part["digest"]).alias("digest"),
+            ),
+        )
+
+    nothing = F.lit(_EMPTY_DIGEST)
+    known = files.join(by_file, "path", "left").withColumns(
+        {
+            "fingerprint": F.coalesce(prefix_digest(upto(F.col("byte_limit"), "digest")), nothing),
+            "found_digest": F.coalesce(prefix_digest(upto(offset, "digest_to_mark")), nothing),
+            "held_digest": F.coalesce(prefix_digest(upto(last_end, "digest_to_line_end")), nothing),
+            "last_line_end": F.coalesce(last_end, F.lit(0).cast("bigint")),
+        }
+    )
+    same = offset.isNotNull() & (F.col("found_digest") == F.col("saved_digest"))
+    return known.withColumn("resumes", F.coalesce(same, F.lit(False))).drop("_parts")
+
+
 def resume_plan(
     spark: SparkSession,
     frozen: DataFrame,
@@ -241,113 +322,70 @@ def resume_plan(
     folder: str,
     tail: str = "hold",
     range_bytes: int = RANGE_BYTES,
-) -> tuple[DataFrame, DataFrame]:
-    """Where each frozen file is read from and up to, and the ranges to read.
+    leaves: Optional[DataFrame] = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Where each frozen file is read from and up to, the ranges to read, and new leaves.
 
     A file resumes at its saved offset only if the bytes before it are unchanged;
-    a shorter or rewritten file starts over. ``tail`` decides about bytes after the
-    last line end: ``hold`` leaves them for a later session, ``read`` takes them as
-    a line. The first result has one row for each file: start_byte, start_line,
-    stop, fingerprint and the digest of the prefix up to ``stop``.
+    a shorter or rewritten file starts over. Without ``leaves`` all bytes are hashed again.
+    With those of earlier sessions only the growth is, and the range it starts in: a file
+    whose earlier ranges alone were edited in place then goes unnoticed. ``tail`` decides
+    about bytes after the last line end: ``hold`` leaves them for a later session, ``read``
+    takes them as a line. The first result has one row for each file: start_byte, start_line,
+    stop, fingerprint, hashed_bytes and the digest of the prefix up to ``stop``.
     """
-    if saved is None:
-        files = frozen.withColumns(
-            {
-                "saved_offset": F.lit(None).cast("bigint"),
-                "saved_line": F.lit(None).cast("bigint"),
-                "saved_digest": F.lit(None).cast("string"),
-            }
-        )
+    files = _with_saved(frozen, saved)
+    offset, limit, zero = F.col("saved_offset"), F.col("byte_limit"), F.lit(0).cast("bigint")
+    mark = F.when((offset > F.col("start")) & (offset <= F.col("end")), offset).alias("mark")
+
+    def hashed(some: DataFrame, first: Column, last: Column) -> DataFrame:
+        ranges = grid(some, first, last, range_bytes).select("path", "start", "end", mark)
+        return range_facts(spark, ranges, folder, count_ranges(frozen, range_bytes))
+
+    if leaves is None or saved is None:
+        facts = hashed(files, zero, limit)
+        judged = _judged(files, facts)
     else:
-        files = frozen.join(
-            saved.select(
-                "source_file",
-                F.col("byte_offset").alias("saved_offset"),
-                F.col("line_number").alias("saved_line"),
-                F.col("prefix_sha256").alias("saved_digest"),
-            ),
-            "source_file",
-            "left",
-        )
-    usable = F.col("saved_offset") <= F.col("byte_limit")
-    files = files.withColumn("saved_offset", F.when(usable, F.col("saved_offset")))
-    zero, limit, offset = F.lit(0), F.col("byte_limit"), F.col("saved_offset")
-    ranges = [
-        grid(files, first, last, range_bytes).select(
-            "path", "start", "end", F.lit(kind).alias("kind")
-        )
-        for kind, first, last in (
-            ("whole", zero, limit),
-            ("saved", zero, offset),
-            ("since", offset, limit),
-        )
-    ]
-    wanted = reduce(DataFrame.unionByName, ranges)
-    facts = range_facts(spark, wanted, folder, count_ranges(frozen, range_bytes))
-
-    def parts_of(kind: str) -> Column:
-        part = F.struct("start", "end", "digest", "digest_to_line_end")
-        return F.collect_list(F.when(F.col("kind") == kind, part))
-
-    by_file = (
-        wanted.filter("kind <> 'since'")
-        .distinct()
-        .join(facts, ["path", "start", "end"])
-        .groupBy("path")
-        .agg(
-            parts_of("whole").alias("_whole"),
-            parts_of("saved").alias("_saved"),
-            F.coalesce(F.max(F.when(F.col("kind") == "whole", F.col("line_end"))), zero)
-            .cast("bigint")
-            .alias("last_line_end"),
-        )
-    )
-    last_end = F.col("last_line_end")
-    # The prefix up to the last line end: the range it lies in counts up to there.
-    held = F.transform(
-        F.filter("_whole", lambda part: part["start"] < last_end),
-        lambda part: F.struct(
-            part["start"].alias("start"),
-            F.when(part["end"] > last_end, part["digest_to_line_end"])
-            .otherwise(part["digest"])
-            .alias("digest"),
-        ),
-    )
-    known = files.join(
-        by_file.select(
-            "path",
-            prefix_digest(F.col("_whole")).alias("fingerprint"),
-            prefix_digest(F.col("_saved")).alias("found_digest"),
-            prefix_digest(held).alias("held_digest"),
-            "last_line_end",
-        ),
-        "path",
-        "left",
-    )
-    nothing = F.lit(_EMPTY_DIGEST)
-    found = F.coalesce("found_digest", nothing)
-    resumes = F.coalesce(offset.isNotNull() & (found == F.col("saved_digest")), F.lit(False))
-    start = F.when(resumes, offset).otherwise(F.lit(0).cast("bigint"))
-    line_end = F.coalesce("last_line_end", F.lit(0).cast("bigint"))
+        # A small table: as many rows as the files have ranges.
+        known = _known_leaves(files, leaves, range_bytes)
+        known.write.mode("overwrite").parquet(f"{folder}/leaves")
+        known = spark.read.schema(known.schema).parquet(f"{folder}/leaves")
+        covered = known.groupBy("path").agg(F.max("end").alias("covered"))
+        files = files.join(covered, "path", "left").withColumn("covered", F.coalesce("covered", zero))
+        facts = hashed(files, F.col("covered"), limit)
+        doubtful = _judged(files, facts.unionByName(known)).filter("NOT resumes AND covered > 0")
+        changed = doubtful.select(*files.columns)
+        changed.write.mode("overwrite").parquet(f"{folder}/changed")
+        changed = spark.read.schema(changed.schema).parquet(f"{folder}/changed")
+        if not changed.isEmpty():
+            facts = hashed(changed, zero, F.col("covered"))
+        known = known.join(changed.select("path"), "path", "left_anti")
+        judged = _judged(files, facts.unionByName(known))
+    resumes, line_end = F.col("resumes"), F.col("last_line_end")
+    start = F.when(resumes, offset).otherwise(zero)
     # Nothing new but an unfinished line: stay where the session started.
     stop = F.greatest(start, line_end) if tail == "hold" else limit
-    planned = known.select(
+    sizes = facts.groupBy("path").agg(F.sum(F.col("end") - F.col("start")).alias("hashed_bytes"))
+    planned = judged.join(sizes, "path", "left").select(
         "source",
         "path",
         "source_file",
         "byte_limit",
         "modified_at",
-        F.coalesce("fingerprint", nothing).alias("fingerprint"),
+        "fingerprint",
         start.alias("start_byte"),
-        F.when(resumes, F.col("saved_line")).otherwise(F.lit(0).cast("bigint")).alias(
-            "start_line"
-        ),
+        F.when(resumes, F.col("saved_line")).otherwise(zero).alias("start_line"),
         stop.alias("stop"),
-        F.when(stop == limit, F.coalesce("fingerprint", nothing))
-        .when(stop == line_end, F.coalesce("held_digest", nothing))
+        F.when(stop == limit, F.col("fingerprint"))
+        .when(stop == line_end, F.col("held_digest"))
         .otherwise(F.col("saved_digest"))
         .alias("prefix_digest"),
+        F.coalesce("hashed_bytes", zero).alias("hashed_bytes"),
     )
     planned.write.mode("overwrite").parquet(f"{folder}/files")
     stored = spark.read.schema(planned.schema).parquet(f"{folder}/files")
-    return stored, plan_ranges(stored, facts, range_bytes)
+    all_facts = facts if leaves is None or saved is None else facts.unionByName(known)
+    fresh = facts.filter(F.col("end") - F.col("start") == range_bytes).join(
+        stored.select("path", "source_file").distinct(), "path"
+    )
+    return stored, plan_ranges(stored, all_facts, range_bytes), fresh

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadline.schemas import BRONZE, OFFSETS, SESSIONS, SOURCE_STATS, empty
+from leadline.schemas import BRONZE, FILE_RESULTS, LEAVES, OFFSETS, SESSIONS, SOURCE_STATS, empty
 
 _STATS = T.StructType(
     [f for f in SOURCE_STATS.fields if f.name not in ("session_id", "source")]
@@ -78,3 +78,25 @@ def saved_offsets(spark: SparkSession, folder: str) -> Optional[DataFrame]:
         .agg(F.max_by(values, "session_id").alias("_latest"))
         .select("source_file", "_latest.*")
     )
+
+
+def stored_leaves(spark: SparkSession, folder: str) -> Optional[DataFrame]:
+    """The latest digest of each whole byte range of each file, or None before any."""
+    path = f"{folder}/state/ranges"
+    if not path_exists(spark, path):
+        return None
+    values = F.struct(*[name for name in LEAVES.names if name not in ("source_file", "start", "end")])
+    rows = spark.read.schema(LEAVES).parquet(path)
+    return (
+        rows.groupBy("source_file", "start", "end")
+        .agg(F.max_by(values, "session_id").alias("_latest"))
+        .select("source_file", "start", "end", "_latest.*")
+    )
+
+
+def file_results(spark: SparkSession, folder: str) -> DataFrame:
+    """One row for each session and file: bytes, lines, and what became of them."""
+    path = f"{folder}/state/files"
+    if not path_exists(spark, path):
+        return empty(spark, FILE_RESULTS)
+    return spark.read.schema(FILE_RESULTS).parquet(path)

@@ -20,7 +20,7 @@ from leadline.plans.ingest import ingest_session
 from leadline.sources.files import freeze
 from leadline.sources.lines import read_lines, resume_plan
 from leadline.sources.specs import EVENT_SOURCES, SourceSpec
-from leadline.sources.stored import bronze, read_manifests, saved_offsets
+from leadline.sources.stored import bronze, file_results, read_manifests, saved_offsets
 
 ACTION = {
     "timestamp": "2026-08-04T06:30:00Z",
@@ -105,7 +105,7 @@ def test_lines_of_small_ranges(spark, places, range_bytes, ending):
     _write(root, "log.jsonl", content)
     folder = shared_folder(spark, "t")
     frozen = freeze(spark, root, ONE_LOG, folder)
-    files, ranges = resume_plan(spark, frozen, None, folder, "read", range_bytes)
+    files, ranges, _ = resume_plan(spark, frozen, None, folder, "read", range_bytes)
     found = read_lines(ranges, 10).orderBy("source_line_number").collect()
     expected = content.splitlines(keepends=True) if b"\r" not in content else None
     pieces = [line + b"\n" for line in lines]
@@ -191,6 +191,37 @@ def test_growth_torn_line_shrink_and_rewrite(spark, places):
     assert len(_ids(spark, data)) == 6
 
 
+def test_growth_is_hashed_and_not_what_earlier_sessions_read(spark, places):
+    root, data = places
+    rows = [{"event": f"e{i:04d}", "at": "2026-07-30T00:00:00Z"} for i in range(60)]
+
+    def run(*some, verify="growth"):
+        _write(root, "log.jsonl", _lines(*some))
+        written = ingest_session(spark, root, data, specs=ONE_LOG, range_bytes=256, verify=verify)["written_rows"]
+        latest = file_results(spark, data).orderBy(F.desc("session_id")).first()
+        return written, latest["start_line_number"], latest["hashed_bytes"]
+
+    size = len(_lines(*rows[:20]))
+    assert run(*rows[:20]) == (20, 0, size)
+    # The range in which the growth starts is hashed again, no other.
+    written, line, hashed = run(*rows[:50])
+    assert (written, line) == (30, 20)
+    assert hashed == len(_lines(*rows[:50])) - (size - 1) // 256 * 256
+    fingerprint = file_results(spark, data).orderBy(F.desc("session_id")).first()["fingerprint_sha256"]
+    # Hashing everything finds the same digest, and the same place to go on from.
+    assert run(*rows[:50], verify="full") == (0, 50, len(_lines(*rows[:50])))
+    assert file_results(spark, data).orderBy(F.desc("session_id")).first()["fingerprint_sha256"] == fingerprint
+    # A rewritten file is told by its last range, a shortened one by its size.
+    changed = [{**row, "event": "x" + row["event"][1:]} for row in rows[:50]]
+    assert run(*changed) == (50, 0, len(_lines(*changed)))
+    assert run(*changed[:10])[:2] == (0, 0)
+    # Leaves of the longer file are not taken for those of the one that grows again.
+    assert run(*changed[:10], *rows[10:40])[:2] == (30, 10)
+    assert run(*changed[:10], *rows[10:60], verify="full")[:2] == (20, 40)
+    with pytest.raises(ValueError, match="verify"):
+        run(rows[0], verify="some")
+
+
 def test_full_scan_takes_an_unfinished_last_line(spark, places):
     root, data = places
     _write(root, "log.jsonl", _lines(FIGHT)[:-1])
