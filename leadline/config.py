@@ -25,6 +25,11 @@ SESSION_SETTINGS = {
     ),
 }
 
+# Bytes of one batch to a Python task. Spark's own bound of 64 MiB is held several times over,
+# by the JVM and by the worker, for each task of an executor.
+ARROW_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+ARROW_BATCH_BYTES = 4 << 20
+
 OBSERVER_INTERVAL_SECONDS = 60.0
 OBSERVER_INTERVAL_BOUNDS = (5.0, 300.0)
 
@@ -33,11 +38,14 @@ def prepare_session(spark: SparkSession, time_zone: str = "UTC") -> SparkSession
     """Fix the zone that decides days and weeks, and let tasks find this package.
 
     Python tasks get this package's functions by value, so executors need no
-    installed copy of it. A session without a checkpoint folder gets one.
+    installed copy of it. A session without a checkpoint folder gets one, and one that
+    leaves Arrow batches at their default size gets smaller ones.
     """
     import leadline
 
     spark.conf.set("spark.sql.session.timeZone", time_zone)
+    if spark.conf.get(ARROW_BATCH).rstrip("b") == str(64 << 20):
+        spark.conf.set(ARROW_BATCH, str(ARROW_BATCH_BYTES))
     checkpoint_folder(spark)
     cloudpickle.register_pickle_by_value(leadline)
     return spark
