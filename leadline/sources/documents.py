@@ -5,7 +5,7 @@ from __future__ import annotations
 from typing import Optional
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -141,6 +141,73 @@ def read_observation(
     return root, typed.drop("_keys")
 
 
+# Why an observation is refused.
+ROOT, ROOT_FIELD, NO_ROWS, NO_TIME = "root_not_object", "unexpected_root_field", "rows_missing", "unreadable_time"
+ROW, ROW_FIELD, STATUS, NO_KEY, KEY_AGAIN = (
+    "row_not_object", "unexpected_row_field", "invalid_status", "key_missing", "key_repeated"
+)
+
+
+def observation_faults(documents: DataFrame, ident: str, text: str) -> DataFrame:
+    """Every reason to refuse each of many observation documents, as rows (ident, fault, detail).
+
+    A document without a row here is accepted. Field sets are compared as arrays and rows
+    travel as VARIANT, so nothing is looked at on the driver; keys that repeat in one document
+    are counted by (document, key).
+    """
+    parsed = documents.select(F.col(ident), F.col(text).alias("_text"), F.try_parse_json(text).alias("_d")).withColumns(
+        {
+            "_keys": F.when(F.col("_d").isNotNull(), F.json_object_keys("_text")),
+            "_rows": F.try_variant_get("_d", "$.nms", "array<variant>"),
+            "_moment": parse_with_short_offset(F.try_variant_get("_d", "$.observed_at", "string")),
+        }
+    )
+    is_object = F.col("_keys").isNotNull()
+    root_fields = F.array(*[F.lit(name) for name in OBSERVATION_ROOT_FIELDS])
+
+    def fault(condition: Column, name: str, detail: Column | None = None) -> Column:
+        said = F.lit(None).cast("string") if detail is None else detail
+        return F.when(condition, F.struct(F.lit(name).alias("fault"), said.alias("detail")))
+
+    of_root = F.array(
+        fault(~is_object, ROOT),
+        fault(is_object & F.col("_rows").isNull(), NO_ROWS),
+        fault(is_object & F.col("_moment").isNull(), NO_TIME),
+    )
+    extra = F.transform(F.array_except("_keys", root_fields), lambda name: fault(F.lit(True), ROOT_FIELD, name))
+    root_faults = parsed.select(ident, F.explode(F.filter(F.concat(of_root, F.coalesce(extra, F.array())), lambda f: f.isNotNull())).alias("_f"))
+
+    rows = parsed.filter(is_object).select(ident, F.explode("_rows").alias("_row")).select(ident, F.to_json("_row").alias("_json"))
+    typed = rows.select(ident, F.json_object_keys("_json").alias("_keys"), F.from_json("_json", OBSERVATION_ROW).alias("_o"))
+    row_object = F.col("_keys").isNotNull()
+    key, status = F.coalesce("_o.nm_key", F.lit("")), F.col("_o.status")
+    row_fields = F.array(*[F.lit(name) for name in OBSERVATION_ROW.names])
+    of_row = F.array(
+        fault(~row_object, ROW),
+        fault(row_object & (key == ""), NO_KEY),
+        fault(row_object & (status.isNull() | ~status.isin(*STATUSES)), STATUS, status),
+    )
+    extra = F.transform(F.array_except("_keys", row_fields), lambda name: fault(F.lit(True), ROW_FIELD, name))
+    row_faults = typed.select(ident, F.explode(F.filter(F.concat(of_row, F.coalesce(extra, F.array())), lambda f: f.isNotNull())).alias("_f"))
+    repeated = typed.filter(row_object & (key != "")).groupBy(ident, key.alias("detail")).count().filter("count > 1")
+    return (
+        root_faults.unionByName(row_faults)
+        .select(ident, "_f.fault", "_f.detail")
+        .unionByName(repeated.select(ident, F.lit(KEY_AGAIN).alias("fault"), "detail"))
+        .distinct()
+    )
+
+
+def accepted_observations(documents: DataFrame, ident: str, text: str) -> DataFrame:
+    """The typed rows of all observation documents that have no fault."""
+    refused = observation_faults(documents, ident, text).select(ident).distinct()
+    kept = documents.select(ident, text).join(refused, ident, "left_anti")
+    element = F.explode(F.try_variant_get(F.try_parse_json(text), "$.nms", "array<variant>"))
+    return kept.select(ident, element.alias("_row")).select(
+        ident, F.from_json(F.to_json("_row"), OBSERVATION_ROW).alias("_o")
+    ).select(ident, "_o.*")
+
+
 def read_commits(spark: SparkSession, path: str) -> DataFrame:
     """Commits from text lines of identifier, tab, ISO time."""
     parts = F.split("value", "\t", 2)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import json
+import pickle
 import time
 
 import pytest
@@ -14,8 +15,9 @@ from leadline.config import observer_interval
 from leadline.operators.states import to_state_rows
 from leadline.sources.specs import SourceSpec
 from leadline.sources.stored import bronze
+from leadline.streaming import growth
 from leadline.streaming.buckets import bucket_totals
-from leadline.streaming.growth import ingest_stream
+from leadline.streaming.growth import _GrowthReader, ingest_stream
 from leadline.streaming.states import flush_on_change, observe_states, store_samples
 
 LOGS = (SourceSpec("log", "logs/*.jsonl", "at", "event"),)
@@ -183,3 +185,54 @@ def test_a_repeated_batch_stores_nothing_twice(spark, tmp_path):
     for _ in range(2):
         store_samples(frame, data, None)
     assert bronze(spark, data).count() == 2
+
+
+def _touched(root, names, text="{}\n"):
+    for name in names:
+        path = root / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(text)
+
+
+def _reader(tmp_path, glob="logs/*/day-?.log"):
+    return _GrowthReader(f"file://{tmp_path}/root", [("log", glob)], f"file://{tmp_path}/versions")
+
+
+def _names(reader, start, end):
+    parts = [pickle.loads(pickle.dumps(part)) for part in reader.partitions(start, end)]
+    return sorted(row[2] for part in parts for row in reader.read(part)), len(parts)
+
+
+def test_offsets_have_one_size_whatever_the_number_of_files(tmp_path, monkeypatch):
+    monkeypatch.setattr(growth, "FILES_PER_PARTITION", 1000)
+    reader, none = _reader(tmp_path, "logs/*.log"), {"version": 0}
+    _touched(tmp_path / "root", [f"logs/{i}.log" for i in range(10)])
+    few = reader.latestOffset()
+    _touched(tmp_path / "root", [f"logs/more-{i}.log" for i in range(10_000)])
+    many = reader.latestOffset()
+    assert len(json.dumps(few)) == len(json.dumps(many)) and few != many
+    assert _names(reader, none, few)[0] == sorted(f"logs/{i}.log" for i in range(10))
+    names, parts = _names(reader, few, many)
+    assert names == sorted(f"logs/more-{i}.log" for i in range(10_000)) and parts == 10
+
+
+def test_versions_change_with_the_files_and_can_be_planned_again(tmp_path):
+    reader = _reader(tmp_path)
+    assert reader.initialOffset() == reader.latestOffset() == {"version": 0}
+    _touched(tmp_path / "root", ["logs/a/day-1.log", "logs/b/day-2.log", "logs/b/day-10.log", "logs/day-3.log", "else/a/day-4.log"])
+    first = reader.latestOffset()
+    assert reader.latestOffset() == first
+    assert _names(reader, reader.initialOffset(), first)[0] == ["logs/a/day-1.log", "logs/b/day-2.log"]
+    _touched(tmp_path / "root", ["logs/b/day-2.log"], "{}\n{}\n")
+    _touched(tmp_path / "root", ["logs/c/day-5.log"])
+    # A restarted stream has only the offsets; an interrupted version is not one.
+    reader = _reader(tmp_path)
+    (tmp_path / "versions" / "000000000009.parquet.new").write_text("torn")
+    second = reader.latestOffset()
+    assert _names(reader, first, second)[0] == ["logs/b/day-2.log", "logs/c/day-5.log"]
+    reader.commit(second)
+    assert _names(reader, first, second)[0] == ["logs/b/day-2.log", "logs/c/day-5.log"]
+    _touched(tmp_path / "root", ["logs/c/day-6.log"])
+    third = reader.latestOffset()
+    reader.commit(third)
+    assert sorted(p.name for p in (tmp_path / "versions").glob("*.parquet")) == ["000000000002.parquet", "000000000003.parquet"]
