@@ -8,6 +8,10 @@ and running sums tell where that ends.
 
 A source's rate is target over size. Each document is emitted floor(rate) times, and once
 more with probability equal to the fraction, drawn from a hash of seed and id.
+
+A source of few or long documents may draw words far from its target. Each source therefore
+tries SHIFTS seeds, which turn its draws by as many steps of one circle, and keeps the one
+whose words come nearest: one more aggregate by source over ids and sizes, texts are not read.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ SEED = "mix"
 # Budget and ceiling in halves, so that all sums stay whole numbers.
 BUDGET_HALVES = 3
 CEILING_HALVES = 4
+SHIFTS = 32
 MOST_BROADCAST = 100_000
 
 
@@ -73,18 +78,49 @@ def draw(ident: Column, seed: str = SEED) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
-def copies_at(rate: Column, ident: Column, seed: str = SEED) -> Column:
+def turned(drawn: Column, shift: Column) -> Column:
+    """A draw moved on by ``shift`` of SHIFTS steps around the circle; exact in doubles."""
+    moved = drawn + shift / F.lit(float(SHIFTS))
+    return F.when(moved >= 1.0, moved - 1.0).otherwise(moved)
+
+
+def copies_at(rate: Column, drawn: Column) -> Column:
     whole = F.floor(rate)
-    return (whole + F.when(draw(ident, seed) < rate - whole, 1).otherwise(0)).cast("long")
+    return (whole + F.when(drawn < rate - whole, 1).otherwise(0)).cast("long")
+
+
+def with_shifts(targets: DataFrame, sizes: DataFrame, ident: str, seed: str = SEED) -> DataFrame:
+    """``targets`` with ``shift``: which seed takes the words nearest to each source's target.
+
+    Of equal distances the least shift. ``targets`` has ``of_source``, ``sizes`` source and size.
+    """
+    rate = F.col("rate")
+    drawn = sizes.select("source", "size", draw(F.col(ident), seed).alias("drawn"))
+    joined = drawn.join(targets, F.col("source").eqNullSafe(F.col("of_source")))
+    tried = joined.groupBy("of_source").agg(
+        *[
+            F.sum(F.when(turned(F.col("drawn"), F.lit(n)) < rate - F.floor(rate), F.col("size")).otherwise(0)).alias(f"once_{n}")
+            for n in range(SHIFTS)
+        ]
+    )
+    whole = F.floor(rate) * F.col("source_size")
+    found = targets.join(tried.withColumnRenamed("of_source", "tried"), F.col("of_source").eqNullSafe(F.col("tried")))
+    off = [F.struct(F.abs((whole + F.col(f"once_{n}")).cast("double") - F.col("target")), F.lit(n).alias("n")) for n in range(SHIFTS)]
+    return found.select(*targets.columns, F.array_min(F.array(*off))["n"].alias("shift"))
 
 
 def mix_sizes(
     sizes: DataFrame, ident: str = "doc_id", source: str = "source", size: str = "size", seed: str = SEED
 ) -> DataFrame:
-    """One row for each row of ``sizes``: ident, source, size, source_size, target, copies, taken."""
-    rows = sizes.select(ident, F.col(source).alias("source"), F.col(size).alias("size"))
+    """One row for each row of ``sizes``: ident, source, size, source_size, target, copies, taken.
+
+    * A null source is one of its own, the last; a null size takes no words. A null id is drawn
+      like an id named "null"; repeated ids share one draw. An empty table gives none.
+    """
+    rows = sizes.select(ident, F.col(source).alias("source"), F.coalesce(size, F.lit(0)).alias("size"))
     targets = _small(source_targets(rows).withColumnRenamed("source", "of_source"))
-    copies = copies_at(F.col("rate"), F.col(ident), seed)
+    targets = _small(with_shifts(targets, rows, ident, seed))
+    copies = copies_at(F.col("rate"), turned(draw(F.col(ident), seed), F.col("shift")))
     return rows.join(targets, F.col("source").eqNullSafe(F.col("of_source"))).select(
         ident, "source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken")
     )
@@ -106,13 +142,15 @@ def mix_documents(
       id is drawn like an id named "null". Repeated ids share one draw.
     * A source without words has target 0 and is not emitted. An empty table gives none.
     """
-    rate = fresh_name(documents.columns, "rate")
-    key = fresh_name(documents.columns, "of")
-    targets = source_targets(sizes_of(documents, ident, text, source))
-    targets = _small(targets.select(F.col("source").alias(key), F.col("rate").alias(rate)))
+    rate, shift, key = (fresh_name(documents.columns, name) for name in ("rate", "shift", "of"))
+    sizes = sizes_of(documents, ident, text, source)
+    targets = _small(source_targets(sizes).withColumnRenamed("source", "of_source"))
+    chosen = with_shifts(targets, sizes, ident, seed)
+    targets = _small(chosen.select(F.col("of_source").alias(key), F.col("rate").alias(rate), F.col("shift").alias(shift)))
+    drawn = turned(draw(F.col(ident), seed), F.col(shift))
     return (
         documents.join(targets, F.col(source).eqNullSafe(F.col(key)))
-        .withColumn(rate, copies_at(F.col(rate), F.col(ident), seed))
+        .withColumn(rate, copies_at(F.col(rate), drawn))
         .withColumn(rate, F.explode(F.expr(f"CASE WHEN `{rate}` > 0 THEN sequence(1L, `{rate}`) END")))
-        .drop(key, rate)
+        .drop(key, rate, shift)
     )

@@ -237,14 +237,22 @@ WITH sizes AS (
                      / (2 * sum(weight) FILTER (NOT full_up) OVER ())::DOUBLE END AS target
     FROM flagged
 ), drawn AS (
-    SELECT doc_id, size, source_size, target,
+    SELECT doc_id, sizes.source, size, source_size, target,
            CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
            ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / 4503599627370496.0 AS draw
     FROM sizes JOIN targets ON sizes.source IS NOT DISTINCT FROM targets.source
+), turned AS (
+    SELECT *, CASE WHEN draw + shift / 32.0::DOUBLE >= 1 THEN draw + shift / 32.0::DOUBLE - 1
+                   ELSE draw + shift / 32.0::DOUBLE END AS moved
+    FROM drawn, range(32) AS shifts(shift)
+), taken AS (
+    SELECT *, size * (floor(rate)::BIGINT + CASE WHEN moved < rate - floor(rate) THEN 1 ELSE 0 END) AS taken FROM turned
+), nearest AS (
+    SELECT source, shift FROM taken GROUP BY source, shift
+    QUALIFY row_number() OVER (PARTITION BY source ORDER BY abs(sum(taken)::DOUBLE - any_value(target)), shift) = 1
 )
-SELECT doc_id, size, source_size, target,
-       size * (floor(rate)::BIGINT + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END) AS taken
-FROM drawn
+SELECT doc_id, size, source_size, target, taken
+FROM taken JOIN nearest ON taken.source IS NOT DISTINCT FROM nearest.source AND taken.shift = nearest.shift
 """
 
 _PLAIN = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
