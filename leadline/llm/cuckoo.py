@@ -5,7 +5,10 @@ filter (two candidate buckets of four fingerprints for each key) and, slot by sl
 digests with their least id and count. A fingerprint hit is verified against the digest in
 that slot, so two texts are equal only if their SHA-256 is. A full filter is rebuilt with
 twice the buckets from the stored digests. Deleting lowers a count and frees the slot at
-zero.
+zero; a digest that lives on gets the least id of the rows that are left.
+
+Rows of one digest are combined by Spark before a shard sees them, so a text that a third of
+all rows hold is one entry.
 """
 
 from __future__ import annotations
@@ -73,7 +76,7 @@ class CuckooShard:
     def delete(self, digest: bytes, count: int) -> bool:
         """Take back ``count`` rows of a digest; False if it is not there.
 
-        The least id stays while rows remain: it names the class, not a live row.
+        Which ids are left only the rows know: see ``rename``.
         """
         slot = self.find(digest)
         if slot < 0:
@@ -84,6 +87,12 @@ class CuckooShard:
             self.ids[slot], self.counts[slot] = NO_ID, 0
         return True
 
+    def rename(self, digest: bytes, ident: int) -> None:
+        """The least id of the rows that a digest has left."""
+        slot = self.find(digest)
+        if slot >= 0:
+            self.ids[slot] = ident
+
     def _put(self, slot: int, entry: tuple[bytes, int, int]) -> None:
         self.prints[slot] = self._print(entry[0])
         self.digests[slot], self.ids[slot], self.counts[slot] = entry
@@ -153,20 +162,11 @@ def digest_of(text: Column) -> Column:
     return F.unhex(F.sha2(F.regexp_replace(F.coalesce(text, F.lit("")), GAP, " "), 256))
 
 
-def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Equal digests of a batch become one row, so a hot one travels once a batch."""
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        found = table.group_by(["shard", "digest"]).aggregate([("id", "min"), ("n", "sum")])
-        found = found.rename_columns(["shard", "digest", "id", "n"]).select(["shard", "digest", "id", "n"])
-        yield from found.to_batches()
-
-
 def _by_shard(entries: DataFrame, shards: int) -> DataFrame:
-    """Rows (digest, id, n), combined batch by batch, with their shard."""
+    """Rows (digest, id, n), one for each digest, with their shard."""
     number = F.pmod(F.xxhash64("digest"), F.lit(shards)).cast("int")
-    rows = entries.select(number.alias("shard"), "digest", F.coalesce("id", F.lit(NO_ID)).alias("id"), "n")
-    return rows.mapInArrow(_combined, "shard int, digest binary, id long, n long")
+    rows = entries.groupBy("digest").agg(F.min(F.coalesce("id", F.lit(NO_ID))).alias("id"), F.sum("n").alias("n"))
+    return rows.select(number.alias("shard"), "digest", "id", "n")
 
 
 def build_index(entries: DataFrame, shards: int) -> DataFrame:
@@ -182,26 +182,35 @@ def build_index(entries: DataFrame, shards: int) -> DataFrame:
     return _by_shard(entries, shards).groupBy("shard").applyInArrow(lambda table: fill(table), INDEX)
 
 
-def update_index(index: DataFrame, entries: DataFrame, shards: int) -> DataFrame:
-    """The index after inserting rows with n > 0 and deleting those with n < 0."""
+def update_index(index: DataFrame, entries: DataFrame, stored: DataFrame, shards: int) -> DataFrame:
+    """The index after inserting rows with n > 0 and deleting those with n < 0.
+
+    ``stored`` are the rows (digest, id) that are live after the change; those of shrunken
+    digests say which id is the least now.
+    """
 
     def change(held: pa.Table, rows: pa.Table) -> pa.Table:
         found = held.to_pylist()
         shard = CuckooShard.from_row(found[0]) if found else CuckooShard()
         columns = (rows.column(name).to_pylist() for name in ("digest", "id", "n"))
-        changes = sorted(zip(*columns, strict=True), key=lambda change: change[2] < 0)
+        # Insertions, then deletions, then new least ids (n = 0).
+        changes = sorted(zip(*columns, strict=True), key=lambda change: (change[2] == 0, change[2] < 0))
         for digest, ident, count in changes:
             if count > 0:
                 shard.insert(digest, ident, count)
             elif count < 0:
                 shard.delete(digest, -count)
+            else:
+                shard.rename(digest, ident)
         number = found[0]["shard"] if found else rows.column("shard")[0].as_py()
         return shard.to_table(number)
 
-    grown, shrunk = (_by_shard(entries.where(test), shards) for test in ("n > 0", "n < 0"))
+    shrunk = entries.where("n < 0")
+    named = stored.join(shrunk.select("digest").distinct(), "digest", "left_semi").select("digest", "id", F.lit(0).alias("n"))
+    grown, shrunk, named = (_by_shard(rows, shards) for rows in (entries.where("n > 0"), shrunk, named))
     return (
         index.groupBy("shard")
-        .cogroup(grown.unionByName(shrunk).groupBy("shard"))
+        .cogroup(grown.unionByName(shrunk).unionByName(named).groupBy("shard"))
         .applyInArrow(lambda held, rows: change(held, rows), INDEX)
     )
 

@@ -66,11 +66,23 @@ def test_index_insert_and_delete(spark):
     found = {bytes(r.digest): (r.keep_id, r.group_size) for r in index_entries(index).collect()}
     assert found == {_digest(i): (i, 4) for i in range(50)}
     changes = [(bytearray(_digest(i)), 0, -4) for i in range(10)] + [(bytearray(_digest("new")), 9, 2)]
-    changed = update_index(index, spark.createDataFrame(changes, "digest binary, id long, n long"), 3)
+    changed = update_index(index, spark.createDataFrame(changes, "digest binary, id long, n long"), rows.where("id % 50 >= 10"), 3)
     found = {bytes(r.digest): (r.keep_id, r.group_size) for r in index_entries(changed).collect()}
     assert found == {_digest(i): (i, 4) for i in range(10, 50)} | {_digest("new"): (9, 2)}
 
 
+def test_deleting_the_least_id_leaves_a_live_one(spark):
+    kinds = "digest binary, id long, n long"
+    rows = [(bytearray(_digest(i % 4)), i, 1) for i in range(12)] + [(bytearray(_digest("hot")), i, 1) for i in range(100, 3000)]
+    index = build_index(spark.createDataFrame(rows, kinds), 2)
+    gone = {0, 1, 5, 9, 100, 101}
+    changes = spark.createDataFrame([(d, i, -1) for d, i, _ in rows if i in gone] + [(bytearray(_digest(2)), 50, 1)], kinds)
+    live = [row for row in rows if row[1] not in gone] + [(bytearray(_digest(2)), 50, 1)]
+    changed = update_index(index, changes, spark.createDataFrame(live, kinds), 2)
+    found = {bytes(r.digest): (r.keep_id, r.group_size) for r in index_entries(changed).collect()}
+    assert found == {_digest(0): (4, 2), _digest(2): (2, 4), _digest(3): (3, 3), _digest("hot"): (102, 2898)}
+
+
 SCHEMA = "doc_id long, text string, digest string, key string, n int"
 TEXTS = [(3, "a  b"), (1, "a\tb"), (2, "a b "), (4, None), (5, ""), (6, " "), (None, "a b"), (7, "q"), (7, "q"), (8, "é " * 5000)]
 
