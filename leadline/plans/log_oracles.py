@@ -8,6 +8,29 @@ _EV = "WITH " + EVENTS_SQL.strip() + "\n"
 _SECONDS = "'%Y-%m-%d %H:%M:%S'"
 
 ORACLE_SQL: dict[str, str] = {
+    "stream_flushes": f"""
+WITH stepped AS (
+  SELECT user_id, ts, event_id % 2 AS lease, event_type,
+         lag(event_id % 2) OVER w AS lease_before, lag(event_type) OVER w AS type_before, row_number() OVER w AS place
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)
+), last_change AS (
+  SELECT user_id, max(place) AS upto FROM stepped
+  WHERE lease IS DISTINCT FROM lease_before OR event_type IS DISTINCT FROM type_before GROUP BY user_id
+)
+SELECT 'states/' || user_id AS source_file, count(*) AS samples, strftime(max(ts), {_SECONDS}) AS latest,
+       count(DISTINCT (lease, event_type)) AS states
+FROM stepped JOIN last_change USING (user_id) WHERE place <= upto GROUP BY user_id
+""",
+    "stream_repeats": """
+SELECT event_type, count(*) AS events, round(sum(value), 6) AS sum_value FROM events GROUP BY event_type
+""",
+    "replaced_partitions": """
+SELECT event_type,
+       CASE event_type WHEN 'error' THEN 'deleted' WHEN 'click' THEN 'written' WHEN 'signup' THEN 'written' ELSE 'kept' END AS action,
+       CASE WHEN event_type = 'error' THEN 0 ELSE count(*) END AS rows,
+       CASE event_type WHEN 'error' THEN NULL WHEN 'click' THEN round(sum(value + 1), 6) ELSE round(sum(value), 6) END AS sum_value
+FROM events GROUP BY event_type
+""",
     "ingest_resume": _EV
     + """, placed AS (
   SELECT serial % 8 AS part, (serial // 8) % 12 AS file,

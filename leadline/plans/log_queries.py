@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadline.config import delete_folder, shared_folder
+from leadline.config import SESSION_SETTINGS, delete_folder, shared_folder
 from leadline.functions import json_text, to_double, to_long
 from leadline.operators.states import snapshot_tables, to_state_rows
 from leadline.plans import table_queries
@@ -14,10 +14,13 @@ from leadline.plans.contracts import dataset_report
 from leadline.plans.ingest import ingest_session
 from leadline.plans.silver import state_snapshots
 from leadline.plans.tables import events, seconds_text, table
+from leadline.sinks.tables import replace_partitions
 from leadline.sources.specs import SourceSpec
 from leadline.sources.stored import bronze, file_results, read_manifests
 from leadline.streaming.buckets import bucket_totals
+from leadline.streaming.dedup import once_within
 from leadline.streaming.growth import ingest_stream
+from leadline.streaming.states import flush_on_change
 
 QUERIES: dict[str, table_queries.Query] = {}
 LOGS = (SourceSpec("event_log", "logs/part-*", "at", "event"),)
@@ -197,6 +200,68 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _stream_to_table(rows: DataFrame, purpose: str) -> DataFrame:
+    """What a stream appends until its source is read to the end."""
+    spark = rows.sparkSession
+    found, checkpoint = shared_folder(spark, purpose), shared_folder(spark, f"{purpose}-checkpoint")
+    stream = rows.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    stream.start(found).awaitTermination()
+    return spark.read.schema(rows.schema).parquet(found)
+
+
+@query
+def stream_flushes(spark: SparkSession, folder: str) -> DataFrame:
+    """Sampled states of each user that a stream has let through: up to the last change of state."""
+    document = F.to_json(F.struct((F.col("serial") % 2).cast("string").alias("lease_id"), F.col("event_type").alias("phase")))
+    samples = events(spark, folder).select(
+        F.concat(F.lit("states/"), F.col("user_id")).alias("source_file"), F.col("ts").alias("observed_at"), document.alias("document")
+    )
+    fed = shared_folder(spark, "samples")
+    samples.write.parquet(fed)
+    # Timers of an hour would keep asking for empty batches; nothing is flushed by them here.
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    settings = {provider: SESSION_SETTINGS[provider], "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        stream = spark.readStream.schema(samples.schema).parquet(fed)
+        passed = _stream_to_table(flush_on_change(stream, 1e-6), "flushed")
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    return passed.groupBy("source_file").agg(
+        F.count("*").alias("samples"), seconds_text(F.max("observed_at")).alias("latest"), F.countDistinct("document").alias("states")
+    )
+
+
+@query
+def stream_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """Events that come twice, in two batches of a stream; each counts once."""
+    ev = events(spark, folder).select(F.col("event_id").cast("string").alias("event_id"), "ts", "event_type", "value")
+    fed = shared_folder(spark, "repeats")
+    for part in ("first", "second"):
+        ev.coalesce(1).write.parquet(f"{fed}/part={part}")
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{fed}/part=*")
+    found = _stream_to_table(once_within(stream, "event_id", "ts", "400 days"), "once")
+    return found.groupBy("event_type").agg(F.count("*").alias("events"), F.round(F.sum("value"), 6).alias("sum_value"))
+
+
+@query
+def replaced_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    """A table by event type after its clicks changed, its errors went and signups came."""
+    ev = events(spark, folder).select("event_type", "event_id", "value", "ts")
+    path = f"{shared_folder(spark, 'replaced')}/table"
+    kind = F.col("event_type")
+    replace_partitions(ev.filter(kind != "signup"), path, ["event_type"])
+    changed = F.when(kind == "click", F.col("value") + 1).otherwise(F.col("value"))
+    plan = replace_partitions(ev.filter(kind != "error").withColumn("value", changed), path, ["event_type"])
+    stored = spark.read.schema(ev.schema).parquet(path).groupBy("event_type").agg(
+        F.count("*").alias("rows"), F.round(F.sum("value"), 6).alias("sum_value")
+    )
+    return plan.join(stored, "event_type", "left").select("event_type", "action", F.coalesce("rows", F.lit(0)).alias("rows"), "sum_value")
+
+
 @query
 def week_buckets(spark: SparkSession, folder: str) -> DataFrame:
     found = bucket_totals(
