@@ -215,9 +215,10 @@ def test_growth_is_hashed_and_not_what_earlier_sessions_read(spark, places):
     changed = [{**row, "event": "x" + row["event"][1:]} for row in rows[:50]]
     assert run(*changed) == (50, 0, len(_lines(*changed)))
     assert run(*changed[:10])[:2] == (0, 0)
-    # Leaves of the longer file are not taken for those of the one that grows again.
-    assert run(*changed[:10], *rows[10:40])[:2] == (30, 10)
-    assert run(*changed[:10], *rows[10:60], verify="full")[:2] == (20, 40)
+    # Leaves of the longer file are not taken for those of the one that grows again. Lines that
+    # stood at their places before are known.
+    assert run(*changed[:10], *rows[10:40])[:2] == (0, 10)
+    assert run(*changed[:10], *rows[10:60], verify="full")[:2] == (10, 40)
     with pytest.raises(ValueError, match="verify"):
         run(rows[0], verify="some")
 
