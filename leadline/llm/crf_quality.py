@@ -263,7 +263,8 @@ def score_documents(documents: DataFrame, model: Field, ident: str = "doc_id", t
     """One row for each row: ident, score, line_scores (lines with words, in order).
 
     * Null texts and texts without words have no lines; their score is the share of good
-      documents in training. Nothing but the text decides. Repeated rows score alike.
+      documents in training. Nothing but the text decides. Repeated rows score alike; other
+      columns are ignored. Texts are read in pieces, whole. An empty table gives no rows.
     """
     sent = documents.sparkSession.sparkContext.broadcast((model.weights, model.pairs, model.prior))
     rows = documents.select(

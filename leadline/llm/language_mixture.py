@@ -147,7 +147,9 @@ def identify(documents: DataFrame, model: Model, ident: str = "doc_id", text: st
 
     * Null texts and texts without a letter are ``und`` with score 0; so is everything if
       nothing was learned. Score is the share of the predicted language.
-    * The result depends on the text alone. Repeated rows give repeated results.
+    * Of equal shares the language that sorts first by code point is named first.
+    * The result depends on the text alone. Repeated rows give repeated results; other columns
+      are ignored. Texts are read in pieces, whole. An empty table gives no rows.
     """
     sent = documents.sparkSession.sparkContext.broadcast((model.languages, model.table))
     rows = documents.select(

@@ -231,7 +231,8 @@ def scan_licenses(documents: DataFrame, ident: str = "doc_id", text: str = "text
 
     * A null text is empty: no words, no labels, score 0. The score is the best confidence.
     * Base labels are given wherever a base phrase stands, resolved away or not.
-    * Repeated rows give repeated results; other columns are ignored.
+    * Repeated rows give repeated results; other columns are ignored. Texts are read whole,
+      whatever their length. An empty table gives no rows.
     """
     value = F.coalesce(F.col(text), F.lit(""))
     spaced = F.trim(F.regexp_replace(value, GAPS, " "))
