@@ -114,5 +114,5 @@ def test_query_matches_sql(spark, name):
 
 def test_every_operator_is_registered():
     names = set(contract.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in names if name.startswith("op") and name[2].isdigit()}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in names if name.startswith("op") and name[2].isdigit()}
     assert "pipeline" in names
