@@ -5,12 +5,13 @@ from __future__ import annotations
 import os
 import time
 from collections.abc import Iterator, Sequence
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from typing import Any, Optional
 from urllib.parse import urlsplit
 
+import pandas as pd
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -28,6 +29,9 @@ from leadline.sources.files import root_uri
 
 _SAMPLE = "source_file string, observed_at timestamp, document string"
 _HOUR_MILLIS = 3_600_000
+_WATCHED = ("at", "document", "lease_id", "phase")
+_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+_ROWS_PER_CALL = 10_000  # of what is held, in one message to the JVM
 
 
 class _Sample(InputPartition):
@@ -127,29 +131,42 @@ class _FlushOnChange(StatefulProcessor):
         self.count = handle.getValueState("count", "n int")
 
     def handleInputRows(
-        self, key: Any, rows: Iterator[Row], timerValues: Any
-    ) -> Iterator[Row]:
+        self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
+    ) -> Iterator[pd.DataFrame]:
+        """Each call of a state is a round trip to the JVM, so the samples of a batch wait in
+        lists: the states are read once, and told once what is left when the batch ends."""
         (name,) = key
-        held = self.count.get()[0] if self.count.exists() else 0
-        last = tuple(self.flushed.get()) if self.flushed.exists() else None
-        for row in sorted(rows, key=lambda r: r["observed_at"]):
-            if held == 0:
-                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + _HOUR_MILLIS)
-            self.held.appendValue((row["observed_at"], row["document"]))
+        found, told = self.count.get(), self.flushed.get()
+        before = held = found[0] if found else 0
+        last = told = tuple(told) if told else None
+        samples = [sample for frame in rows for sample in zip(*(frame[column].tolist() for column in _WATCHED))]
+        samples.sort(key=lambda sample: sample[0])
+        stored, released = before > 0, 0
+        for place, (_, _, *watched) in enumerate(samples, 1):
             held += 1
-            state = (row["lease_id"], row["phase"])
+            state = tuple(watched)
             if state != last or held >= self.rows_per_hour:
-                yield from self._flush(name)
+                last, held, released = state, 0, place
+        if released:
+            if stored:
+                yield self._flush(name)
                 self._drop_timers()
-                self.flushed.update(state)
-                last, held = state, 0
-        self.count.update((held,))
+            yield _frame(name, samples[:released])
+        waiting = samples[released:]
+        if waiting and (released or not stored):
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + _HOUR_MILLIS)
+        for at in range(0, len(waiting), _ROWS_PER_CALL):
+            self.held.appendList([(_moment(micros), text) for micros, text, *_ in waiting[at : at + _ROWS_PER_CALL]])
+        if last != told:
+            self.flushed.update(last)
+        if held != before:
+            self.count.update((held,))
 
     def handleExpiredTimer(
         self, key: Any, timerValues: Any, expiredTimerInfo: Any
-    ) -> Iterator[Row]:
+    ) -> Iterator[pd.DataFrame]:
         (name,) = key
-        yield from self._flush(name)
+        yield self._flush(name)
         self.count.update((0,))
 
     def _drop_timers(self) -> None:
@@ -157,30 +174,47 @@ class _FlushOnChange(StatefulProcessor):
         for expiry in list(self.handle.listTimers()):
             self.handle.deleteTimer(expiry)
 
-    def _flush(self, name: str) -> Iterator[Row]:
-        for observed_at, document in self.held.get():
-            yield Row(source_file=name, observed_at=observed_at, document=document)
+    def _flush(self, name: str) -> pd.DataFrame:
+        held = _frame(name, [(_micros(observed_at), document) for observed_at, document in self.held.get()])
         self.held.clear()
+        return held
 
     def close(self) -> None:
         pass
 
 
+def _frame(name: str, samples: Sequence[tuple]) -> pd.DataFrame:
+    """Samples as they go out; times are microseconds, which pandas keeps for every year."""
+    return pd.DataFrame(
+        {"source_file": name, "at": [sample[0] for sample in samples], "document": [sample[1] for sample in samples]}
+    )
+
+
+def _moment(micros: int) -> datetime:
+    return _EPOCH + timedelta(microseconds=micros)
+
+
+def _micros(moment: datetime) -> int:
+    return (moment.astimezone(timezone.utc) - _EPOCH) // timedelta(microseconds=1)
+
+
 def flush_on_change(samples: DataFrame, interval_seconds: float) -> DataFrame:
     """Samples, let through in groups by ``_FlushOnChange``; needs the RocksDB store."""
     document = F.col("document")
-    keyed = samples.withColumns(
-        {
-            "lease_id": json_text(document, "$.lease_id"),
-            "phase": json_text(document, "$.phase"),
-        }
+    keyed = samples.select(
+        "source_file",
+        F.unix_micros("observed_at").alias("at"),
+        document,
+        json_text(document, "$.lease_id").alias("lease_id"),
+        json_text(document, "$.phase").alias("phase"),
     )
-    return keyed.groupBy("source_file").transformWithState(
+    passed = keyed.groupBy("source_file").transformWithStateInPandas(
         statefulProcessor=_FlushOnChange(max(1, round(3600 / interval_seconds))),
-        outputStructType=_SAMPLE,
+        outputStructType="source_file string, at long, document string",
         outputMode="Append",
         timeMode="ProcessingTime",
     )
+    return passed.select("source_file", F.timestamp_micros("at").alias("observed_at"), "document")
 
 
 def store_samples(samples: DataFrame, data: str, version: Optional[str]) -> None:

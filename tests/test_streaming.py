@@ -6,8 +6,11 @@ import datetime as dt
 import hashlib
 import json
 import pickle
+import random
 import time
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -18,7 +21,7 @@ from leadline.sources.stored import bronze
 from leadline.streaming import growth
 from leadline.streaming.buckets import bucket_totals
 from leadline.streaming.growth import _GrowthReader, ingest_stream
-from leadline.streaming.states import flush_on_change, observe_states, store_samples
+from leadline.streaming.states import _FlushOnChange, flush_on_change, observe_states, store_samples
 
 LOGS = (SourceSpec("log", "logs/*.jsonl", "at", "event"),)
 
@@ -129,6 +132,56 @@ def test_flush_on_change(spark, tmp_path):
         query.stop()
 
 
+class _Calls:
+    """States of one document in plain Python; counts what would be round trips."""
+
+    def __init__(self):
+        self.n, self.values, self.held, self.timers = 0, {}, [], []
+
+    def getValueState(self, name, _schema):
+        return SimpleNamespace(get=lambda: self._call(self.values.get(name)), update=lambda v: self._call(self.values.update({name: v})))
+
+    def getListState(self, _name, _schema):
+        return SimpleNamespace(
+            get=lambda: iter(self._call(list(self.held))), clear=lambda: self._call(self.held.clear()), appendList=lambda v: self._call(self.held.extend(v))
+        )
+
+    def _call(self, value):
+        self.n += 1
+        return value
+
+    def registerTimer(self, at):
+        self._call(self.timers.append(at))
+
+    def deleteTimer(self, at):
+        self._call(self.timers.remove(at))
+
+    def listTimers(self):
+        return self._call(list(self.timers))
+
+
+@pytest.mark.parametrize("limit", [3, 10**9])
+def test_samples_of_a_batch_cost_few_calls(limit):
+    """What goes out is what a plain reading of the rule gives; no call for each sample."""
+    rng, handle, processor = random.Random(limit), _Calls(), _FlushOnChange(limit)
+    processor.init(handle)
+    got, want, held, last, at = [], [], [], None, -(10**15)
+    clock = SimpleNamespace(getCurrentProcessingTimeInMs=lambda: 5)
+    for size in (1, 1, 1, 200, 1, 2, 1, 1, 1, 150, 3):
+        rows = [(at + i, str(at + i), "l", rng.choice("ab") if size > 1 else "a") for i in range(size)]
+        at += size
+        for micros, text, *state in rows:
+            held.append((micros, text))
+            if state != last or len(held) >= limit:
+                want, held, last = want + held, [], state
+        rng.shuffle(rows)
+        frame, handle.n = pd.DataFrame(rows, columns=["at", "document", "lease_id", "phase"]), 0
+        for passed in processor.handleInputRows(("f",), iter([frame[:70], frame[70:]]), clock):
+            got += list(zip(passed["at"].tolist(), passed["document"]))
+        assert handle.n <= 10
+        assert got == want and len(handle.held) == len(held) and len(handle.timers) == bool(held)
+
+
 @pytest.mark.parametrize("grain", ["hour", "day", "week"])
 def test_buckets_agree_between_stream_and_table(spark, tmp_path, grain):
     rows = [(dt.datetime(2026, 7, 26, 23, 30) + dt.timedelta(hours=7 * i), i) for i in range(60)]
