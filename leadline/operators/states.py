@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Mapping, Sequence
-from datetime import timezone
+from datetime import datetime, timezone
 from functools import reduce
 from typing import Optional
 
@@ -26,6 +26,8 @@ STATE_SOURCE = "state_snapshot"
 TABLE_EVENT = "database_snapshot"
 
 
+# Documents that are Python objects at the same time.
+_ROWS_AT_ONCE = 1000
 _CANONICAL = "struct<plain:string,config:string,raw:string>"
 
 
@@ -42,24 +44,33 @@ def canonical_state(text: Column, observed_at: Column, version: Optional[str]) -
     """
 
     def read(texts: pa.Array, times: pa.Array) -> pa.Array:
-        found = []
-        for document, moment in zip(texts.to_pylist(), times.to_pylist()):
-            if document is None or moment is None or error_name(document.encode("utf-8", "surrogatepass")):
-                found.append(None)
-                continue
-            payload = json.loads(document)
-            config = _sorted_text(payload.get("config"))
-            utc = moment.astimezone(timezone.utc) if moment.tzinfo else moment.replace(tzinfo=timezone.utc)
-            added = {
-                "observation_time": utc.isoformat(),
-                "configuration_hash": hashlib.sha256(config.encode()).hexdigest(),
-                "observed_source_git_sha": version,
-            }
-            found.append({"plain": _sorted_text(payload), "config": config, "raw": _sorted_text({**payload, **added})})
-        kind = pa.struct([(name, pa.string()) for name in ("plain", "config", "raw")])
-        return pa.array(found, kind)
-
-    return F.arrow_udf(read, _CANONICAL)(text, observed_at)
+        names = ("plain", "config", "raw")
+        found: dict[str, list[Optional[str]]] = {name: [] for name in names}
+        for at in range(0, len(texts), _ROWS_AT_ONCE):
+            pieces = (part.slice(at, _ROWS_AT_ONCE).to_pylist() for part in (texts, times))
+            for document, moment in zip(*pieces):
+                for name, value in zip(names, written(document, moment)):
+                    found[name].append(value)
+        columns = [pa.array(found[name], pa.string()) for name in names]
+        absent = columns[0].is_null()
+        return pa.StructArray.from_arrays(columns, names, mask=absent)
+
+    def written(document: Optional[str], moment: Optional[datetime]) -> tuple[Optional[str], ...]:
+        if document is None or moment is None or error_name(document.encode("utf-8", "surrogatepass")):
+            return None, None, None
+        payload = json.loads(document)
+        config = _sorted_text(payload.get("config"))
+        utc = moment.astimezone(timezone.utc) if moment.tzinfo else moment.replace(tzinfo=timezone.utc)
+        added = {
+            "observation_time": utc.isoformat(),
+            "configuration_hash": hashlib.sha256(config.encode()).hexdigest(),
+            "observed_source_git_sha": version,
+        }
+        return _sorted_text(payload), config, _sorted_text({**payload, **added})
+
+    # Else a filter on the result is pushed below it and evaluates it again, in a second
+    # Python worker beside the first of each task.
+    return F.arrow_udf(read, _CANONICAL).asNondeterministic()(text, observed_at)
 
 
 def _provenance(sha: Column) -> Column:
