@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import Optional
 
 from pyspark.sql import Column, DataFrame
@@ -42,7 +42,7 @@ def _by_source(specs: Sequence[SourceSpec], value) -> Column:
 def _event_type(spec: SourceSpec) -> Column:
     if spec.type_field is None:
         return F.lit(spec.constant_type)
-    text = json_text(F.col("raw_json"), f"$.{spec.type_field}")
+    text = F.col("_type_text")
     # An empty value counts as none. The texts "0" and "false" are values, the
     # number 0 and the literal false are not; only then is the JSON type looked up.
     kind = F.schema_of_variant(
@@ -69,11 +69,20 @@ def to_envelope(
     """
     text = F.rtrim(F.decode("raw", "utf-8"), F.lit("\r\n"))
     document = F.col("raw_json")
-    return valid.withColumn("raw_json", text).select(
+
+    def field(name: Callable[[SourceSpec], Optional[str]]) -> Column:
+        return _by_source(
+            specs, lambda s: json_text(document, f"$.{name(s)}") if name(s) else F.lit(None).cast("string")
+        )
+
+    # What decides about these texts names them several times; as columns of their own they
+    # are read from the document once.
+    read = valid.withColumn("raw_json", text).withColumns(
+        {"_time_text": field(lambda s: s.ts_field), "_type_text": field(lambda s: s.type_field)}
+    )
+    return read.select(
         "event_id",
-        parse_iso(_by_source(specs, lambda s: json_text(document, f"$.{s.ts_field}"))).alias(
-            "event_time"
-        ),
+        parse_iso(F.col("_time_text")).alias("event_time"),
         ingested_at.alias("ingested_at"),
         "source",
         "source_file",

@@ -293,3 +293,15 @@ def test_attribution_by_time(spark):
 
 def test_source_names_are_the_allowed_ones():
     assert [s.name for s in EVENT_SOURCES] == ["agent_actions", "farm_supervisor", "navigation"]
+
+
+def test_fields_are_read_from_a_document_once(spark):
+    lines = spark.createDataFrame(
+        [("log", "f", 1, b'{"at":"2026-07-30","kind":"0"}\n', "id", "print"), ("log", "f", 2, b'{"at":"2026-07-30T01:00:00+02:00","kind":0}', "id", "print")],
+        "source string, source_file string, source_line_number long, raw binary, event_id string, source_fingerprint_sha256 string",
+    )
+    found = to_envelope(lines, (SourceSpec("log", "*", "at", "kind"),), "s", F.lit(None).cast("timestamp"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("$.at") == 1
+    rows = found.select("event_type", F.unix_seconds("event_time").alias("at")).collect()
+    assert sorted(tuple(r) for r in rows) == [("0", 1785369600), ("unknown", 1785366000)]
