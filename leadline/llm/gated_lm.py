@@ -3,9 +3,12 @@
 Words are counted over all training documents (blocks send their distinct words to buckets,
 which answer the counts). Every token belongs to a class: the end of a document, each of the
 TOP most frequent words, and the other words by their last byte. A gated recurrent network
-in numpy predicts the class of the next token; within a class a word has probability
-(c + 1) over the sum of its class, with one further share for words not seen in training.
-The recurrent state is carried from the first token of a document to its end.
+in numpy predicts the class of the next token, and then the slot inside the class: up to WORDS
+next most frequent words have slots of their own in the class of their ending, predicted from
+the state and read by the network as the word before. All other words of an ending share its
+last slot: one has probability (c + 1) over the sum of theirs, with one further share for words
+not seen in training. The recurrent state is carried from the first token of a document to its
+end.
 
 The network is trained by backpropagation through windows of WINDOW tokens, state carried
 across windows, on all training documents. Tasks of TASK_TOKENS tokens train copies of the
@@ -14,8 +17,8 @@ on with other documents. Rounds and copies of a round both grow with the square
 so a larger corpus gives more steps as well as more copies. A corpus too small for LEAST_STEPS
 steps is passed over more than once.
 
-Words are cut twice: to count them, and to turn documents into sequences of classes, which are
-stored. Training and scoring read those, one byte a word.
+Words are cut twice: to count them, and to turn documents into sequences of slots, which are
+stored. Training and scoring read those, two bytes a word.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import Optional
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +47,10 @@ WINDOW = 32
 TASK_TOKENS = 2_000_000
 LEAST_STEPS = 300
 RATE = 0.02
+WORDS = 768
+_AT_ONCE = 1 << 15  # states that are held for the shares of slots
+FEWEST = 8  # occurrences in training that a word needs for a slot
+SLOT_BYTES = 2
 READ = "id long, train boolean, tokens binary, n_known long, base_score double, in_class double"
 
 # Rows of a bucket's answer that are for no block: its most frequent words, its class sums.
@@ -51,18 +59,27 @@ TOP_ROW, SUM_ROW = -1, -2
 
 @dataclass
 class Net:
-    """Weights of the network; ``flat`` holds them end to end."""
+    """Weights of the network; ``flat`` holds them end to end.
+
+    With ``lexicon`` the weights of its slots follow: for each, what it adds to the gates as
+    the word before, and what the state adds to its share of its class.
+    """
 
     flat: np.ndarray
+    lexicon: Optional[Lexicon] = None
 
     SHAPES = ((CLASSES, 3 * UNITS), (UNITS, 3 * UNITS), (UNITS, CLASSES), (CLASSES,))
 
     @classmethod
-    def fresh(cls, share_of_class: np.ndarray) -> Net:
-        """Small weights from a fixed seed; the output starts at the shares of classes."""
+    def fresh(cls, share_of_class: np.ndarray, lexicon: Optional[Lexicon] = None) -> Net:
+        """Small weights from a fixed seed; the output starts at the shares of classes.
+
+        Weights of slots start at nothing: each has its share of its class in any state.
+        """
         rng = np.random.default_rng(7)
         parts = [rng.normal(0, 0.1, shape).astype(np.float32).ravel() for shape in cls.SHAPES[:3]]
-        return cls(np.concatenate([*parts, np.log(share_of_class).astype(np.float32)]))
+        slots = [] if lexicon is None else [np.zeros(len(lexicon.shares) * (4 * UNITS), np.float32)]
+        return cls(np.concatenate([*parts, np.log(share_of_class).astype(np.float32), *slots]), lexicon)
 
     def parts(self, flat: np.ndarray | None = None) -> list[np.ndarray]:
         flat = self.flat if flat is None else flat
@@ -74,6 +91,83 @@ class Net:
         return found
 
 
+    def slot_parts(self, flat: Optional[np.ndarray] = None) -> tuple[np.ndarray, np.ndarray]:
+        flat = self.flat if flat is None else flat
+        rest = flat[sum(int(np.prod(shape)) for shape in self.SHAPES) :].reshape(len(self.lexicon.shares), 4 * UNITS)
+        return rest[:, : 3 * UNITS], rest[:, 3 * UNITS :]
+
+    def entering(self) -> np.ndarray:
+        """What the token before adds to the gates, by slot or, without a lexicon, by class."""
+        enter = self.parts()[0]
+        return enter if self.lexicon is None else enter[self.lexicon.kinds] + self.slot_parts()[0]
+
+
+@dataclass
+class Lexicon:
+    """Slots: tokens that the network tells apart, in the order of their classes.
+
+    The end and each of the TOP words is a class of one slot. A class of an ending has one for
+    each of its words among the WORDS next most frequent, and a last one for all its others,
+    which share it by their counts.
+    """
+
+    names: np.ndarray  # of the words that have a slot of their own inside an ending, sorted
+    places: np.ndarray  # their slots
+    kinds: np.ndarray  # class of each slot
+    first: np.ndarray  # first slot of each class, and the number of slots
+    shares: np.ndarray  # logarithm of each slot's share of its class, from counts
+    others: np.ndarray  # of each class: sum of c + 1 of words without a slot, and 1 for unseen ones
+
+    def slots(self, names: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        found = self.first[kind + 1] - 1
+        if len(self.names):
+            at = np.minimum(np.searchsorted(self.names, names), len(self.names) - 1)
+            found = np.where(self.names[at] == names, self.places[at], found)
+        return found
+
+
+def lexicon_of(names: np.ndarray, counts: np.ndarray, kind: np.ndarray, sums: np.ndarray) -> Lexicon:
+    """Slots of these words, given their classes, and the sums of c + 1 of all classes."""
+    order = np.lexsort((names, kind))
+    names, counts, kind = names[order], counts[order] + 1.0, kind[order]
+    own = np.bincount(kind, minlength=CLASSES)
+    first = np.concatenate([[0], np.cumsum(own + 1)])
+    places = np.arange(len(names)) + kind
+    others = sums - np.bincount(kind, weights=counts, minlength=CLASSES)
+    shares = np.empty(first[-1])
+    shares[places] = np.log(counts / sums[kind])
+    shares[first[1:] - 1] = np.log(others / sums)
+    by_name = np.argsort(names)
+    return Lexicon(names[by_name], places[by_name], np.repeat(np.arange(CLASSES), own + 1), first, shares.astype(np.float32), others)
+
+
+def _groups(lexicon: Lexicon, slots: np.ndarray) -> Iterator[tuple[np.ndarray, int, int]]:
+    """Places of the slots of each class that has several, with the first slot and the end."""
+    kinds = lexicon.kinds[slots].astype(np.uint8)
+    order = np.argsort(kinds, kind="stable")
+    edge = np.searchsorted(kinds[order], np.arange(CLASSES + 1))
+    for kind in np.flatnonzero((np.diff(lexicon.first) > 1) & (np.diff(edge) > 0)):
+        yield order[edge[kind] : edge[kind + 1]], int(lexicon.first[kind]), int(lexicon.first[kind + 1])
+
+
+def _slot_shares(net: Net, states: np.ndarray, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """What the states give the slots of one class: exponentials and their sums."""
+    out = states @ net.slot_parts()[1][begin:end].T
+    out += net.lexicon.shares[begin:end]
+    out -= out.max(axis=1, keepdims=True)
+    np.exp(out, out=out)
+    return out, out.sum(axis=1)
+
+
+def slot_likelihood(net: Net, states: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """Natural logarithm of the share of each slot in its class, given the states before."""
+    found = np.zeros(len(slots))
+    for places, begin, end in _groups(net.lexicon, slots):
+        out, sums = _slot_shares(net, states[places], begin, end)
+        found[places] = np.log(out[np.arange(len(places)), slots[places] - begin]) - np.log(sums)
+    return found
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
@@ -82,8 +176,10 @@ def log_likelihood(net: Net, tokens: np.ndarray, bounds: np.ndarray) -> np.ndarr
     """Natural logarithm of the probability of each text's classes.
 
     Texts advance together, the longest first; a step covers those that have tokens left.
+    With a lexicon the tokens are slots, and the probability is that of slots.
     """
-    enter, back, leave, bias = net.parts()
+    _, back, leave, bias = net.parts()
+    enter, lexicon = net.entering(), net.lexicon
     sizes = np.diff(bounds)
     order = np.argsort(-sizes, kind="stable")
     start, left = bounds[:-1][order], sizes[order]
@@ -93,6 +189,8 @@ def log_likelihood(net: Net, tokens: np.ndarray, bounds: np.ndarray) -> np.ndarr
     total = np.zeros(len(left))
     two = 2 * UNITS
     rows = np.arange(len(left))
+    held: list[tuple[np.ndarray, np.ndarray]] = []  # states and slots whose shares are not added yet
+    waiting = 0
     for t in range(steps):
         a = alive[t]
         now = tokens[start[:a] + t]
@@ -105,7 +203,16 @@ def log_likelihood(net: Net, tokens: np.ndarray, bounds: np.ndarray) -> np.ndarr
         h = new + keep * (h - new)
         state[:a] = h
         out = h @ leave + bias
-        total[:a] += out[rows[:a], now] - np.log(np.exp(out).sum(axis=1))
+        kinds = now if lexicon is None else lexicon.kinds[now]
+        total[:a] += out[rows[:a], kinds] - np.log(np.exp(out).sum(axis=1))
+        if lexicon is not None:
+            held.append((h, now))
+            waiting += a
+            if waiting >= _AT_ONCE or t == steps - 1:
+                found = slot_likelihood(net, *(np.concatenate(part) for part in zip(*held)))
+                owner = np.concatenate([rows[: len(part)] for _, part in held])
+                total += np.bincount(owner, weights=found, minlength=len(total))
+                held, waiting = [], 0
     result = np.empty(len(left))
     result[order] = total
     return result
@@ -124,7 +231,7 @@ def _lanes(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
         length[lane] += len(texts[place])
     filled = [[texts[i] for i in np.flatnonzero(owner == lane)] for lane in range(LANES)]
     width = int(length.max()) if len(texts) else 0
-    tokens = np.zeros((LANES, width), np.uint8)
+    tokens = np.zeros((LANES, width), texts[0].dtype if texts else np.uint8)
     begins = np.zeros((LANES, width), bool)
     there = np.zeros((LANES, width), np.float32)
     for lane, own in enumerate(filled):
@@ -152,8 +259,9 @@ def train_copy(net: Net, texts: list[np.ndarray], passes: int = 1) -> Net:
     Arrays are laid out (step, unit or class, lane), so that gates are contiguous slices and
     what needs no order of steps is done once for a window.
     """
-    net = Net(net.flat.copy())
-    enter, back, leave, bias = net.parts()
+    net = Net(net.flat.copy(), net.lexicon)
+    _, back, leave, bias = net.parts()
+    lexicon = net.lexicon
     tokens, begins, there = _lanes(texts)
     state = np.zeros((UNITS, LANES), np.float32)
     slope, scale = np.zeros_like(net.flat), np.zeros_like(net.flat)
@@ -162,12 +270,12 @@ def train_copy(net: Net, texts: list[np.ndarray], passes: int = 1) -> Net:
         now = tokens[:, at : at + WINDOW].T
         begin = begins[:, at : at + WINDOW].T
         mask = there[:, at : at + WINDOW].T
-        came = np.concatenate([tokens[:, at - 1 : at].T if at else np.zeros((1, LANES), np.uint8), now[:-1]])
+        came = np.concatenate([tokens[:, at - 1 : at].T if at else np.zeros((1, LANES), tokens.dtype), now[:-1]])
         came = np.where(begin, 0, came)
         steps = len(now)
         some, stays = begin.any(axis=1), (~begin).astype(np.float32)
         half = np.repeat(np.float32([0.5, 1]), (two, UNITS))  # a gate is 0.5 tanh(x / 2) + 0.5
-        put = np.ascontiguousarray((enter * half)[came].transpose(0, 2, 1))
+        put = np.ascontiguousarray((net.entering() * half)[came].transpose(0, 2, 1))
         to_gates, to_new = np.ascontiguousarray(back[:, :two].T) * np.float32(0.5), np.ascontiguousarray(back[:, two:].T)
         before, mixed, new, states = (np.empty((steps, UNITS, LANES), np.float32) for _ in range(4))
         gates = np.empty((steps, two, LANES), np.float32)
@@ -194,13 +302,15 @@ def train_copy(net: Net, texts: list[np.ndarray], passes: int = 1) -> Net:
         out -= out.max(axis=1, keepdims=True)
         np.exp(out, out=out)
         out /= out.sum(axis=1, keepdims=True)
-        out[np.arange(steps)[:, None], now, rows[None]] -= 1.0
+        out[np.arange(steps)[:, None], now if lexicon is None else lexicon.kinds[now], rows[None]] -= 1.0
         out *= (mask / max(1.0, float(mask.sum())))[:, None]
         flat = np.zeros_like(net.flat)
         d_enter, d_back, d_leave, d_bias = net.parts(flat)
         d_leave += np.matmul(states, out.transpose(0, 2, 1)).sum(axis=0)
         d_bias += out.sum(axis=(0, 2))
         d_states = np.matmul(leave, out)
+        if lexicon is not None:
+            _train_slots(net, flat, states, d_states, now, mask / max(1.0, float(mask.sum())))
         keep, reset = gates[:, :UNITS], gates[:, UNITS:]
         of_new = (1 - keep) * (1 - new * new)
         of_keep, of_reset = (before - new) * keep * (1 - keep), before * reset * (1 - reset)
@@ -226,14 +336,36 @@ def train_copy(net: Net, texts: list[np.ndarray], passes: int = 1) -> Net:
         d_back[:, two:] += np.matmul(mixed, turned[:, :, two:]).sum(axis=0)
         classes = came.ravel()
         order = np.argsort(classes, kind="stable")
-        first = np.flatnonzero(np.diff(classes[order].astype(np.int16), prepend=-1))
-        d_enter[classes[order[first]]] = np.add.reduceat(turned.reshape(-1, 3 * UNITS)[order], first, axis=0)
+        first = np.flatnonzero(np.diff(classes[order].astype(np.int32), prepend=-1))
+        added = np.add.reduceat(turned.reshape(-1, 3 * UNITS)[order], first, axis=0)
+        if lexicon is None:
+            d_enter[classes[order[first]]] = added
+        else:
+            met = classes[order[first]]
+            net.slot_parts(flat)[0][met] = added
+            np.add.at(d_enter, lexicon.kinds[met], added)
         slope = 0.9 * slope + 0.1 * flat
         scale = 0.99 * scale + 0.01 * flat * flat
         net.flat -= RATE * (slope / (1 - 0.9**number)) / (np.sqrt(scale / (1 - 0.99**number)) + 1e-6)
     return net
 
 
+def _train_slots(net: Net, flat: np.ndarray, states: np.ndarray, d_states: np.ndarray, now: np.ndarray, weight: np.ndarray) -> None:
+    """Adds the slopes of slots in their classes to ``flat`` and to those of the states."""
+    leaves, d_leaves = net.slot_parts()[1], net.slot_parts(flat)[1]
+    slots, weights = now.ravel(), weight.ravel()
+    rows = states.transpose(0, 2, 1).reshape(-1, UNITS)
+    d_rows = np.zeros_like(rows)
+    for places, begin, end in _groups(net.lexicon, slots):
+        out, sums = _slot_shares(net, rows[places], begin, end)
+        out /= sums[:, None]
+        out[np.arange(len(places)), slots[places] - begin] -= 1.0
+        out *= weights[places][:, None]
+        d_leaves[begin:end] += out.T @ rows[places]
+        d_rows[places] = out @ leaves[begin:end]
+    d_states += d_rows.reshape(len(states), LANES, UNITS).transpose(0, 2, 1)
+
+
 @dataclass
 class Counts:
     """What the corpus says: training tokens, distinct ones, ends, classes."""
@@ -242,8 +374,8 @@ class Counts:
     distinct: int
     ends: int
     top: np.ndarray  # names of the most frequent words, in the order of their classes
-    sums: np.ndarray  # of each class: sum of c + 1, and 1 for unseen words where they fall
     shares: np.ndarray  # of each class among training tokens
+    lexicon: Lexicon
 
 
 def _texts(docs: pa.Table) -> tuple[np.ndarray, np.ndarray, object]:
@@ -279,7 +411,7 @@ class Scoring:
         total = np.bincount(where, weights=counts, minlength=len(known)).astype(np.int64)
         answers = B.pack("block", bucket, block, [total[where], *[np.zeros(len(block), np.uint8)] * 2])
         kind = ending[first]
-        top = np.lexsort((known.view(np.int64), -total))[:TOP]  # as Spark orders them
+        top = np.lexsort((known.view(np.int64), -total))[: TOP + WORDS]  # as Spark orders them
         most = B.pack("block", bucket, np.full(len(top), TOP_ROW), [known[top], total[top], kind[top]])
         seen = total > 0
         sums = np.bincount(kind, weights=total, minlength=ENDINGS).astype(np.int64)
@@ -288,7 +420,7 @@ class Scoring:
         return pa.concat_tables([answers, most, added])
 
     def read(self, docs: pa.Table, told: pa.Table, counts: Counts) -> pa.Table:
-        """Classes of each document's tokens, and what does not depend on the network."""
+        """Slots of each document's tokens, and what does not depend on the network."""
         if not docs.num_rows:
             return pa.table({name: pa.array([], kind) for name, kind in _READ_TYPES})
         ids, train, words = _texts(docs)
@@ -300,16 +432,19 @@ class Scoring:
         seen[entries] = np.concatenate([np.zeros(0, np.int64), *parts])
         kind = class_of(names, ending, counts.top)
         bounds = words.bounds
-        tokens = kind.astype(np.uint8)[where]
         log_word = np.log10(seen + 1.0)
-        in_class = log_word - np.log10(counts.sums[kind])
+        slots = counts.lexicon.slots(names, kind)
+        # A word without a slot of its own has its share of its class's last one.
+        last = slots == counts.lexicon.first[kind + 1] - 1
+        in_class = np.where(last, log_word - np.log10(counts.lexicon.others[kind]), 0.0)
+        tokens = slots.astype(np.uint16)[where]
         base = _by_text(log_word[where], bounds) + np.log10(counts.ends + 1.0)
         base -= (np.diff(bounds) + 1) * np.log10(counts.tokens + counts.distinct + 1.0)
         known = _by_text((seen > 0)[where].astype(np.float64), bounds) + (counts.ends > 0)
         columns = [
             B.id_column(ids),
             pa.array(train),
-            pa.array([tokens[a:b].tobytes() + b"\0" for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary()),
+            pa.array([tokens[a:b].tobytes() + b"\0\0" for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary()),
             pa.array(known.astype(np.int64)),
             pa.array(base),
             pa.array(_by_text(in_class[where], bounds)),
@@ -344,7 +479,7 @@ def class_of(names: np.ndarray, ending: np.ndarray, top: np.ndarray) -> np.ndarr
 
 
 def gather(answers: DataFrame, ends: int) -> Counts:
-    """Totals over all buckets; the driver gets TOP words and ENDINGS sums."""
+    """Totals over all buckets; the driver gets TOP and WORDS words and ENDINGS sums."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -363,12 +498,13 @@ def gather(answers: DataFrame, ends: int) -> Counts:
                 )
 
     found = answers.where(F.col("block") < 0).mapInArrow(rows, "kind int, key long, n long, other long")
-    top = found.where((F.col("kind") == TOP_ROW) & (F.col("n") > 0)).orderBy(F.desc("n"), "key").limit(TOP).collect()
+    top = found.where((F.col("kind") == TOP_ROW) & (F.col("n") > 0)).orderBy(F.desc("n"), "key").limit(TOP + WORDS).collect()
     added = found.where(F.col("kind") == SUM_ROW).groupBy("key").agg(F.sum("n").alias("n"), F.sum("other").alias("types"))
     number, types = np.zeros(ENDINGS, np.int64), np.zeros(ENDINGS, np.int64)
     for row in added.collect():
         number[row.key], types[row.key] = row.n, row.types
     tokens, distinct = int(number.sum()) + ends, int(types.sum()) + (ends > 0)
+    top, told_apart = top[:TOP], [row for row in top[TOP:] if row.n >= FEWEST]
     names = np.array([row.key for row in top], np.int64).view(np.uint64)
     of_class, sums = np.zeros(CLASSES), np.ones(CLASSES)
     of_class[0], sums[0] = ends, ends + 1
@@ -378,7 +514,13 @@ def gather(answers: DataFrame, ends: int) -> Counts:
         of_class[1 + place], sums[1 + place] = row.n, row.n + 1
     of_class[1 + TOP :] = number
     sums[1 + TOP :] = number + types + 1
-    return Counts(tokens, distinct, ends, names, sums, (of_class + 1) / (of_class + 1).sum())
+    lexicon = lexicon_of(
+        np.array([row.key for row in told_apart], np.int64).view(np.uint64),
+        np.array([row.n for row in told_apart], np.float64),
+        np.array([1 + TOP + row.other for row in told_apart], np.int64),
+        sums,
+    )
+    return Counts(tokens, distinct, ends, names, (of_class + 1) / (of_class + 1).sum(), lexicon)
 
 
 def train(sequences: DataFrame, counts: Counts) -> Net:
@@ -386,8 +528,8 @@ def train(sequences: DataFrame, counts: Counts) -> Net:
 
     Sequences are dealt out one by one, so no id or repeated text fills a task.
     """
-    net = Net.fresh(counts.shares)
-    size = sequences.agg(F.sum(F.octet_length("tokens"))).first()[0] or 0
+    net = Net.fresh(counts.shares, counts.lexicon)
+    size = (sequences.agg(F.sum(F.octet_length("tokens"))).first()[0] or 0) // SLOT_BYTES
     if not size:
         return net
     tasks = size // TASK_TOKENS + 1
@@ -408,8 +550,8 @@ def train(sequences: DataFrame, counts: Counts) -> Net:
                 for task, blob in zip(batch.column("task").to_pylist(), batch.column("tokens").to_pylist(), strict=True):
                     held.setdefault(task, []).append(blob)
             for task in sorted(held):
-                texts = [np.frombuffer(blob, np.uint8) for blob in sorted(held[task])]
-                trained = train_copy(Net(flat), even_pieces(texts), passes).flat
+                texts = [np.frombuffer(blob, np.uint16) for blob in sorted(held[task])]
+                trained = train_copy(Net(flat, counts.lexicon), even_pieces(texts), passes).flat
                 weight = float(sum(map(len, texts)))
                 yield pa.record_batch(
                     {
@@ -431,7 +573,7 @@ def train(sequences: DataFrame, counts: Counts) -> Net:
         flat = np.zeros_like(net.flat)
         for row in listed.select("place", (added("value") / added("weight")).alias("value")).collect():
             flat[row.place] = row.value
-        net = Net(flat)
+        net = Net(flat, counts.lexicon)
     delete_folder(spark, folder)
     return net
 
@@ -470,15 +612,17 @@ def score_documents(
         .checkpoint()
     )
     net = train(sequences.where("train"), counts)
+    if net.lexicon is None:  # slots keep their shares of the counts
+        net = Net(np.append(net.flat, np.zeros(len(counts.lexicon.shares) * 4 * UNITS, np.float32)), counts.lexicon)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             blobs = batch.column("tokens").to_pylist()
-            tokens = np.frombuffer(b"".join(blobs), np.uint8)
-            classes = log_likelihood(net, tokens, edges([len(blob) for blob in blobs])) / np.log(10.0)
-            total = pa.array(batch.column("in_class").to_numpy() + classes)
+            tokens, sizes = np.frombuffer(b"".join(blobs), np.uint16), [len(blob) // SLOT_BYTES for blob in blobs]
+            slots = log_likelihood(net, tokens, edges(sizes)) / np.log(10.0)
+            total = pa.array(batch.column("in_class").to_numpy() + slots)
             kept = {name: batch.column(name) for name in ("id", "n_known", "base_score")}
-            yield pa.record_batch({**kept, "n_tokens": pa.array(map(len, blobs), pa.int64()), "score": total})
+            yield pa.record_batch({**kept, "n_tokens": pa.array(sizes, pa.int64()), "score": total})
 
     found = sequences.select("id", "n_known", "base_score", "tokens", "in_class").mapInArrow(
         score, "id long, n_known long, base_score double, n_tokens long, score double"

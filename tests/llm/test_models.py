@@ -249,3 +249,68 @@ def test_language_model_of_nothing(spark):
     frame = spark.createDataFrame([(1, "a b", None, "", "", "")], SCHEMA)
     row = gated_lm.score_documents(frame, F.lit(False)).first()
     assert (row.n_tokens, row.n_known, row.train_tokens, row.base_score) == (3, 0, 0, 0.0)
+
+
+def _small_lexicon():
+    kinds = np.array([40, 31, 31, 31])
+    sums = np.full(gated_lm.CLASSES, 100.0)
+    return gated_lm.lexicon_of(np.array([9, 5, 7, 3], np.uint64), np.array([10, 20, 30, 19]), kinds, sums)
+
+
+def test_slots_against_plain_arithmetic():
+    """Class, then slot, token by token; slots of a class sum to one in any state."""
+    rng, lexicon = np.random.default_rng(4), _small_lexicon()
+    size = len(gated_lm.Net.fresh(np.full(gated_lm.CLASSES, 1 / gated_lm.CLASSES), lexicon).flat)
+    net = gated_lm.Net(rng.normal(0, 0.5, size).astype(np.float32), lexicon)
+    texts = [rng.integers(0, len(lexicon.kinds), n).astype(np.uint16) for n in (6, 0, 40, 1)]
+    got = gated_lm.log_likelihood(net, np.concatenate(texts), np.cumsum([0, *map(len, texts)]))
+    _, back, leave, bias = (part.astype(float) for part in net.parts())
+    units, leaves = gated_lm.UNITS, net.slot_parts()[1].astype(float)
+    for found, text in zip(got, texts):
+        state, came, want = np.zeros(units), 0, 0.0
+        for now in text:
+            put = net.parts()[0][lexicon.kinds[came]] + net.slot_parts()[0][came]
+            keep, reset = (1 / (1 + np.exp(-(put[a : a + units] + state @ back[:, a : a + units]))) for a in (0, units))
+            new = np.tanh(put[2 * units :] + (reset * state) @ back[:, 2 * units :])
+            state, kind, came = keep * state + (1 - keep) * new, lexicon.kinds[now], now
+            out, inside = state @ leave + bias, leaves @ state + lexicon.shares
+            own = lexicon.kinds == kind
+            want += out[kind] - np.log(np.exp(out).sum()) + inside[now] - np.log(np.exp(inside[own]).sum())
+        assert abs(found - want) < 1e-4 * max(1, abs(want))
+
+
+def test_slopes_of_slots_are_those_of_the_likelihood():
+    rng, lexicon = np.random.default_rng(5), _small_lexicon()
+    size = len(gated_lm.Net.fresh(np.full(gated_lm.CLASSES, 1 / gated_lm.CLASSES), lexicon).flat)
+    net, lanes = gated_lm.Net(rng.normal(0, 0.5, size).astype(np.float32), lexicon), gated_lm.LANES
+    states = rng.normal(0, 1, (3, gated_lm.UNITS, lanes)).astype(np.float32)
+    now = rng.integers(0, len(lexicon.kinds), (3, lanes))
+    flat, d_states = np.zeros_like(net.flat), np.zeros_like(states)
+    gated_lm._train_slots(net, flat, states, d_states, now, np.ones((3, lanes), np.float32))
+
+    def loss(change=0.0, moved=0.0):
+        other = gated_lm.Net(net.flat + change, lexicon)
+        rows = (states + moved).transpose(0, 2, 1).reshape(-1, gated_lm.UNITS)
+        return -gated_lm.slot_likelihood(other, rows, now.ravel()).sum()
+
+    step = rng.normal(0, 1e-3, size).astype(np.float32)
+    assert abs(loss(step) - loss(-step) - 2 * flat @ step) < 0.02 * max(0.1, abs(2 * flat @ step))
+    step = rng.normal(0, 1e-3, states.shape).astype(np.float32)
+    assert abs(loss(0, step) - loss(0, -step) - 2 * (d_states * step).sum()) < 0.02 * max(0.1, abs(2 * (d_states * step).sum()))
+
+
+def test_words_of_one_class_are_told_apart_by_what_came_before(spark):
+    """Equal counts and endings; only the word before says which comes next."""
+    rng = random.Random(6)
+    fill = [f"f{i}z" for i in range(gated_lm.TOP)]
+    pairs = [("alma", "ropa"), ("olda", "tima")]
+    rows = []
+    for i in range(600):
+        words = []
+        for _ in range(12):
+            words += [*rng.choice(pairs), *rng.choices(fill, k=3)]
+        rows.append((i, " ".join(words), None, "d", "i", "t"))
+    rows += [(602, "alma ropa olda tima", None, "d", "i", "t"), (609, "alma tima olda ropa", None, "d", "i", "t")]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    got = {r.doc_id: r for r in gated_lm.score_documents(frame, F.col("doc_id") < 600).where("doc_id >= 600").collect()}
+    assert got[602].base_score == got[609].base_score and got[602].score > got[609].score + 0.5
