@@ -48,7 +48,12 @@ TASK_TOKENS = 2_000_000
 LEAST_STEPS = 300
 RATE = 0.02
 WORDS = 768
-_AT_ONCE = 1 << 15  # states that are held for the shares of slots
+_AT_ONCE = 1 << 14  # states that are held for the shares of classes and slots
+_LOOKED_UP = 1 << 12  # states whose classes are looked up together, so that they stay in the cache
+_TOGETHER = 1 << 10  # texts that advance together, for the same reason
+_SCORED_BYTES = 4 << 20  # sequences that are scored together, at most one batch more
+_LARGE = 60.0  # exponentials of less, and their sums, stay finite
+_TURNED = np.float32([-1, -1, 1])  # gates are computed from their sums with the sign turned
 FEWEST = 8  # occurrences in training that a word needs for a slot
 SLOT_BYTES = 2
 READ = "id long, train boolean, tokens binary, n_known long, base_score double, in_class double"
@@ -150,26 +155,53 @@ def _groups(lexicon: Lexicon, slots: np.ndarray) -> Iterator[tuple[np.ndarray, i
         yield order[edge[kind] : edge[kind + 1]], int(lexicon.first[kind]), int(lexicon.first[kind + 1])
 
 
-def _slot_shares(net: Net, states: np.ndarray, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """What the states give the slots of one class: exponentials and their sums."""
-    out = states @ net.slot_parts()[1][begin:end].T
-    out += net.lexicon.shares[begin:end]
-    out -= out.max(axis=1, keepdims=True)
-    np.exp(out, out=out)
-    return out, out.sum(axis=1)
+def _bounded(weights: np.ndarray, bias: np.ndarray) -> bool:
+    """Whether no exponential can overflow. States lie between -1 and 1, so weights bound the rest."""
+    return bool((np.abs(weights).sum(axis=0) + np.abs(bias)).max() <= _LARGE)
+
+
+def _given(states: np.ndarray, weights: np.ndarray, bias: np.ndarray, bounded: bool) -> np.ndarray:
+    """What the states give each choice; the largest of a row is taken off unless all are bounded."""
+    out = states @ weights
+    out += bias
+    if not bounded:
+        out -= out.max(axis=1, keepdims=True)
+    return out
+
+
+def _likelihood(given: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Natural logarithm of the share of each row's own choice. Overwrites ``given``."""
+    picked = given[np.arange(len(own)), own]
+    np.exp(given, out=given)
+    return picked - np.log(given @ np.ones(given.shape[1], np.float32))
+
+
+def _slopes(given: np.ndarray, own: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Shares less one for each row's own choice, times the weight of the row. Overwrites ``given``."""
+    np.exp(given, out=given)
+    given *= (weight / (given @ np.ones(given.shape[1], np.float32)))[:, None]
+    given[np.arange(len(own)), own] -= weight
+    return given
 
 
 def slot_likelihood(net: Net, states: np.ndarray, slots: np.ndarray) -> np.ndarray:
     """Natural logarithm of the share of each slot in its class, given the states before."""
-    found = np.zeros(len(slots))
+    found, leaves, shares = np.zeros(len(slots)), net.slot_parts()[1].T, net.lexicon.shares
+    bounded = _bounded(leaves, shares)
     for places, begin, end in _groups(net.lexicon, slots):
-        out, sums = _slot_shares(net, states[places], begin, end)
-        found[places] = np.log(out[np.arange(len(places)), slots[places] - begin]) - np.log(sums)
+        given = _given(states[places], leaves[:, begin:end], shares[begin:end], bounded)
+        found[places] = _likelihood(given, slots[places] - begin)
     return found
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+def class_likelihood(net: Net, states: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Natural logarithm of the share of each class, given the states before."""
+    found, (leave, bias) = np.empty(len(kinds)), net.parts()[2:]
+    bounded = _bounded(leave, bias)
+    for at in range(0, len(kinds), _LOOKED_UP):
+        part = slice(at, at + _LOOKED_UP)
+        found[part] = _likelihood(_given(states[part], leave, bias, bounded), kinds[part])
+    return found
 
 
 def log_likelihood(net: Net, tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -178,44 +210,72 @@ def log_likelihood(net: Net, tokens: np.ndarray, bounds: np.ndarray) -> np.ndarr
     Texts advance together, the longest first; a step covers those that have tokens left.
     With a lexicon the tokens are slots, and the probability is that of slots.
     """
-    _, back, leave, bias = net.parts()
-    enter, lexicon = net.entering(), net.lexicon
     sizes = np.diff(bounds)
     order = np.argsort(-sizes, kind="stable")
-    start, left = bounds[:-1][order], sizes[order]
-    steps = int(left[0]) if len(left) else 0
+    result = np.empty(len(sizes))
+    for at in range(0, len(order), _TOGETHER):
+        own = order[at : at + _TOGETHER]
+        result[own] = _advance(net, tokens, bounds[:-1][own], sizes[own])
+    return result
+
+
+def _advance(net: Net, tokens: np.ndarray, start: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Logarithms of the probabilities of texts that begin at ``start``, the longest first.
+
+    Arrays are laid out (token, unit), tokens of a step side by side. The steps only move the
+    states; classes and slots are looked up for many steps at once.
+    """
+    back, enter, lexicon = net.parts()[1], net.entering(), net.lexicon
+    third = [slice(a, a + UNITS) for a in range(0, 3 * UNITS, UNITS)]
+    table = [np.ascontiguousarray(enter[:, part]) * by for part, by in zip(third, _TURNED, strict=True)]
+    turn = [np.ascontiguousarray(back[:, part]) * by for part, by in zip(third, _TURNED, strict=True)]
+    steps = int(left[0])
     alive = np.searchsorted(-left, -np.arange(steps), "left")
+    ends = np.cumsum(alive)
     state = np.zeros((len(left), UNITS), np.float32)
     total = np.zeros(len(left))
-    two = 2 * UNITS
-    rows = np.arange(len(left))
-    held: list[tuple[np.ndarray, np.ndarray]] = []  # states and slots whose shares are not added yet
-    waiting = 0
-    for t in range(steps):
-        a = alive[t]
-        now = tokens[start[:a] + t]
-        came = tokens[start[:a] + (t - 1)] if t else np.zeros(a, tokens.dtype)
-        h = state[:a]
-        put = enter[came]
-        gates = _sigmoid(put[:, :two] + h @ back[:, :two])
-        keep, reset = gates[:, :UNITS], gates[:, UNITS:]
-        new = np.tanh(put[:, two:] + (reset * h) @ back[:, two:])
-        h = new + keep * (h - new)
-        state[:a] = h
-        out = h @ leave + bias
-        kinds = now if lexicon is None else lexicon.kinds[now]
-        total[:a] += out[rows[:a], kinds] - np.log(np.exp(out).sum(axis=1))
+    first = 0
+    while first < steps:
+        done = ends[first] - alive[first]
+        last = max(first + 1, int(np.searchsorted(ends, done + _AT_ONCE, "right")))
+        step = np.repeat(np.arange(first, last), alive[first:last])
+        edge = np.append(ends[first:last] - alive[first:last], ends[last - 1]) - done
+        row = np.arange(edge[-1]) - edge[step - first]
+        place = start[row] + step
+        now = tokens[place]
+        came = tokens[place - (step > 0)]
+        came[step == 0] = 0
+        puts = [part.take(came, axis=0) for part in table]
+        states = np.empty((len(now), UNITS), np.float32)
+        with np.errstate(over="ignore"):
+            for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+                h, new = state[: b - a], states[a:b]
+                keep, reset = (_opened(h @ turn[i], puts[i][a:b]) for i in (0, 1))
+                reset *= h
+                np.matmul(reset, turn[2], out=new)
+                new += puts[2][a:b]
+                np.tanh(new, out=new)
+                h = h - new
+                h *= keep
+                new += h
+                state = new
+        found = class_likelihood(net, states, now if lexicon is None else lexicon.kinds[now])
         if lexicon is not None:
-            held.append((h, now))
-            waiting += a
-            if waiting >= _AT_ONCE or t == steps - 1:
-                found = slot_likelihood(net, *(np.concatenate(part) for part in zip(*held)))
-                owner = np.concatenate([rows[: len(part)] for _, part in held])
-                total += np.bincount(owner, weights=found, minlength=len(total))
-                held, waiting = [], 0
-    result = np.empty(len(left))
-    result[order] = total
-    return result
+            found += slot_likelihood(net, states, now)
+        total += np.bincount(row, weights=found, minlength=len(total))
+        first = last
+    return total
+
+
+def _opened(x: np.ndarray, put: np.ndarray) -> np.ndarray:
+    """A gate, in place: 1 / (1 + exp(-y)), of a sum that is already -y.
+
+    An exponential takes half the time of numpy's tangent.
+    """
+    x += put
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def _lanes(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -265,7 +325,7 @@ def train_copy(net: Net, texts: list[np.ndarray], passes: int = 1) -> Net:
     tokens, begins, there = _lanes(texts)
     state = np.zeros((UNITS, LANES), np.float32)
     slope, scale = np.zeros_like(net.flat), np.zeros_like(net.flat)
-    two, rows = 2 * UNITS, np.arange(LANES)
+    two, turned = 2 * UNITS, np.repeat(_TURNED, UNITS)
     for number, at in enumerate(list(range(0, tokens.shape[1], WINDOW)) * passes, 1):
         now = tokens[:, at : at + WINDOW].T
         begin = begins[:, at : at + WINDOW].T
@@ -274,94 +334,104 @@ def train_copy(net: Net, texts: list[np.ndarray], passes: int = 1) -> Net:
         came = np.where(begin, 0, came)
         steps = len(now)
         some, stays = begin.any(axis=1), (~begin).astype(np.float32)
-        half = np.repeat(np.float32([0.5, 1]), (two, UNITS))  # a gate is 0.5 tanh(x / 2) + 0.5
-        put = np.ascontiguousarray((net.entering() * half)[came].transpose(0, 2, 1))
-        to_gates, to_new = np.ascontiguousarray(back[:, :two].T) * np.float32(0.5), np.ascontiguousarray(back[:, two:].T)
+        enter = net.entering() * turned
+        put = np.ascontiguousarray(enter.take(came, axis=0).transpose(0, 2, 1))
+        to_gates, to_new = np.split(np.ascontiguousarray((back * turned).T), [two])
         before, mixed, new, states = (np.empty((steps, UNITS, LANES), np.float32) for _ in range(4))
         gates = np.empty((steps, two, LANES), np.float32)
-        for t in range(steps):
-            h, gate = before[t], gates[t]
-            h[:] = state
-            if some[t]:
-                h *= stays[t]
-            np.matmul(to_gates, h, out=gate)
-            gate += put[t, :two]
-            np.tanh(gate, out=gate)
-            gate *= 0.5
-            gate += 0.5
-            np.multiply(gate[UNITS:], h, out=mixed[t])
-            np.matmul(to_new, mixed[t], out=new[t])
-            new[t] += put[t, two:]
-            np.tanh(new[t], out=new[t])
-            state = states[t]
-            np.subtract(h, new[t], out=state)
-            state *= gate[:UNITS]
-            state += new[t]
-        out = np.matmul(np.ascontiguousarray(leave.T), states)
-        out += bias[:, None]
-        out -= out.max(axis=1, keepdims=True)
-        np.exp(out, out=out)
-        out /= out.sum(axis=1, keepdims=True)
-        out[np.arange(steps)[:, None], now if lexicon is None else lexicon.kinds[now], rows[None]] -= 1.0
-        out *= (mask / max(1.0, float(mask.sum())))[:, None]
+        with np.errstate(over="ignore"):
+            for t in range(steps):
+                h, gate = before[t], gates[t]
+                h[:] = state
+                if some[t]:
+                    h *= stays[t]
+                np.matmul(to_gates, h, out=gate)
+                _opened(gate, put[t, :two])
+                np.multiply(gate[UNITS:], h, out=mixed[t])
+                np.matmul(to_new, mixed[t], out=new[t])
+                new[t] += put[t, two:]
+                np.tanh(new[t], out=new[t])
+                state = states[t]
+                np.subtract(h, new[t], out=state)
+                state *= gate[:UNITS]
+                state += new[t]
         flat = np.zeros_like(net.flat)
         d_enter, d_back, d_leave, d_bias = net.parts(flat)
-        d_leave += np.matmul(states, out.transpose(0, 2, 1)).sum(axis=0)
-        d_bias += out.sum(axis=(0, 2))
-        d_states = np.matmul(leave, out)
+        weight = mask / max(1.0, float(mask.sum()))
+        d_states = _train_classes(net, flat, states, now if lexicon is None else lexicon.kinds[now], weight)
         if lexicon is not None:
-            _train_slots(net, flat, states, d_states, now, mask / max(1.0, float(mask.sum())))
-        keep, reset = gates[:, :UNITS], gates[:, UNITS:]
-        of_new = (1 - keep) * (1 - new * new)
-        of_keep, of_reset = (before - new) * keep * (1 - keep), before * reset * (1 - reset)
+            _train_slots(net, flat, states, d_states, now, weight)
         from_gates, from_new = np.ascontiguousarray(back[:, :two]), np.ascontiguousarray(back[:, two:])
         later = np.zeros((UNITS, LANES), np.float32)
         d_put = np.empty((steps, 3 * UNITS, LANES), np.float32)
         for t in range(steps - 1, -1, -1):
-            d, own = d_states[t], d_put[t]
+            d, own, keep, reset = d_states[t], d_put[t], gates[t, :UNITS], gates[t, UNITS:]
             d += later
-            np.multiply(d, of_new[t], out=own[two:])
+            of_new = (1 - keep) * d
+            np.multiply(of_new, 1 - new[t] * new[t], out=own[two:])
             d_mixed = from_new @ own[two:]
-            np.multiply(d, of_keep[t], out=own[:UNITS])
-            np.multiply(d_mixed, of_reset[t], out=own[UNITS:two])
+            np.multiply((before[t] - new[t]) * keep, of_new, out=own[:UNITS])
+            np.multiply((1 - reset) * mixed[t], d_mixed, out=own[UNITS:two])
             np.matmul(from_gates, own[:two], out=later)
-            d *= keep[t]
+            d *= keep
             later += d
-            d_mixed *= reset[t]
+            d_mixed *= reset
             later += d_mixed
             if some[t]:
                 later *= stays[t]
-        turned = d_put.transpose(0, 2, 1)
-        d_back[:, :two] += np.matmul(before, turned[:, :, :two]).sum(axis=0)
-        d_back[:, two:] += np.matmul(mixed, turned[:, :, two:]).sum(axis=0)
-        classes = came.ravel()
-        order = np.argsort(classes, kind="stable")
-        first = np.flatnonzero(np.diff(classes[order].astype(np.int32), prepend=-1))
-        added = np.add.reduceat(turned.reshape(-1, 3 * UNITS)[order], first, axis=0)
+        d_back[:, :two] += np.matmul(d_put[:, :two], before.transpose(0, 2, 1)).sum(axis=0).T
+        d_back[:, two:] += np.matmul(d_put[:, two:], mixed.transpose(0, 2, 1)).sum(axis=0).T
+        met = came.ravel().astype(np.int64)
+        added = np.zeros((3 * UNITS, len(enter)), np.float32)
+        for unit in range(3 * UNITS):
+            np.add.at(added[unit], met, d_put[:, unit].ravel())
         if lexicon is None:
-            d_enter[classes[order[first]]] = added
+            d_enter += added.T
         else:
-            met = classes[order[first]]
-            net.slot_parts(flat)[0][met] = added
-            np.add.at(d_enter, lexicon.kinds[met], added)
-        slope = 0.9 * slope + 0.1 * flat
-        scale = 0.99 * scale + 0.01 * flat * flat
-        net.flat -= RATE * (slope / (1 - 0.9**number)) / (np.sqrt(scale / (1 - 0.99**number)) + 1e-6)
+            net.slot_parts(flat)[0][:] = added.T
+            d_enter += np.add.reduceat(added, lexicon.first[:-1], axis=1).T
+        slope *= 0.9
+        slope += np.float32(0.1) * flat
+        scale *= 0.99
+        flat *= flat
+        flat *= 0.01
+        scale += flat
+        step = np.sqrt(scale / np.float32(1 - 0.99**number))
+        step += 1e-6
+        np.divide(slope, step, out=step)
+        step *= RATE / (1 - 0.9**number)
+        net.flat -= step
     return net
 
 
+def _train_classes(net: Net, flat: np.ndarray, states: np.ndarray, now: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Adds the slopes of classes to ``flat``; returns those of the states."""
+    (leave, bias), (d_leave, d_bias) = net.parts()[2:], net.parts(flat)[2:]
+    bounded = _bounded(leave, bias)
+    kinds, weights = now.ravel(), weight.ravel()
+    rows = states.transpose(0, 2, 1).reshape(-1, UNITS)
+    d_rows = np.empty_like(rows)
+    for at in range(0, len(rows), _LOOKED_UP):
+        part = slice(at, at + _LOOKED_UP)
+        out = _slopes(_given(rows[part], leave, bias, bounded), kinds[part], weights[part])
+        d_leave += (out.T @ rows[part]).T
+        d_bias += np.ones(len(out), np.float32) @ out
+        np.matmul(out, leave.T, out=d_rows[part])
+    return np.ascontiguousarray(d_rows.reshape(len(states), LANES, UNITS).transpose(0, 2, 1))
+
+
 def _train_slots(net: Net, flat: np.ndarray, states: np.ndarray, d_states: np.ndarray, now: np.ndarray, weight: np.ndarray) -> None:
     """Adds the slopes of slots in their classes to ``flat`` and to those of the states."""
-    leaves, d_leaves = net.slot_parts()[1], net.slot_parts(flat)[1]
+    leaves, d_leaves, shares = net.slot_parts()[1], net.slot_parts(flat)[1], net.lexicon.shares
+    bounded = _bounded(leaves.T, shares)
     slots, weights = now.ravel(), weight.ravel()
     rows = states.transpose(0, 2, 1).reshape(-1, UNITS)
     d_rows = np.zeros_like(rows)
     for places, begin, end in _groups(net.lexicon, slots):
-        out, sums = _slot_shares(net, rows[places], begin, end)
-        out /= sums[:, None]
-        out[np.arange(len(places)), slots[places] - begin] -= 1.0
-        out *= weights[places][:, None]
-        d_leaves[begin:end] += out.T @ rows[places]
+        own = rows[places]
+        given = _given(own, leaves[begin:end].T, shares[begin:end], bounded)
+        out = _slopes(given, slots[places] - begin, weights[places])
+        d_leaves[begin:end] += out.T @ own
         d_rows[places] = out @ leaves[begin:end]
     d_states += d_rows.reshape(len(states), LANES, UNITS).transpose(0, 2, 1)
 
@@ -384,10 +454,15 @@ def _texts(docs: pa.Table) -> tuple[np.ndarray, np.ndarray, object]:
 
 
 def _distinct(words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct names, each word's place among them, and their endings."""
-    names, first, where = np.unique(words.name, return_index=True, return_inverse=True)
-    data = np.frombuffer(words.data, np.uint8)
-    return names, where, (data[words.end[first] - 1] % ENDINGS).astype(np.int64)
+    """Distinct names in order, each word's place among them, and their endings."""
+    coded = pa.array(words.name).dictionary_encode()
+    names, codes = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+    order = np.argsort(names)
+    places = np.empty(len(names), np.int64)
+    places[order] = np.arange(len(names))
+    where, ending = places[codes], np.empty(len(names), np.int64)
+    ending[where] = np.frombuffer(words.data, np.uint8)[words.end - 1] % ENDINGS
+    return names[order], where, ending
 
 
 class Scoring:
@@ -615,14 +690,26 @@ def score_documents(
     if net.lexicon is None:  # slots keep their shares of the counts
         net = Net(np.append(net.flat, np.zeros(len(counts.lexicon.shares) * 4 * UNITS, np.float32)), counts.lexicon)
 
+    def score_together(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        batch = pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+        blobs = batch.column("tokens").to_pylist()
+        tokens, sizes = np.frombuffer(b"".join(blobs), np.uint16), [len(blob) // SLOT_BYTES for blob in blobs]
+        slots = log_likelihood(net, tokens, edges(sizes)) / np.log(10.0)
+        total = pa.array(batch.column("in_class").to_numpy() + slots)
+        kept = {name: batch.column(name) for name in ("id", "n_known", "base_score")}
+        return pa.record_batch({**kept, "n_tokens": pa.array(sizes, pa.int64()), "score": total})
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            blobs = batch.column("tokens").to_pylist()
-            tokens, sizes = np.frombuffer(b"".join(blobs), np.uint16), [len(blob) // SLOT_BYTES for blob in blobs]
-            slots = log_likelihood(net, tokens, edges(sizes)) / np.log(10.0)
-            total = pa.array(batch.column("in_class").to_numpy() + slots)
-            kept = {name: batch.column(name) for name in ("id", "n_known", "base_score")}
-            yield pa.record_batch({**kept, "n_tokens": pa.array(sizes, pa.int64()), "score": total})
+            if batch.num_rows:
+                held.append(batch)
+            # A text much longer than the others goes its last steps alone, so few batches are better.
+            if sum(one.nbytes for one in held) >= _SCORED_BYTES:
+                yield score_together(held)
+                held = []
+        if held:
+            yield score_together(held)
 
     found = sequences.select("id", "n_known", "base_score", "tokens", "in_class").mapInArrow(
         score, "id long, n_known long, base_score double, n_tokens long, score double"

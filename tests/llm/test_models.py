@@ -314,3 +314,61 @@ def test_words_of_one_class_are_told_apart_by_what_came_before(spark):
     frame = spark.createDataFrame(rows, SCHEMA)
     got = {r.doc_id: r for r in gated_lm.score_documents(frame, F.col("doc_id") < 600).where("doc_id >= 600").collect()}
     assert got[602].base_score == got[609].base_score and got[602].score > got[609].score + 0.5
+
+
+def test_slopes_of_classes_are_those_of_the_likelihood():
+    rng, lanes = np.random.default_rng(5), gated_lm.LANES
+    size = len(gated_lm.Net.fresh(np.full(gated_lm.CLASSES, 1 / gated_lm.CLASSES)).flat)
+    net = gated_lm.Net(rng.normal(0, 0.5, size).astype(np.float32))
+    states = rng.uniform(-1, 1, (20, gated_lm.UNITS, lanes)).astype(np.float32)
+    now = rng.integers(0, gated_lm.CLASSES, (20, lanes))
+    flat = np.zeros_like(net.flat)
+    d_states = gated_lm._train_classes(net, flat, states, now, np.ones((20, lanes), np.float32))
+
+    def loss(change=0.0, moved=0.0):
+        rows = (states + moved).transpose(0, 2, 1).reshape(-1, gated_lm.UNITS)
+        return -gated_lm.class_likelihood(gated_lm.Net(net.flat + change), rows, now.ravel()).sum()
+
+    step = rng.normal(0, 1e-3, size).astype(np.float32)
+    assert abs(loss(step) - loss(-step) - 2 * flat @ step) < 0.02 * max(0.1, abs(2 * flat @ step))
+    step = rng.normal(0, 1e-3, states.shape).astype(np.float32)
+    assert abs(loss(0, step) - loss(0, -step) - 2 * (d_states * step).sum()) < 0.02 * max(0.1, abs(2 * (d_states * step).sum()))
+
+
+@pytest.mark.filterwarnings("error")
+def test_likelihood_of_large_weights_is_finite():
+    """Exponentials of these would overflow; gates are far outside of what they can be, too."""
+    rng, lexicon = np.random.default_rng(6), _small_lexicon()
+    size = len(gated_lm.Net.fresh(np.full(gated_lm.CLASSES, 1 / gated_lm.CLASSES), lexicon).flat)
+    net = gated_lm.Net(rng.normal(0, 80, size).astype(np.float32), lexicon)
+    text = rng.integers(0, len(lexicon.kinds), 50).astype(np.uint16)
+    got = gated_lm.log_likelihood(net, text, np.array([0, 50]))[0]
+    _, back, leave, bias = (part.astype(float) for part in net.parts())
+    units, leaves = gated_lm.UNITS, net.slot_parts()[1].astype(float)
+    state, came, want = np.zeros(units), 0, 0.0
+    for now in text:
+        put = net.entering()[came].astype(float)
+        keep, reset = (0.5 * np.tanh((put[a : a + units] + state @ back[:, a : a + units]) / 2) + 0.5 for a in (0, units))
+        new = np.tanh(put[2 * units :] + (reset * state) @ back[:, 2 * units :])
+        state, kind, came = keep * state + (1 - keep) * new, lexicon.kinds[now], now
+        for out, own in ((state @ leave + bias, kind), ((leaves @ state + lexicon.shares)[lexicon.kinds == kind], now - lexicon.first[kind])):
+            want += out[own] - out.max() - np.log(np.exp(out - out.max()).sum())
+    assert np.isfinite(got) and abs(got - want) < 1e-3 * abs(want)
+
+
+def test_batches_of_a_task_are_scored_together(spark, monkeypatch):
+    """A long text goes its last steps alone; once for a task, not once for each batch."""
+    monkeypatch.setattr(gated_lm, "log_likelihood", lambda net, tokens, bounds: np.full(len(bounds) - 1, float(len(bounds) - 1)))
+    rows = [(i, "one two three", None, "", "", "") for i in range(300)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "10")
+    try:
+        got = gated_lm.score_documents(frame, F.lit(False)).collect()
+    finally:
+        spark.conf.set(setting, before)
+    assert sorted(r.doc_id for r in got) == list(range(300))
+    assert {round((r.score - got[0].score) * math.log(10)) for r in got} == {0} and {r.n_tokens for r in got} == {4}
+    # No word is known: the share of the words is 1 and that of the end is 1.
+    assert all(abs(r.score * math.log(10) - 300) < 1e-6 for r in got)
